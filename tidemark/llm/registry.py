@@ -2,8 +2,8 @@
 
 from __future__ import annotations
 
-from . import line_dedup
+from . import line_dedup, packing, quality
 
-MODULES = [line_dedup]
+MODULES = [packing, line_dedup, quality]
 QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
 SQL = {k: v for m in MODULES for k, v in m.SQL.items()}
