@@ -71,13 +71,13 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in batches:
         x = np.array([statistics(t) for t in b["text"].to_pylist()], dtype=np.float64).reshape(-1, len(NAMES))
         flat = pa.ListArray.from_arrays(np.arange(0, x.size + 1, len(NAMES), dtype=np.int32), pa.array(x.ravel()))
-        yield pa.RecordBatch.from_arrays([b["doc_id"], flat], names=["doc_id", "x"])
+        yield pa.RecordBatch.from_arrays([b["doc_id"], b["text_hash"], flat], names=["doc_id", "text_hash", "x"])
 
 
 def vectors(docs: DataFrame) -> DataFrame:
-    """(doc_id, x) for each row of a documents table."""
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return rows.mapInArrow(_vectors, "doc_id long, x array<double>")
+    """(doc_id, text_hash, x) for each row of a documents table; text_hash is ``xxhash64(text)``."""
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
+    return rows.mapInArrow(_vectors, "doc_id long, text_hash long, x array<double>")
 
 
 @dataclass(frozen=True)
@@ -139,7 +139,7 @@ def held_out(doc_id: str = "doc_id"):
 
 
 def score_quality(docs: DataFrame, labels: DataFrame, accept: float = 0.7) -> DataFrame:
-    """(doc_id, held_out, score, predicted) for each row of a documents table."""
+    """(doc_id, held_out, score, predicted, text_hash) for each row of a documents table."""
     x = stash(vectors(docs), "statistics")
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.max("quality").alias("label"))
     model = fit(x.where(~held_out()).join(known, "doc_id"))
@@ -149,12 +149,12 @@ def score_quality(docs: DataFrame, labels: DataFrame, accept: float = 0.7) -> Da
             v = b["x"].flatten().to_numpy(zero_copy_only=False).reshape(-1, len(NAMES))
             score = model.score(v)
             yield pa.RecordBatch.from_arrays(
-                [b["doc_id"], b["held_out"], pa.array(score), pa.array((score >= accept).astype(np.int32))],
-                names=["doc_id", "held_out", "score", "predicted"],
+                [b["doc_id"], b["held_out"], pa.array(score), pa.array((score >= accept).astype(np.int32)), b["text_hash"]],
+                names=["doc_id", "held_out", "score", "predicted", "text_hash"],
             )
 
-    rows = x.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "x")
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int")
+    rows = x.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "text_hash", "x")
+    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, text_hash long")
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:

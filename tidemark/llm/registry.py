@@ -2,8 +2,12 @@
 
 from __future__ import annotations
 
-from . import line_dedup, packing, quality
+import corpus_pipeline
 
-MODULES = [packing, line_dedup, quality]
-QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()}
+from . import decontaminate, jaccard_join, line_dedup, packing, quality
+
+MODULES = [jaccard_join, decontaminate, packing, line_dedup, quality]
+QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()} | {"pipeline": corpus_pipeline.run}
 SQL = {k: v for m in MODULES for k, v in m.SQL.items()}
+if corpus_pipeline.ORACLE_SQL:
+    SQL["pipeline"] = corpus_pipeline.ORACLE_SQL
