@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 #: White space of the word and line rules, as a set of characters and as a pattern.
 BLANKS = " \t\n\x0b\x0c\r"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -27,10 +28,18 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def stash(df: DataFrame, tag: str) -> DataFrame:
-    """Write a table into the shared folder and read it back: cuts lineage, survives lost executors."""
+    """Write a table into the shared folder and read it back: cuts lineage, survives lost executors.
+
+    The write's own shuffle files go when it is done, since nothing reads them again.
+    """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
 
 

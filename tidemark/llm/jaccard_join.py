@@ -7,7 +7,7 @@ most differing shingles, and two linked sets must agree in some part. Parts are
 every set enters the scheme of its own band and, as the smaller partner, that of the next.
 
 A bucket of agreeing sets never emits its pairs. Its smallest member is verified against the others (exactly, on
-shingle sets), and components are formed. Only buckets that still hold several components go on: their members meet
+shingle sets, after a bound by bit sketches), and components are formed. Only buckets that still hold several components go on: their members meet
 in blocks of bounded size, where the Hamming distance of parity bit sketches drops every pair whose sets must
 differ too much, and what is left across components is verified exactly. No link between components is lost.
 
@@ -132,18 +132,15 @@ def _per_text(words: int, make, types: list[tuple[str, pa.DataType]]):
 def _signatures(docs, sets):
     u64 = lambda f: pa.array(np.array([f(u) for u in sets], dtype=_U).view(np.int64))
     n = pa.array([len(u) for u in sets], pa.int64())
-    return [pa.array(docs, pa.int64()), n, u64(lambda u: u.sum(dtype=_U)), u64(lambda u: mix(u ^ _U(77)).sum(dtype=_U))]
+    s1, s2 = u64(lambda u: u.sum(dtype=_U)), u64(lambda u: mix(u ^ _U(77)).sum(dtype=_U))
+    bits = pa.array([bit_sketch(u) if len(u) else None for u in sets], pa.binary())
+    return [pa.array(docs, pa.int64()), n, s1, s2, bits]
 
 
 def _sets(docs, sets):
     return [pa.array(docs, pa.int64()), pa.array([u.tobytes() for u in sets], pa.binary())]
 
 
-def _sketches(docs, sets):
-    n = pa.array([len(u) for u in sets], pa.int64())
-    return [pa.array(docs, pa.int64()), n, pa.array([bit_sketch(u) for u in sets], pa.binary())]
-
-
 def _index(num: int, den: int):
     scheme = bands(num, den)
 
@@ -155,6 +152,25 @@ def _index(num: int, den: int):
     return make
 
 
+def likely(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFrame:
+    """The pairs (a, b) that the Hamming distance of their bit sketches doesn't rule out."""
+    one, two = (sketches.select(F.col("doc_id").alias(x), F.col("n").alias(f"n{x}"), F.col("bits").alias(f"bits{x}")) for x in "ab")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            good = []
+            for x, y, nx, ny in zip(*(b[c].to_pylist() for c in ("bitsa", "bitsb", "na", "nb")), strict=True):
+                x, y = np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)
+                width = min(len(x), len(y))
+                far = int(np.bitwise_count(fold(x, width) ^ fold(y, width)).sum())
+                good.append((den + num) * far <= (den - num) * (nx + ny) and den * min(nx, ny) >= num * max(nx, ny))
+            keep = pa.array(good, pa.bool_())
+            yield pa.RecordBatch.from_arrays([b["a"].filter(keep), b["b"].filter(keep)], names=["a", "b"])
+
+    # A document with several texts has several sketches; the pair stays if any two of them are near.
+    return pairs.join(one, "a").join(two, "b").mapInArrow(run, "a long, b long").distinct()
+
+
 def verify(pairs: DataFrame, rows: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """The pairs (a, b) whose shingle sets are similar enough, by exact intersection."""
     used = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
@@ -211,8 +227,8 @@ def _blocks(num: int, den: int):
 def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, block: int = 256) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of a documents table."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    names = [("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64())]
-    sets = rows.mapInArrow(_per_text(words, _signatures, names), "doc_id long, n long, s1 long, s2 long")
+    names = [("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("bits", pa.binary())]
+    sets = rows.mapInArrow(_per_text(words, _signatures, names), "doc_id long, n long, s1 long, s2 long, bits binary")
     sets = stash(sets, "sets")
     real = sets.where("n > 0 and doc_id is not null")
     first = real.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
@@ -228,6 +244,8 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     shared = stash(index.join(hubs.hint("shuffle_hash"), "key").select("key", "id", "hub"), "buckets")
 
     stars = shared.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+    sketches = real.select("doc_id", "n", "bits")
+    stars = stash(likely(stars, sketches, num, den), "stars")
     good = stash(verify(stars, rows, words, num, den).unionByName(ties), "links")
     parts = stash(components(good), "parts")
 
@@ -241,17 +259,15 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
         .select("key", F.ceil(F.col("g") / block).cast("int").alias("blocks"))
     )
     inside = stash(inside.join(open_, "key").select("key", "id", "component", "blocks"), "open")
-    wide = rows.join(inside.select(F.col("id").alias("doc_id")).distinct(), "doc_id", "left_semi").mapInArrow(
-        _per_text(words, _sketches, [("doc_id", pa.int64()), ("n", pa.int64()), ("bits", pa.binary())]),
-        "id long, n long, bits binary",
-    )
+    wide = sketches.withColumnRenamed("doc_id", "id")
     mine = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     dealt = inside.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
     dealt = dealt.select(
         "key", "id", "component", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
         (F.col("mine") > F.col("other")).cast("int").alias("side"),
     )
-    near = dealt.join(wide, "id").groupBy("key", "i", "j").applyInArrow(_blocks(num, den), "a long, b long").distinct()
+    near = dealt.join(wide, "id").groupBy("key", "i", "j").applyInArrow(_blocks(num, den), "a long, b long")
+    near = stash(near.distinct(), "near")
     more = stash(verify(near, rows, words, num, den), "links")
     final = components(good.unionByName(more))
 
