@@ -65,6 +65,26 @@ def lower_ascii(col):
     return F.translate(col, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
 
 
+def let(value, then):
+    """``then(value)`` with the value computed once for a row, also where lambdas use it."""
+    return F.get(F.transform(F.array(value), then), F.lit(0))
+
+
+def prefix_sums(numbers, block: int = 128):
+    """The sum of all numbers before each one. Sums over blocks keep the work small for long arrays."""
+    total = lambda a: F.aggregate(a, F.lit(0), lambda x, y: x + y)
+    block_of = lambda i: F.floor(i / F.lit(block)).cast("int")
+
+    def run(ls):
+        blocks = F.sequence(F.lit(0), block_of(F.size(ls) - 1))
+        sums = F.transform(blocks, lambda b: total(F.slice(ls, b * block + 1, F.lit(block))))
+        before = let(sums, lambda s: F.transform(F.sequence(F.lit(0), F.size(s) - 1), lambda b: total(F.slice(s, F.lit(1), b))))
+        at = lambda i, b: F.get(b, block_of(i)) + total(F.slice(ls, block_of(i) * block + 1, i % block))
+        return let(before, lambda b: F.transform(F.sequence(F.lit(0), F.size(ls) - 1), lambda i: at(i, b)))
+
+    return F.when(F.size(numbers) > 0, let(numbers, run)).otherwise(F.array().cast("array<int>"))
+
+
 def components(edges: DataFrame, a: str = "a", b: str = "b") -> DataFrame:
     """Connected components of an edge table, as rows (id, component) for every id that has an edge.
 

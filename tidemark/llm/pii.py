@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import lower_ascii, stash, table
+from .common import let, lower_ascii, prefix_sums, stash, table
 from .decontaminate import words_column
 
 KINDS = ("email", "ip", "card", "phone")
@@ -42,25 +42,11 @@ def matches(text: Column, pattern: str) -> tuple[Column, Column]:
     return F.regexp_extract_all(text, F.lit(pattern), F.lit(0)), F.split(text, pattern, -1)
 
 
-def let(value: Column, then) -> Column:
-    """``then(value)`` with the value computed once for a row, also where lambdas use it."""
-    return F.get(F.transform(F.array(value), then), F.lit(0))
-
-
-def starts(found: Column, gaps: Column, block: int = 128) -> Column:
-    """Where each match starts, in code points. Sums over blocks keep the work small if there are many matches."""
-    total = lambda a: F.aggregate(a, F.lit(0), lambda x, y: x + y)
-    block_of = lambda i: F.floor(i / F.lit(block)).cast("int")
-
-    def run(z: Column) -> Column:
-        ls, blocks = z["ls"], F.sequence(F.lit(0), block_of(F.size(z["ls"]) - 1))
-        sums = F.transform(blocks, lambda b: total(F.slice(ls, b * block + 1, F.lit(block))))
-        before = let(sums, lambda s: F.transform(F.sequence(F.lit(0), F.size(s) - 1), lambda b: total(F.slice(s, F.lit(1), b))))
-        at = lambda i, b: F.get(b, block_of(i)) + total(F.slice(ls, block_of(i) * block + 1, i % block)) + F.length(F.get(z["gaps"], i))
-        return let(before, lambda b: F.transform(F.sequence(F.lit(0), F.size(ls) - 1), lambda i: at(i, b)))
-
-    lengths = F.zip_with(F.slice(gaps, 1, F.size(found)), found, lambda g, m: F.length(g) + F.length(m))
-    return F.when(F.size(found) > 0, let(F.struct(lengths.alias("ls"), gaps.alias("gaps")), run))
+def starts(found: Column, gaps: Column) -> Column:
+    """Where each match starts, in code points."""
+    before = F.slice(gaps, 1, F.size(found))
+    lengths = F.zip_with(before, found, lambda g, m: F.length(g) + F.length(m))
+    return F.when(F.size(found) > 0, F.zip_with(prefix_sums(lengths), before, lambda s, g: s + F.length(g)))
 
 
 def _digits(m: Column) -> Column:

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 import corpus_pipeline
 
-from . import decontaminate, jaccard_join, line_dedup, packing, quality
+from . import chat, decontaminate, embedding_dedup, jaccard_join, line_dedup, lm_score, packing, pii, quality, warc
 
-MODULES = [jaccard_join, decontaminate, packing, line_dedup, quality]
+MODULES = [embedding_dedup, jaccard_join, warc, decontaminate, chat, packing, line_dedup, lm_score, quality, pii]
 QUERIES = {k: v for m in MODULES for k, v in m.QUERIES.items()} | {"pipeline": corpus_pipeline.run}
 SQL = {k: v for m in MODULES for k, v in m.SQL.items()}
 if corpus_pipeline.ORACLE_SQL:
