@@ -1,6 +1,6 @@
 """All named queries of the library, each with the DuckDB SQL that checks it where SQL can say it.
 
-Doubles are rounded in both forms, since sums depend on their order.
+Doubles are rounded in both forms, since sums depend on their order: values of a few thousands to 6 digits, larger ones to 4.
 """
 
 from __future__ import annotations
@@ -30,14 +30,14 @@ def query(sql: str | None = None):
     return keep
 
 
-def rounded(df: DataFrame, digits: int = 4) -> DataFrame:
+def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*[F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
 
 # --- panels, cleaning -------------------------------------------------------------------------------------------------
 
 
-@query(f"WITH {H} SELECT entity, h, round(value, 4) AS value, n, round(temp, 4) AS temp FROM h")
+@query(f"WITH {H} SELECT entity, h, round(value, 6) AS value, n, round(temp, 6) AS temp FROM h")
 def panel_hourly_events(s, d):
     return rounded(p.hourly(s, d))
 
@@ -48,15 +48,15 @@ def dedup_latest_file(s, d):
     return clean.keep_latest(o, ["o_custkey"], [F.col("o_orderstatus").desc(), F.col("o_orderkey").desc()])
 
 
-@query(f"WITH {CLEAN} SELECT entity, h, round(median, 4) AS median, is_missing, is_nonpositive, is_outlier, bad_benchmark FROM fl")
+@query(f"WITH {CLEAN} SELECT entity, h, round(median, 6) AS median, is_missing, is_nonpositive, is_outlier, bad_benchmark FROM fl")
 def clean_range_median_flags(s, d):
     f = clean.flag(p.flagged_panel(s, d))
     return rounded(f.select("entity", "h", "median", "is_missing", "is_nonpositive", "is_outlier", "bad_benchmark"))
 
 
-@query(f"""WITH {CLEAN} SELECT entity, h, round(CASE WHEN ok THEN value END, 4) AS clean,
-round(CASE WHEN ok THEN value WHEN fallback >= 0.2 * median AND fallback <= 5 * median THEN fallback END, 4) AS filled,
-round(CASE WHEN NOT bad_benchmark THEN benchmark END, 4) AS benchmark_ok
+@query(f"""WITH {CLEAN} SELECT entity, h, round(CASE WHEN ok THEN value END, 6) AS clean,
+round(CASE WHEN ok THEN value WHEN fallback >= 0.2 * median AND fallback <= 5 * median THEN fallback END, 6) AS filled,
+round(CASE WHEN NOT bad_benchmark THEN benchmark END, 6) AS benchmark_ok
 FROM (SELECT *, NOT (is_missing OR is_nonpositive OR is_outlier) AS ok FROM fl)""")
 def clean_repair(s, d):
     return rounded(clean.repair(clean.flag(p.flagged_panel(s, d))).select("entity", "h", "clean", "filled", "benchmark_ok"))
@@ -79,7 +79,7 @@ def weighted_mean_spread(s, d):
     t = table(s, d, "lineitem")
     price = F.col("l_extendedprice")
     g = t.groupBy(F.date_format(F.date_trunc("month", "l_shipdate"), "yyyy-MM-dd").alias("month"), "l_returnflag")
-    return rounded(g.agg(F.count("*").alias("n"), clean.weighted_mean(price, F.col("l_quantity")).alias("weighted"), F.avg(price).alias("plain"), (F.max(price) - F.min(price)).alias("spread")))
+    return rounded(g.agg(F.count("*").alias("n"), clean.weighted_mean(price, F.col("l_quantity")).alias("weighted"), F.avg(price).alias("plain"), (F.max(price) - F.min(price)).alias("spread")), 4)
 
 
 @query("SELECT l_orderkey, l_linenumber, greatest(least(l_quantity - 10, 25), 0) AS q FROM lineitem")
@@ -158,28 +158,28 @@ def _matrix(s, d, protocol=features.Protocol()):
     return features.build(p.hourly(s, d).select("entity", "h", "value"), p.zones(s, d), p.days_of(s, d), protocol)
 
 
-@query(f"""WITH {_LOCAL} SELECT x.entity, x.day::VARCHAR AS day, x.h, round(a.v, 4) AS lag_recent, a.src + issued - cutoff AS avail_recent, round(b.v, 4) AS lag7, b.src + issued - cutoff AS avail7
+@query(f"""WITH {_LOCAL} SELECT x.entity, x.day::VARCHAR AS day, x.h, round(a.v, 6) AS lag_recent, a.src + issued - cutoff AS avail_recent, round(b.v, 6) AS lag7, b.src + issued - cutoff AS avail7
 FROM x LEFT JOIN sh a ON a.entity = x.entity AND a.day = x.day - 2 AND a.local_hour = x.local_hour LEFT JOIN sh b ON b.entity = x.entity AND b.day = x.day - 7 AND b.local_hour = x.local_hour""")
 def same_period_lag(s, d):
     m = _matrix(s, d)
     return rounded(m.select("entity", F.col("day").cast("string"), "h", "lag_recent", F.col("avail__lag_recent").alias("avail_recent"), "lag7", F.col("avail__lag7").alias("avail7")))
 
 
-@query(f"WITH {_LOCAL} SELECT entity, day::VARCHAR AS day, round(level_7d, 4) AS level_7d, src AS src FROM lv")
+@query(f"WITH {_LOCAL} SELECT entity, day::VARCHAR AS day, round(level_7d, 6) AS level_7d, src AS src FROM lv")
 def level_7d(s, d):
     local = features.localised(p.hourly(s, d), p.zones(s, d))
     out = features.level(features.day_profile(local), 2).join(p.days_of(s, d), ["entity", "day"], "left_semi")
     return rounded(out.select("entity", F.col("day").cast("string"), "level_7d", F.col("src__level_7d").alias("src")))
 
 
-@query(f"WITH {_LOCAL} SELECT o.entity, o.day::VARCHAR AS day, round(peak, 4) AS recent_peak, last AS src FROM o JOIN pr ON pr.entity = o.entity AND pr.day = o.day - 2")
+@query(f"WITH {_LOCAL} SELECT o.entity, o.day::VARCHAR AS day, round(peak, 6) AS recent_peak, last AS src FROM o JOIN pr ON pr.entity = o.entity AND pr.day = o.day - 2")
 def recent_peak(s, d):
     local = features.localised(p.hourly(s, d), p.zones(s, d))
     out = features.recent_peak(features.day_profile(local), 2).join(p.days_of(s, d), ["entity", "day"], "left_semi")
     return rounded(out.select("entity", F.col("day").cast("string"), "recent_peak", F.col("src__recent_peak").alias("src")))
 
 
-@query(f"""WITH {_LOCAL} SELECT lk.entity, lk.day::VARCHAR AS day, round(last_known, 4) AS last_known, lk.src AS src_last, round(partial_mean, 4) AS partial_mean, pt.src AS src_partial
+@query(f"""WITH {_LOCAL} SELECT lk.entity, lk.day::VARCHAR AS day, round(last_known, 6) AS last_known, lk.src AS src_last, round(partial_mean, 6) AS partial_mean, pt.src AS src_partial
 FROM lk LEFT JOIN pt ON pt.entity = lk.entity AND pt.day = lk.day""")
 def partial_day_last_known(s, d):
     z = p.zones(s, d)
@@ -194,9 +194,9 @@ LEFT JOIN lv ON lv.entity = x.entity AND lv.day = x.day LEFT JOIN pr ON pr.entit
 LEFT JOIN h ON h.entity = x.entity AND h.h = x.h)"""
 
 
-@query(f"""WITH {_FM} SELECT entity, day::VARCHAR AS day, h, local_hour, round(lag_recent, 4) AS lag_recent, round(lag7, 4) AS lag7, round(level_7d, 4) AS level_7d, round(recent_peak, 4) AS recent_peak,
-round(CASE WHEN lk_ok THEN partial_mean END, 4) AS partial_mean, round(last_known, 4) AS last_known, round(lag_recent / nullif(level_7d, 0), 4) AS lag_recent_ratio, greatest(av_recent, av_level) AS avail_lag_recent_ratio,
-CAST(isodow(day) AS INT) AS weekday, round(sin(dayofyear(day) * (2 * 3.141592653589793 / 365.25)), 4) AS doy_sin, round(y, 4) AS y FROM (SELECT *, last_known IS NOT NULL OR av_last IS NOT NULL AS lk_ok FROM fm)""")
+@query(f"""WITH {_FM} SELECT entity, day::VARCHAR AS day, h, local_hour, round(lag_recent, 6) AS lag_recent, round(lag7, 6) AS lag7, round(level_7d, 6) AS level_7d, round(recent_peak, 6) AS recent_peak,
+round(CASE WHEN lk_ok THEN partial_mean END, 6) AS partial_mean, round(last_known, 6) AS last_known, round(lag_recent / nullif(level_7d, 0), 6) AS lag_recent_ratio, greatest(av_recent, av_level) AS avail_lag_recent_ratio,
+CAST(isodow(day) AS INT) AS weekday, round(sin(dayofyear(day) * (2 * 3.141592653589793 / 365.25)), 6) AS doy_sin, round(y, 6) AS y FROM (SELECT *, last_known IS NOT NULL OR av_last IS NOT NULL AS lk_ok FROM fm)""")
 def feature_matrix(s, d):
     m = _matrix(s, d)
     return rounded(m.select("entity", F.col("day").cast("string"), "h", "local_hour", "lag_recent", "lag7", "level_7d", "recent_peak", "partial_mean", "last_known", "lag_recent_ratio", F.col("avail__lag_recent_ratio").alias("avail_lag_recent_ratio"), "weekday", "doy_sin", "y"))
@@ -232,13 +232,13 @@ def weather_shift_features(s, d):
 
 @query(f"WITH {D} SELECT a.entity, a.day, round(b.value, 4) AS yhat FROM d a JOIN d b ON b.entity = a.entity AND b.day = a.day - 7")
 def seasonal_naive(s, d):
-    return rounded(models.seasonal_naive(p.daily(s, d), 7))
+    return rounded(models.seasonal_naive(p.daily(s, d), 7), 4)
 
 
 @query(f"""WITH {D}, r AS (SELECT a.entity, a.value / nullif(b.value, 0) AS r FROM d a JOIN d b ON b.entity = a.entity AND b.day = a.day - 7)
 SELECT entity, count(r) AS n, round(list_sort(list(r))[CAST(round(0.1 * (count(r) - 1)) AS INT) + 1], 4) AS q10, round(list_sort(list(r))[CAST(round(0.9 * (count(r) - 1)) AS INT) + 1], 4) AS q90 FROM r WHERE r IS NOT NULL GROUP BY entity""")
 def residual_quantiles_nearest(s, d):
-    return rounded(models.residual_quantiles(p.daily(s, d), 7, {"q10": 0.1, "q90": 0.9}))
+    return rounded(models.residual_quantiles(p.daily(s, d), 7, {"q10": 0.1, "q90": 0.9}), 4)
 
 
 @query(f"""WITH {D}, e AS (SELECT a.entity, a.day, b.value - a.value AS err, b.value AS bench FROM d a JOIN d b ON b.entity = a.entity AND b.day = a.day - 7),
@@ -247,15 +247,15 @@ SELECT a.entity, a.day, round(a.bench - coalesce(CASE WHEN b.n >= 14 THEN b.m EN
 def benchmark_debiased(s, d):
     panel = p.daily(s, d)
     bench = models.seasonal_naive(panel, 7).withColumnRenamed("yhat", "benchmark")
-    return rounded(models.debias(panel.join(bench, ["entity", "day"])))
+    return rounded(models.debias(panel.join(bench, ["entity", "day"])), 4)
 
 
-@query(f"WITH {H}, {FC} SELECT entity, h, model, round(yhat, 4) AS yhat, round(err, 4) AS err FROM sc")
+@query(f"WITH {H}, {FC} SELECT entity, h, model, round(yhat, 6) AS yhat, round(err, 6) AS err FROM sc")
 def score_common_support(s, d):
     return rounded(p.scored(s, d).select("entity", "h", "model", "yhat", "err"))
 
 
-_PM = "count(*) AS hours, round(avg(abs_err), 4) AS mae, round(sqrt(avg(err * err)), 4) AS rmse, round(avg(abs_err / nullif(abs(y), 0)) * 100, 4) AS mape, round(sum(err) / nullif(sum(y), 0) * 100, 4) AS bias"
+_PM = "count(*) AS hours, round(avg(abs_err), 6) AS mae, round(sqrt(avg(err * err)), 6) AS rmse, round(avg(abs_err / nullif(abs(y), 0)) * 100, 6) AS mape, round(sum(err) / nullif(sum(y), 0) * 100, 6) AS bias"
 
 
 @query(f"WITH {H}, {FC} SELECT entity, model, {_PM} FROM sc GROUP BY entity, model")
@@ -264,13 +264,13 @@ def point_metrics(s, d):
 
 
 @query(f"""WITH {H}, {FC}, g AS (SELECT entity, model, day, count(*) AS n, max(y) AS top, max(yhat) AS said, arg_min(h, (-y, h)) AS peak_at, arg_min(h, (-yhat, h)) AS said_at FROM sc GROUP BY ALL)
-SELECT entity, model, count(*) AS days, round(avg(abs(said - top) / top) * 100, 4) AS peak_ape, round(avg(CAST(abs(said_at - peak_at) > 1 AS INT)) * 100, 4) AS peak_miss FROM g WHERE n >= 20 GROUP BY entity, model""")
+SELECT entity, model, count(*) AS days, round(avg(abs(said - top) / top) * 100, 6) AS peak_ape, round(avg(CAST(abs(said_at - peak_at) > 1 AS INT)) * 100, 6) AS peak_miss FROM g WHERE n >= 20 GROUP BY entity, model""")
 def peak_metrics(s, d):
     return rounded(evaluate.peak_metrics(p.scored(s, d), 20))
 
 
-@query(f"""WITH {H}, {FC} SELECT entity, model, count(*) AS n, round(avg(CAST(y BETWEEN lo80 AND hi80 AS INT)) * 100, 4) AS cover80, round(avg(CAST(y BETWEEN lo95 AND hi95 AS INT)) * 100, 4) AS cover95,
-round(avg((hi80 - lo80) / y) * 100, 4) AS width80, round(avg((hi95 - lo95) / y) * 100, 4) AS width95, round(avg((greatest(0.1 * (y - lo80), (0.1 - 1) * (y - lo80)) + greatest(0.9 * (y - hi80), (0.9 - 1) * (y - hi80))) / 2), 4) AS pinball80
+@query(f"""WITH {H}, {FC} SELECT entity, model, count(*) AS n, round(avg(CAST(y BETWEEN lo80 AND hi80 AS INT)) * 100, 6) AS cover80, round(avg(CAST(y BETWEEN lo95 AND hi95 AS INT)) * 100, 6) AS cover95,
+round(avg((hi80 - lo80) / y) * 100, 6) AS width80, round(avg((hi95 - lo95) / y) * 100, 6) AS width95, round(avg((greatest(0.1 * (y - lo80), (0.1 - 1) * (y - lo80)) + greatest(0.9 * (y - hi80), (0.9 - 1) * (y - hi80))) / 2), 6) AS pinball80
 FROM sc WHERE lo80 IS NOT NULL AND hi95 IS NOT NULL GROUP BY entity, model""")
 def interval_metrics(s, d):
     return rounded(evaluate.interval_metrics(p.scored(s, d), ["entity", "model"]))
@@ -289,7 +289,7 @@ def slice_metrics(s, d):
 
 
 @query(f"""WITH {H}, {FC}, m AS (SELECT entity, model, avg(abs_err) AS mae FROM sc GROUP BY ALL)
-SELECT m.entity, m.model, round(m.mae, 4) AS mae, round(1 - m.mae / nullif(r.mae, 0), 4) AS skill FROM m LEFT JOIN m r ON r.entity = m.entity AND r.model = 'week'""")
+SELECT m.entity, m.model, round(m.mae, 6) AS mae, round(1 - m.mae / nullif(r.mae, 0), 6) AS skill FROM m LEFT JOIN m r ON r.entity = m.entity AND r.model = 'week'""")
 def skill(s, d):
     m = evaluate.point_metrics(p.scored(s, d), ["entity", "model"])
     return rounded(evaluate.skill(m, "week", ["entity"]).select("entity", "model", "mae", "skill"))
@@ -305,11 +305,11 @@ def _band(s, d):
 w AS (SELECT entity, day, list_sort(list(s) OVER x) AS v, count(*) OVER x AS n FROM b WINDOW x AS (PARTITION BY entity ORDER BY day RANGE BETWEEN 57 PRECEDING AND 2 PRECEDING))
 SELECT entity, day, round(CASE WHEN n >= 21 THEN v[least(n, CAST(ceil((n + 1) * (1 - 0.2)) AS BIGINT))] END, 4) AS move FROM w""")
 def cqr_adjustment(s, d):
-    return rounded(evaluate.conformal(_band(s, d)).select("entity", "day", "move"))
+    return rounded(evaluate.conformal(_band(s, d)).select("entity", "day", "move"), 4)
 
 
 @query(f"""WITH {H}, {FC}, l AS (SELECT entity, model, day, sum(abs_err) AS loss, count(*) AS n FROM sc GROUP BY ALL)
-SELECT a.entity, a.model, a.day, round(a.loss, 4) AS loss, a.n, round(b.loss, 4) AS ref_loss FROM l a JOIN l b ON b.entity = a.entity AND b.day = a.day AND b.model = 'week' AND a.model <> 'week' AND a.n = b.n""")
+SELECT a.entity, a.model, a.day, round(a.loss, 6) AS loss, a.n, round(b.loss, 6) AS ref_loss FROM l a JOIN l b ON b.entity = a.entity AND b.day = a.day AND b.model = 'week' AND a.model <> 'week' AND a.n = b.n""")
 def daily_losses_paired(s, d):
     return rounded(evaluate.paired(evaluate.daily_losses(p.scored(s, d)), "week").select("entity", "model", "day", "loss", "n", "ref_loss"))
 
@@ -336,13 +336,13 @@ def significance_tally(s, d):
     return evaluate.significance(bootstrap_skill_ci(s, d))
 
 
-@query(f"WITH {H} SELECT entity, CAST((h - 1) % 24 AS INT) AS hour, round(avg(value), 4) AS mean FROM h GROUP BY 1, 2")
+@query(f"WITH {H} SELECT entity, CAST((h - 1) % 24 AS INT) AS hour, round(avg(value), 6) AS mean FROM h GROUP BY 1, 2")
 def climatology(s, d):
     return rounded(models.climatology(p.hourly(s, d)))
 
 
 @query(f"""WITH {H}, b AS (SELECT entity, min(h) AS a, max(h) AS z FROM h GROUP BY 1), g AS (SELECT entity, unnest(generate_series(a, z)) AS h FROM b)
-SELECT g.entity, g.h, round(last_value(h.value IGNORE NULLS) OVER (PARTITION BY g.entity ORDER BY g.h), 4) AS value FROM g LEFT JOIN h ON h.entity = g.entity AND h.h = g.h""")
+SELECT g.entity, g.h, round(last_value(h.value IGNORE NULLS) OVER (PARTITION BY g.entity ORDER BY g.h), 6) AS value FROM g LEFT JOIN h ON h.entity = g.entity AND h.h = g.h""")
 def ffill_grid(s, d):
     return rounded(models.fill_grid(p.hourly(s, d)))
 
@@ -404,7 +404,7 @@ def contract_violations(s, d):
     return quality.violations(table(s, d, "orders"), ranges={"o_totalprice": (1000, 400000)}, required=["o_custkey"], unique=[["o_custkey"]])
 
 
-@query(f"WITH {H}, {FC} SELECT entity, h, round(max(yhat) FILTER (WHERE model = 'day'), 4) AS day, round(max(yhat) FILTER (WHERE model = 'week'), 4) AS week FROM sc GROUP BY 1, 2")
+@query(f"WITH {H}, {FC} SELECT entity, h, round(max(yhat) FILTER (WHERE model = 'day'), 6) AS day, round(max(yhat) FILTER (WHERE model = 'week'), 6) AS week FROM sc GROUP BY 1, 2")
 def pivot_models_wide(s, d):
     return rounded(p.scored(s, d).groupBy("entity", "h").pivot("model", ["day", "week"]).agg(F.max("yhat")))
 
@@ -416,20 +416,20 @@ def latest_issue(s, d):
     return o.select("o_custkey", "o_orderkey", F.date_format("o_orderdate", "yyyy-MM-dd HH:mm:ss").alias("at"))
 
 
-@query(f"WITH {H}, {FC}, u AS (SELECT entity, h, model, yhat, 0 AS rank FROM fc WHERE model = 'day' UNION ALL SELECT entity, h, 'day', yhat, 1 FROM fc WHERE model = 'week') SELECT entity, h, round(yhat, 4) AS yhat, rank FROM (SELECT *, row_number() OVER (PARTITION BY entity, h, model ORDER BY rank) AS r FROM u) WHERE r = 1")
+@query(f"WITH {H}, {FC}, u AS (SELECT entity, h, model, yhat, 0 AS rank FROM fc WHERE model = 'day' UNION ALL SELECT entity, h, 'day', yhat, 1 FROM fc WHERE model = 'week') SELECT entity, h, round(yhat, 6) AS yhat, rank FROM (SELECT *, row_number() OVER (PARTITION BY entity, h, model ORDER BY rank) AS r FROM u) WHERE r = 1")
 def combine_dedup(s, d):
     f = p.forecasts(s, d)
     runs = f.where("model = 'day'").withColumn("rank", F.lit(0)).unionByName(f.where("model = 'week'").withColumn("model", F.lit("day")).withColumn("rank", F.lit(1)))
     return rounded(clean.keep_latest(runs, ["entity", "h", "model"], [F.col("rank")]).select("entity", "h", "yhat", "rank"))
 
 
-@query(f"WITH {H}, {FC}, m AS (SELECT entity, model, avg(abs_err / nullif(abs(y), 0)) * 100 AS mape FROM sc GROUP BY ALL) SELECT entity, arg_min(model, mape) AS model, round(min(mape), 4) AS mape FROM m GROUP BY entity")
+@query(f"WITH {H}, {FC}, m AS (SELECT entity, model, avg(abs_err / nullif(abs(y), 0)) * 100 AS mape FROM sc GROUP BY ALL) SELECT entity, arg_min(model, mape) AS model, round(min(mape), 6) AS mape FROM m GROUP BY entity")
 def best_model(s, d):
     m = evaluate.point_metrics(p.scored(s, d), ["entity", "model"])
     return rounded(m.groupBy("entity").agg(F.min_by("model", "mape").alias("model"), F.min("mape").alias("mape")))
 
 
-@query("SELECT n_name, round(avg(CAST(c_acctbal > (SELECT avg(s_acctbal) FROM supplier s WHERE s.s_nationkey = c.c_nationkey) AS INT)), 4) AS share FROM customer c JOIN nation n ON n_nationkey = c_nationkey GROUP BY n_name")
+@query("SELECT n_name, round(avg(CAST(c_acctbal > (SELECT avg(s_acctbal) FROM supplier s WHERE s.s_nationkey = c.c_nationkey) AS INT)), 6) AS share FROM customer c JOIN nation n ON n_nationkey = c_nationkey GROUP BY n_name")
 def corr_scalar_subquery(s, d):
     mean = table(s, d, "supplier").groupBy(F.col("s_nationkey").alias("c_nationkey")).agg(F.avg("s_acctbal").alias("m"))
     c = table(s, d, "customer").join(mean, "c_nationkey", "left").join(table(s, d, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
@@ -462,4 +462,4 @@ def benchmark_accuracy(s, d):
     rows = panel.join(models.seasonal_naive(panel, 7), ["entity", "day"])
     err = F.col("yhat") - F.col("value")
     g = rows.groupBy("entity", F.year(F.date_from_unix_date(F.col("day").cast("int"))).alias("year"))
-    return rounded(g.agg((F.avg(F.abs(err) / F.col("value")) * 100).alias("mape"), (F.sum(err) / F.sum("value") * 100).alias("bias")))
+    return rounded(g.agg((F.avg(F.abs(err) / F.col("value")) * 100).alias("mape"), (F.sum(err) / F.sum("value") * 100).alias("bias")), 4)
