@@ -11,6 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
+from ..functions import holidays
 from ..operators import clean, evaluate, features, models, quality
 from . import panels as p
 from .panels import CLEAN, D, DAYS, FC, H, Z, table
@@ -90,21 +91,33 @@ def clamp_values(s, d):
 # --- clocks and calendars ---------------------------------------------------------------------------------------------
 
 
-@query("""WITH c AS (SELECT CAST(unnest(generate_series(DATE '2018-01-01', DATE '2028-12-30', INTERVAL 1 DAY)) AS DATE) AS day),
-o AS (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS orders FROM orders GROUP BY 1)
+_SPAN = "c AS (SELECT CAST(unnest(generate_series(DATE '2018-01-01', DATE '2028-12-30', INTERVAL 1 DAY)) AS DATE) AS day)"
+
+
+def _span(s):
+    return s.range(1).select(F.explode(F.sequence(F.lit("2018-01-01").cast("date"), F.lit("2028-12-30").cast("date"))).alias("day"))
+
+
+@query(f"""WITH {_SPAN}, o AS (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS orders FROM orders GROUP BY 1)
 SELECT c.day::VARCHAR AS day, CAST(year(c.day) AS INT) AS year, CAST(month(c.day) AS INT) AS month, CAST(isodow(c.day) AS INT) AS weekday, CAST(dayofyear(c.day) AS INT) AS doy,
-CASE WHEN month(c.day) = 7 AND day(c.day) = 4 OR month(c.day) = 12 AND day(c.day) = 25 OR month(c.day) = 1 AND day(c.day) = 1 THEN 'holiday' WHEN isodow(c.day) >= 6 THEN 'weekend' ELSE 'weekday' END AS day_type,
+CASE WHEN {holidays.sql("c.day")} IS NOT NULL THEN 'holiday' WHEN isodow(c.day) >= 6 THEN 'weekend' ELSE 'weekday' END AS day_type,
 CASE WHEN month(c.day) IN (12, 1, 2) THEN 'winter' WHEN month(c.day) <= 5 THEN 'spring' WHEN month(c.day) <= 8 THEN 'summer' ELSE 'autumn' END AS season, coalesce(orders, 0) AS orders
 FROM c LEFT JOIN o ON o.day = c.day""")
 def dim_calendar_daytype(s, d):
-    c = s.range(1).select(F.explode(F.sequence(F.lit("2018-01-01").cast("date"), F.lit("2028-12-30").cast("date"))).alias("day"))
     o = table(s, d, "orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count("*").alias("orders"))
-    md = F.date_format("day", "MM-dd")
-    kind = F.when(md.isin("01-01", "07-04", "12-25"), "holiday").when(F.weekday("day") >= 5, "weekend").otherwise("weekday")
     m = F.month("day")
     season = F.when(m.isin(12, 1, 2), "winter").when(m <= 5, "spring").when(m <= 8, "summer").otherwise("autumn")
-    out = c.join(o, "day", "left")
-    return out.select(F.col("day").cast("string"), F.year("day").alias("year"), m.alias("month"), (F.weekday("day") + 1).alias("weekday"), F.dayofyear("day").alias("doy"), kind.alias("day_type"), season.alias("season"), F.coalesce("orders", F.lit(0)).alias("orders"))
+    out = _span(s).join(o, "day", "left")
+    return out.select(F.col("day").cast("string"), F.year("day").alias("year"), m.alias("month"), (F.weekday("day") + 1).alias("weekday"), F.dayofyear("day").alias("doy"), holidays.day_type(F.col("day")).alias("day_type"), season.alias("season"), F.coalesce("orders", F.lit(0)).alias("orders"))
+
+
+@query(f"""WITH {_SPAN}, n AS (SELECT day, {holidays.sql("day")} AS name FROM c)
+SELECT n.day::VARCHAR AS day, n.name, b.name IS NOT NULL AS is_day_after_holiday FROM n LEFT JOIN n b ON b.day = n.day - 1 WHERE n.name IS NOT NULL OR b.name IS NOT NULL""")
+def holiday_calendar(s, d):
+    n = _span(s).select("day", holidays.holiday_name(F.col("day")).alias("name"))
+    after = n.where("name is not null").select(F.date_add("day", 1).alias("day"), F.lit(True).alias("after"))
+    out = n.join(after, "day", "left").where("name is not null or after")
+    return out.select(F.col("day").cast("string"), "name", F.coalesce("after", F.lit(False)).alias("is_day_after_holiday"))
 
 
 _DST = "dz AS (SELECT r_name AS entity, CASE r_regionkey WHEN 0 THEN 'America/New_York' WHEN 1 THEN 'America/Chicago' WHEN 2 THEN 'America/Los_Angeles' WHEN 3 THEN 'Etc/GMT+5' ELSE 'America/Denver' END AS zone FROM region), dd AS (SELECT entity, zone, CAST(unnest(list_concat(generate_series(DATE '2024-03-08', DATE '2024-03-12', INTERVAL 1 DAY), generate_series(DATE '2024-11-01', DATE '2024-11-05', INTERVAL 1 DAY))) AS DATE) AS day FROM dz), sp AS (SELECT entity, zone, day, unnest(generate_series(CAST(epoch(timezone(zone, CAST(day AS TIMESTAMP))) AS BIGINT) // 3600 + 1, CAST(epoch(timezone(zone, CAST(day + 1 AS TIMESTAMP))) AS BIGINT) // 3600)) AS h, CAST(epoch(timezone(zone, CAST(day AS TIMESTAMP))) AS BIGINT) // 3600 AS h0 FROM dd)"
