@@ -137,13 +137,18 @@ def pattern_counts(docs: DataFrame, patterns: DataFrame) -> DataFrame:
     return pairs.join(F.broadcast(patterns) if few else patterns, "pattern").groupBy("pattern").agg(F.count("*").alias("total"))
 
 
-def discover(docs: DataFrame, seen: DataFrame, rounds: int, support: int, trust: float) -> DataFrame:
+def discover(docs: DataFrame, seen: DataFrame, rounds: int, support: int, trust: float, early_share: int = 16) -> DataFrame:
     """(row_id, start, kind, end): the occurrences of instances that trusted patterns introduce."""
     edges = seen.where("pattern is not null and (kind is not null or (not taken and length(value) >= 5 and value rlike '[0-9]'))")
     edges = edges.groupBy("pattern", "value").agg(F.min("kind").alias("seed"), F.count("*").alias("times"))
-    known = edges.groupBy("pattern").agg(F.count("*").alias("values")).where(f"values >= {support}").select("pattern")
-    known = stash(known, "patterns")
-    edges = stash(edges.join(known, "pattern").join(pattern_counts(docs, known), "pattern"), "edges")
+    edges = stash(edges, "edges")
+    known = edges.groupBy("pattern").agg(F.count("*").alias("values"), F.sum("times").alias("most")).where(f"values >= {support}")
+    known = stash(known.select("pattern", "most"), "patterns")
+    # A pattern that some of the documents already show too often for any trust needs no count over all of them.
+    early = pattern_counts(docs.where(F.pmod(F.xxhash64("text"), F.lit(early_share)) == 0), known.select("pattern"))
+    hopeful = known.join(early, "pattern", "left").where(F.coalesce("total", F.lit(0)) * trust <= F.col("most"))
+    hopeful = stash(hopeful.select("pattern"), "patterns")
+    edges = stash(edges.join(pattern_counts(docs, hopeful), "pattern"), "edges")
     trusted = stash(edges.groupBy("value").agg(F.max("seed").alias("kind")).where("kind is not null").withColumn("c", F.lit(1.0)), "trusted")
     seeds = trusted
     for _ in range(rounds):
