@@ -61,6 +61,19 @@ def test_contexts_discover_unseen_identifiers_and_leave_others(docs_of):
     assert got[22] == [] and all(got[40 + i] == [] for i in range(30))
 
 
+def test_words_without_digits_spaced_numbers(docs_of):
+    rows = [(i, f"well. Please write to u{i}@mail.example soon") for i in range(12)] + [(100 + i, f"so reach me at +1 (456) 555-{2000 + i} today") for i in range(12)]
+    rows += [(20, "please write to admin@localhost, soon"), (22, "then write to @office_team now")]
+    rows += [(30, "you reach me at (030) 555 1234, later"), (31, "reach me at 77x0143 now")]
+    rows += [(34, "an invoice 12 +1 (456) 555-2001 came"), (35, "the invoice 030 555 came"), (36, "1 " * 20_000)]
+    text = dict(rows)
+    got = {r.doc_id: [(s.kind, text[r.doc_id][s.start : s.end]) for s in r.spans] for r in m.find_pii(docs_of(rows)).collect()}
+    assert got[20] == [(0, "admin@localhost")] and got[22] == [(0, "office_team")]
+    assert got[30] == [(3, "(030) 555 1234")]
+    assert got[31] == [(3, "77x0143")]
+    assert got[34] == [(3, "+1 (456) 555-2001")] and got[35] == [] and got[36] == []
+
+
 @pytest.mark.parametrize("schema", ["doc_id long, text string", "doc_id long, text string, spans int, t string, row_id long"])
 def test_empty_nulls_and_repeats(docs_of, schema):
     extra = (1, "u", 2) if "spans" in schema else ()

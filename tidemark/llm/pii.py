@@ -1,12 +1,14 @@
 """Personal data: fixed patterns, then bootstrapped contextual extraction, in DataFrame functions only.
 
-The fixed patterns give the seed entities. Every word that holds a digit or an at sign is an instance, and the
-two plain words before it are a lexical pattern. Spark scores the graph of patterns and instances round by round: a
+The fixed patterns give the seed entities. Every word of at least five characters (outer punctuation
+aside) that holds a digit or an at sign is an instance, as is a run of numbers with blanks between that touches no base
+span; the two plain words before it are a lexical pattern. Spark scores the graph of patterns and instances round by round: a
 pattern's confidence is the confidence of the instances that it introduces over all its occurrences in the corpus,
 whatever follows; an instance's is the chance that at least one of its trusted patterns is right. A pattern is trusted
 only if it introduces ``support`` different trusted instances with a confidence of at least ``trust``; instances
-reached with that confidence are new identifiers and take part in the next round. Their occurrences become spans of the
-kind that their patterns vote for; base spans are never touched.
+reached with that confidence are new identifiers and take part in the next round. Their occurrences behind a trusted
+pattern become spans of the kind that their patterns vote for; base spans are never touched. Left out: shorter words,
+occurrences of an accepted identifier in any other context, and instances without two plain words before them.
 
 Defined results: a null or empty text has no spans. Each row is searched by itself: null doc_ids and repeated rows
 give a row each. An empty table gives an empty table. Only doc_id and text are read.
@@ -31,7 +33,12 @@ PATTERNS = {
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
 #: Words with a digit or an at sign, from their first character to their last.
-MARKED = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
+WORD = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
+_NUMBER = r"[(+]*+[0-9][0-9()./-]*+(?![^\x20\x09-\x0D,;:!?\"'])"
+#: The same, but neighbouring numbers are one.
+MARKED = rf"(?<![^\x20\x09-\x0D]){_NUMBER}(?:\x20++{_NUMBER})++[^\x20\x09-\x0D]*+|{WORD}"
+#: Seen words and runs that may be identifiers although no fixed pattern finds them.
+_FREE = "not taken and length(value) >= 5"
 _BYTE = r"^0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])$"
 #: Pattern tables of up to so many rows (some 30 bytes each) may be broadcast; larger ones are shuffled.
 BROADCAST_ROWS = 200_000
@@ -102,16 +109,27 @@ def search(docs: DataFrame) -> DataFrame:
     two = lambda g: F.slice(F.concat(F.array(F.lit(""), F.lit("")), words(F.substring(g, -80, 80))), -2, 2)
     lead = lambda m: F.regexp_replace(m, r"^[^\p{L}\p{N}]++", "")
 
-    def seen(z: Column, i: Column) -> Column:
-        s, m, c = F.get(z["at"], i), F.get(z["found"], i), F.get(z["context"], i)
-        inside = F.filter(z["spans"], lambda x: (x["start"] < s + F.length(m)) & (x["end"] > s))
+    touching = lambda z, s, m: F.filter(z["spans"], lambda x: (x["start"] < s + F.length(m)) & (x["end"] > s))
+
+    def items(z: Column, i: Column) -> Column:
+        """A word or a run; of a run that holds base spans its words, the first with the pattern."""
+        s, m = F.get(z["at"], i), F.get(z["found"], i)
+        alone = F.size(touching(z, s, m)) == 0
+        item = lambda at, text, leads: F.struct(at.alias("s"), text.alias("m"), leads.alias("leads"), F.get(z["context"], i).alias("c"))
+        words = matches(m, WORD)
+        return F.when(~m.contains(" ") | alone, F.array(item(s, m, F.lit(True)))).otherwise(F.zip_with(starts(*words), words[0], lambda at, w: item(s + at, w, at == 0)))
+
+    def seen(z: Column, item: Column) -> Column:
+        s, m, c = item["s"], item["m"], item["c"]
+        inside = touching(z, s, m)
         first = F.filter(inside, lambda x: x["start"] >= s)
-        cut = F.length(m) - F.length(lead(m))
-        core = F.reverse(lead(F.reverse(lead(m))))
+        opened = F.when(m.contains(" "), m).otherwise(lead(m))  # a run's bracket or plus belongs to it
+        cut = F.length(m) - F.length(opened)
+        core = F.reverse(lead(F.reverse(opened)))
         return F.struct(
             (s + cut).alias("start"), (s + cut + F.length(core)).alias("end"),
             lower_ascii(F.coalesce(F.get(first, F.lit(0))["value"], core)).alias("value"),
-            F.when((F.get(c, F.lit(0)) != "") & (F.get(c, F.lit(1)) != ""), F.xxhash64(F.get(c, F.lit(0)), F.get(c, F.lit(1)))).alias("pattern"),
+            F.when(item["leads"] & (F.get(c, F.lit(0)) != "") & (F.get(c, F.lit(1)) != ""), F.xxhash64(F.get(c, F.lit(0)), F.get(c, F.lit(1)))).alias("pattern"),
             F.get(first, F.lit(0))["kind"].alias("kind"), (F.size(inside) > 0).alias("taken"),
         )
 
@@ -120,7 +138,8 @@ def search(docs: DataFrame) -> DataFrame:
         starts(F.col("found_mark"), F.col("gaps_mark")).alias("at"), F.col("found_mark").alias("found"),
         context.alias("context"), F.col("spans"),
     )
-    marks = let(known, lambda z: F.transform(F.sequence(F.lit(0), F.size(z["found"]) - 1), lambda i: seen(z, i)))
+    marks = let(known, lambda z: F.transform(F.sequence(F.lit(0), F.size(z["found"]) - 1), lambda i: F.transform(items(z, i), lambda x: seen(z, x))))
+    marks = F.flatten(marks)
     t = t.select("doc_id", spans.alias("spans"), "found_mark", "gaps_mark")
     marks = F.when(F.size("found_mark") > 0, marks)
     plain = F.transform("spans", lambda x: F.struct(x["start"].alias("start"), x["kind"].alias("kind"), x["end"].alias("end")))
@@ -139,7 +158,7 @@ def pattern_counts(docs: DataFrame, patterns: DataFrame) -> DataFrame:
 
 def discover(docs: DataFrame, seen: DataFrame, rounds: int, support: int, trust: float, early_share: int = 16) -> DataFrame:
     """(row_id, start, kind, end): the occurrences of instances that trusted patterns introduce."""
-    edges = seen.where("pattern is not null and (kind is not null or (not taken and length(value) >= 5 and value rlike '[0-9]'))")
+    edges = seen.where(f"pattern is not null and (kind is not null or ({_FREE}))")
     edges = edges.groupBy("pattern", "value").agg(F.min("kind").alias("seed"), F.count("*").alias("times"))
     edges = stash(edges, "edges")
     known = edges.groupBy("pattern").agg(F.count("*").alias("values"), F.sum("times").alias("most")).where(f"values >= {support}")
@@ -167,7 +186,7 @@ def discover(docs: DataFrame, seen: DataFrame, rounds: int, support: int, trust:
             (1 - F.exp(F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("p")))))).alias("c"),
         )
         trusted = stash(seeds.unionByName(found.where(F.col("c") >= trust)), "trusted")
-    hits = seen.where("kind is null and not taken and length(value) >= 5 and value rlike '[0-9]'").drop("kind")
+    hits = seen.where(f"kind is null and {_FREE}").drop("kind")
     hits = hits.join(votes.select("pattern"), "pattern", "left_semi").join(trusted.select("value", "kind"), "value")
     return hits.select("row_id", "start", "kind", "end")
 
