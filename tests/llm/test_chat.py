@@ -33,6 +33,21 @@ def test_layouts_of_json_records(docs_of):
     assert got[50] is None and got[51] is None and got[52] is None
 
 
+def test_json_records_with_missing_first_keys_and_extra_known_fields(docs_of):
+    q, a = ("user", "q"), ("assistant", "a")
+    cases = [
+        ({"messages": [{"role": "assistant", "tool_calls": [{"id": 1}]}, {"role": "user", "content": "q"}]}, [("assistant", ""), q]),
+        ({"messages": [{"role": "user", "content": "q"}, {"role": "assistant", "content": "a"}], "prompt": "p"}, [q, a]),
+        ({"prompt": "q", "completion": "a", "system": "s"}, [("system", "s"), q, a]),
+        ({"conversations": [{"from": "human", "value": "q"}], "system": "s", "input": ""}, [("system", "s"), q]),
+        ({"prompt": "q", "response": "a", "system": "s", "output": "o"}, [("system", "s"), q, a]),
+    ]
+    rows = [(i, json.dumps(r)) for i, (r, _) in enumerate(cases)] + [(50, '{"messages": [], "system": "s"}')]
+    got = {r.doc_id: r.turns for r in docs_of(rows).select("doc_id", m.turns_of_json(F.col("text")).alias("turns")).collect()}
+    assert [[(t.role, t.text) for t in got[i]] for i in range(len(cases))] == [want for _, want in cases]
+    assert got[50] is None
+
+
 def test_empty_and_clashing_columns(docs_of):
     schema = "conv_id long, turn long, role string, text string, turns int, formatted string"
     assert m.format_conversations(docs_of([], schema)).count() == 0

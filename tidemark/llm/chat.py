@@ -1,7 +1,8 @@
 """Chat formatting by schema fingerprints, in DataFrame functions only.
 
-A layout is a declaration: the field paths that name it, and where roles and texts are found. A record's paths are
-hashed; the hash selects the layout, and the layout's mapping gives canonical turns (role, text). Typed tables are
+A layout is a declaration: the field paths that name it, and where roles and texts are found. Of a record's paths
+those of the most specific layout that they contain are hashed; the hash selects the layout, and the layout's mapping
+gives canonical turns (role, text). A ``system`` field beside a layout without one is the first turn. Typed tables are
 fingerprinted once, by their schema; JSON records one by one, so that a table may mix layouts.
 
 The template is ``<|turn:ROLE|>TEXT<|end|>`` and a newline for each turn. In texts and roles every run of ``<``,
@@ -47,13 +48,12 @@ LAYOUTS = [
 ]
 #: Names that other tools give to the same roles.
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
-_KNOWN = sorted({p for layout in LAYOUTS for p in layout.paths})
 
 
 def fingerprint(paths: Column) -> Column:
-    """Hash of the set of field paths that any layout knows; other paths don't count."""
-    known = F.array(*[F.lit(p) for p in _KNOWN])
-    return F.xxhash64(F.array_join(F.array_sort(F.array_intersect(paths, known)), "\n"))
+    """Hash of the paths of the most specific layout that a record's paths contain; other paths don't count."""
+    layouts = [F.array(*map(F.lit, sorted(layout.paths))) for layout in sorted(LAYOUTS, key=lambda x: -len(x.paths))]
+    return F.xxhash64(F.coalesce(*[F.when(F.size(F.array_except(x, paths)) == 0, F.array_join(x, "\n")) for x in layouts], F.lit("")))
 
 
 def _fixed(layout: Layout) -> Column:
@@ -61,14 +61,15 @@ def _fixed(layout: Layout) -> Column:
 
 
 def json_paths(record: Column) -> Column:
-    """Top-level fields of a JSON record, and the fields of the first element of its lists."""
+    """Top-level fields of a JSON record, and the fields of all elements of its lists."""
     lists = sorted({layout.listed[0] for layout in LAYOUTS if layout.listed})
     keys = F.coalesce(F.json_object_keys(record), F.array().cast("array<string>"))
     none = F.array().cast("array<string>")
 
     def inner(name: str) -> Column:
-        fields = F.coalesce(F.json_object_keys(F.get_json_object(record, f"$.{name}[0]")), none)
-        return F.transform(fields, lambda k: F.concat(F.lit(f"{name}[]."), k))
+        items = F.coalesce(F.from_json(F.get_json_object(record, f"$.{name}"), "array<string>"), none)
+        fields = F.flatten(F.transform(items, lambda x: F.coalesce(F.json_object_keys(x), none)))
+        return F.transform(F.array_distinct(fields), lambda k: F.concat(F.lit(f"{name}[]."), k))
 
     nested = map(inner, lists)
     return F.concat(keys, *nested)
@@ -97,6 +98,9 @@ def turns_of_json(record: Column) -> Column:
             field = lambda n: F.get_json_object(record, f"$.{n}")
             join = lambda names: F.array_join(F.filter(F.array(*map(field, names)), lambda x: x != ""), "\n")
             turns = F.array(*[_turn(F.lit(role), join(names.split("+")) if "+" in names else field(names)) for role, names in layout.turns])
+        if "system" not in layout.paths:
+            system = F.get_json_object(record, "$.system")
+            turns = F.when(system.isNotNull(), F.concat(F.array(_turn(F.lit("system"), system)), turns)).otherwise(turns)
         out = F.when(mark == _fixed(layout), turns).otherwise(out)
     return out
 
