@@ -27,7 +27,7 @@ def shared_dir(spark: SparkSession) -> str:
     return named.rstrip("/")
 
 
-def stash(df: DataFrame, tag: str) -> DataFrame:
+def stash(df: DataFrame, tag: str, codec: str = "snappy") -> DataFrame:
     """Write a table into the shared folder and read it back: cuts lineage, survives lost executors.
 
     The write's own shuffle files go when it is done, since nothing reads them again.
@@ -37,7 +37,7 @@ def stash(df: DataFrame, tag: str) -> DataFrame:
     before = spark.conf.get(_CLEANUP, None)
     spark.conf.set(_CLEANUP, "true")
     try:
-        df.write.parquet(path)
+        df.write.option("compression", codec).parquet(path)
     finally:
         spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)
