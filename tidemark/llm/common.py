@@ -51,6 +51,22 @@ def drop_stash(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def join_hot(rows: DataFrame, side: DataFrame, on, hot: DataFrame, weight: str | None = None, how: str = "inner", most: int = 32 << 20) -> DataFrame:
+    """``rows`` joined with ``side`` on key columns of which ``hot`` lists those with very many rows.
+
+    Rows of hot keys take a broadcast of their part of ``side``, all others the shuffle, so no key gathers its rows in one
+    task. The part is broadcast only if it holds at most ``most`` bytes: the column ``weight`` and 64 for the rest of a row.
+    """
+    mine = side.join(hot, on, "left_semi")
+    size = F.lit(64) + (F.octet_length(weight) if weight else F.lit(0))
+    held = mine.agg(F.coalesce(F.sum(size), F.lit(0))).first()[0]
+    if not 0 < held <= most:
+        return rows.join(side, on, how)
+    few = F.broadcast(mine)
+    keys = F.broadcast(mine.select(*([on] if isinstance(on, str) else on)).distinct())
+    return rows.join(few, on).unionByName(rows.join(keys, on, "left_anti").join(side, on, how))
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

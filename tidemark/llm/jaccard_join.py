@@ -6,13 +6,16 @@ into more than D parts; the parity (XOR) of the fingerprints in a part is one sk
 most differing shingles, and two linked sets must agree in some part. Parts are therefore joined by equality:
 every set enters the scheme of its own band and, as the smaller partner, that of the next.
 
+A band has spare parts, E of them, so two linked sets agree in E + 1 parts at least. All parts stand in one order: empty
+parts first, then parts by how many sets agree in them. Each set leaves its first E parts out, and no link is lost: of the
+parts in which two sets agree the last one has E before it in both. So what many documents share by chance or by
+quotation (a passage, a frequent shingle) costs nothing, and sets that agree in E parts or fewer go altogether.
+
 A bucket of agreeing sets never emits its pairs. Its smallest member is verified against the others (exactly, on
 shingle sets, after a bound by bit sketches), and components are formed. Only buckets that still hold several components go on: their members meet
 in blocks of bounded size, where the Hamming distance of parity bit sketches drops every pair whose sets must
 differ too much, and what is left across components is verified exactly. No link between components is lost.
-
-The pigeonhole holds for any predicate on a part's content: with E parts to spare, a set with at most E weak
-parts (of one shingle or none) may leave them out, for then an agreeing part remains that is not weak.
+Large groups of copies and the smallest members of large buckets are hot keys; they take a broadcast of checked size.
 
 Defined results: a null or empty text has no shingles and links with nothing. Rows with a null doc_id take no part;
 their component is null. Rows that repeat a doc_id stand for one document, linked through each of its texts. An
@@ -25,11 +28,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import xxhash
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import components, stash, table, words_of
+from .common import components, drop_stash, join_hot, stash, table
 
 _U = np.uint64
 
@@ -41,29 +44,79 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> _U(31))
 
 
-class WordHashes(dict):
-    """Hash of each word, computed once; emptied before it grows large."""
+_TABLE = mix(np.arange(1, 257, dtype=_U) * _U(0x9E3779B97F4A7C15))
+_BLANK = np.isin(np.arange(256), [0x20, *range(0x09, 0x0E)])
+_BASE = _U(0x9E3779B97F4A7C15)
+_BACK = _U(pow(int(_BASE), -1, 1 << 64))
+
+
+class Powers:
+    """Powers of a base and of its inverse modulo 2^64, as many as were asked for."""
+
+    def __init__(self) -> None:
+        self.up = self.down = np.ones(1, _U)
+
+    def __call__(self, n: int) -> tuple[np.ndarray, np.ndarray]:
+        if len(self.up) < n:
+            n = max(n, 2 * len(self.up))
+            self.up, self.down = (np.cumprod(np.append(_U(1), np.full(n - 1, x, _U)), dtype=_U) for x in (_BASE, _BACK))
+        return self.up, self.down
+
+
+_POWERS = Powers()
+
+
+def word_hashes(raw: bytes, piece: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+    """64-bit hashes of the words of a lower-cased text, and where each starts; long texts are read piece by piece."""
+    out, first, at = [np.zeros(0, _U)], [np.zeros(0, np.int64)], 0
+    while at < len(raw):
+        end = at + piece
+        while end < len(raw) and not _BLANK[raw[end]]:
+            end += 1
+        b = np.frombuffer(raw, np.uint8, min(end, len(raw)) - at, at)
+        blank = np.concatenate(([True], _BLANK[b], [True]))
+        starts = np.flatnonzero(blank[:-1] & ~blank[1:])
+        ends = np.flatnonzero(~blank[:-1] & blank[1:])
+        up, down = _POWERS(len(b))
+        sums = np.append(_U(0), np.cumsum(_TABLE[b] * up[: len(b)], dtype=_U))
+        out.append(mix((sums[ends] - sums[starts]) * down[starts] + (ends - starts).astype(_U)))
+        first.append(starts + at)
+        at = end
+    return np.concatenate(out), np.concatenate(first)
+
 
-    def __missing__(self, word: bytes) -> int:
-        if len(self) > 300_000:
-            self.clear()
-        value = self[word] = xxhash.xxh3_64_intdigest(word)
-        return value
+def distinct(x: np.ndarray) -> np.ndarray:
+    x = np.sort(x)
+    return x[np.append(True, x[1:] != x[:-1])] if len(x) else x
 
 
-def shingles(text: str | None, words: int, hashes: WordHashes) -> np.ndarray:
-    """Sorted distinct hashes of a text's shingles of ``words`` words; of all its words if it has fewer."""
-    ws = words_of(text)
-    if not ws:
-        return np.zeros(0, _U)
-    if len(ws) < words:
-        return np.array([xxhash.xxh3_64_intdigest(b" ".join(ws), seed=len(ws))], dtype=_U)
-    h = np.fromiter(map(hashes.__getitem__, ws), dtype=_U, count=len(ws))
-    n = len(h) - words + 1
+def shingles(h: np.ndarray, words: int) -> np.ndarray:
+    """Sorted distinct hashes of the shingles of ``words`` words; of all the words if there are fewer."""
+    if not len(h):
+        return h
+    k = min(words, len(h))
+    n = len(h) - k + 1
     out = h[:n].copy()
-    for i in range(1, words):
-        out = out * _U(0x9E3779B97F4A7C15) + h[i : n + i]
-    return np.unique(mix(out))
+    for i in range(1, k):
+        out *= _U(0xD6E8FEB86659FD93)
+        out += h[i : n + i]
+    return distinct(mix(out + _U(k)))
+
+
+def shingle_sets(texts: list[str | None], words: int, most: int = 1 << 20) -> Iterator[np.ndarray]:
+    """The shingle set of each text; short texts are hashed together."""
+    lo = 0
+    while lo < len(texts):
+        raws, size = [], 0
+        while lo < len(texts) and (not raws or size + len(texts[lo] or "") <= most):
+            raws.append((texts[lo] or "").encode("utf-8", "surrogatepass").lower())
+            size += len(raws[-1])
+            lo += 1
+        h, starts = word_hashes(b" ".join(raws))
+        at = 0
+        for end in np.searchsorted(starts, np.cumsum([len(r) + 1 for r in raws])).tolist():
+            yield shingles(h[at:end], words)
+            at = end
 
 
 def bands(num: int, den: int, top: int = 1 << 40) -> list[tuple[int, int, int, int]]:
@@ -72,16 +125,17 @@ def bands(num: int, den: int, top: int = 1 << 40) -> list[tuple[int, int, int, i
     while lo < top:
         hi = max(lo + 1, lo * 3 // 2) - 1
         d = (den - num) * 2 * hi // (den + num)
-        out.append((lo, hi, d, (d + 1) // 12))
+        out.append((lo, hi, d, (d + 1) // 6))
         lo = hi + 1
     return out
 
 
-def sketch_keys(u: np.ndarray, num: int, den: int, scheme: list[tuple[int, int, int, int]]) -> np.ndarray:
-    """Join keys (48 bits) of the parts of a set's parity sketch, for the bands that it takes part in."""
+def sketch_parts(u: np.ndarray, num: int, den: int, scheme: list[tuple[int, int, int, int]]) -> Iterator[tuple[int, int, np.ndarray]]:
+    """For each band that a set takes part in: its number, the parts that may still be left out, and the join keys of the
+    parts of the set's parity sketch. The last 8 of a key's 56 bits are the band's number."""
     n = len(u)
     own = next(i for i, b in enumerate(scheme) if n <= b[1])
-    fingerprints, keys = mix(u ^ _U(0x5851F42D4C957F2D)), []
+    fingerprints = mix(u ^ _U(0x5851F42D4C957F2D))
     for k in range(own, len(scheme)):
         lo, _, d, spare = scheme[k]
         if n * den < lo * num:  # too small for any set of this band
@@ -91,13 +145,17 @@ def sketch_keys(u: np.ndarray, num: int, den: int, scheme: list[tuple[int, int,
         m = d + 1 + spare
         part = ((u >> _U(32)) * _U(m) >> _U(32)).astype(np.int64)
         count = np.bincount(part, minlength=m)
-        words = np.zeros(m, _U)
         full = np.flatnonzero(count)
+        words = np.zeros(m, _U)
         words[full] = np.bitwise_xor.reduceat(fingerprints, (np.cumsum(count) - count)[full])
-        strong = count > 1
-        use = np.flatnonzero(strong) if m - strong.sum() <= spare else np.arange(m)
-        keys.append(mix(words[use] ^ mix(use.astype(_U) * _U(4096) + _U(k + 1))) >> _U(16))
-    return np.concatenate(keys) if keys else np.zeros(0, _U)
+        gone = min(spare, m - len(full))
+        use = full if len(full) + gone == m else np.sort(np.append(full, np.flatnonzero(count == 0)[gone:]))
+        yield k, spare - gone, (mix(words[use] ^ mix(use.astype(_U) * _U(4096) + _U(k + 1))) >> _U(16) << _U(8)) + _U(k)
+
+
+def sketch_keys(u: np.ndarray, num: int, den: int, scheme: list[tuple[int, int, int, int]]) -> np.ndarray:
+    """The join keys of a set for all bands that it takes part in."""
+    return np.concatenate([np.zeros(0, _U), *(keys for _, _, keys in sketch_parts(u, num, den, scheme))])
 
 
 def bit_sketch(u: np.ndarray) -> bytes:
@@ -119,11 +177,10 @@ def _per_text(words: int, make, types: list[tuple[str, pa.DataType]]):
     schema = pa.schema(types)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = WordHashes()
         for b in batches:
             docs, texts = b["doc_id"].to_pylist(), b["text"].to_pylist()
             for lo in range(0, len(docs), 500):
-                sets = [shingles(t, words, hashes) for t in texts[lo : lo + 500]]
+                sets = list(shingle_sets(texts[lo : lo + 500], words))
                 yield pa.RecordBatch.from_arrays(make(docs[lo : lo + 500], sets), schema=schema)
 
     return run
@@ -145,9 +202,10 @@ def _index(num: int, den: int):
     scheme = bands(num, den)
 
     def make(docs, sets):
-        keys = [sketch_keys(u, num, den, scheme) for u in sets]
-        ids = np.repeat(np.array(docs, np.int64), [len(k) for k in keys])
-        return [pa.array(np.concatenate([*keys, np.zeros(0, _U)]).view(np.int64)), pa.array(ids)]
+        parts = [(doc, left, keys) for doc, u in zip(docs, sets, strict=True) for _, left, keys in sketch_parts(u, num, den, scheme)]
+        sizes = [len(keys) for _, _, keys in parts]
+        each = lambda at, kind: pa.array(np.repeat(np.array([p[at] for p in parts], kind), sizes))
+        return [pa.array(np.concatenate([np.zeros(0, _U), *(keys for _, _, keys in parts)]).view(np.int64)), each(0, np.int64), each(1, np.int32)]
 
     return make
 
@@ -168,7 +226,13 @@ def likely(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFra
             yield pa.RecordBatch.from_arrays([b["a"].filter(keep), b["b"].filter(keep)], names=["a", "b"])
 
     # A document with several texts has several sketches; the pair stays if any two of them are near.
-    return pairs.join(one, "a").join(two, "b").mapInArrow(run, "a long, b long").distinct()
+    return _both(pairs, one, two, "bitsa").mapInArrow(run, "a long, b long").distinct()
+
+
+def _both(pairs: DataFrame, one: DataFrame, two: DataFrame, weight: str) -> DataFrame:
+    """Pairs (a, b) with the columns of a and of b. The smallest member of a bucket, a, may have very many partners."""
+    many = pairs.groupBy("a").count().where("count >= 1000").select("a")
+    return join_hot(pairs, one, "a", many, weight).join(two, "b")
 
 
 def verify(pairs: DataFrame, rows: DataFrame, words: int, num: int, den: int) -> DataFrame:
@@ -193,7 +257,7 @@ def verify(pairs: DataFrame, rows: DataFrame, words: int, num: int, den: int) ->
             keep = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays([b["a"].filter(keep), b["b"].filter(keep)], names=["a", "b"])
 
-    return pairs.join(one, "a").join(two, "b").select("a", "b", "ua", "ub").mapInArrow(run, "a long, b long")
+    return _both(pairs, one, two, "ua").select("a", "b", "ua", "ub").mapInArrow(run, "a long, b long")
 
 
 def _blocks(num: int, den: int):
@@ -231,26 +295,37 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     sets = rows.mapInArrow(_per_text(words, _signatures, names), "doc_id long, n long, s1 long, s2 long, bits binary")
     sets = stash(sets, "sets")
     real = sets.where("n > 0 and doc_id is not null")
-    first = real.groupBy("n", "s1", "s2").agg(F.min("doc_id").alias("rep"))
-    members = stash(real.join(first, ["n", "s1", "s2"]).select("doc_id", "rep"), "members")
+    one_id = ["n", "s1", "s2"]
+    copies = stash(real.groupBy(*one_id).agg(F.min("doc_id").alias("rep"), F.count("*").alias("g")).where("g > 1"), "copies")
+    same = join_hot(real.select("doc_id", *one_id), copies, one_id, copies.where("g >= 1000").select(*one_id), None, "left")
+    members = stash(same.select("doc_id", F.coalesce("rep", "doc_id").alias("rep")), "members")
+    drop_stash(copies)
     # A document with several texts ties their classes together.
     ties = members.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b").select("a", "b")
 
     reps = rows.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
     index = reps.mapInArrow(
-        _per_text(words, _index(num, den), [("key", pa.int64()), ("id", pa.int64())]), "key long, id long"
-    ).repartition("key")  # one exchange serves both the hubs and the join with them
-    hubs = index.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last")
-    shared = stash(index.join(hubs.hint("shuffle_hash"), "key").select("key", "id", "hub"), "buckets")
-
-    stars = shared.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct()
+        _per_text(words, _index(num, den), [("key", pa.int64()), ("id", pa.int64()), ("left", pa.int32())]), "key long, id long, left int"
+    ).repartition("key")  # one exchange serves both the buckets' sizes and the join with them
+    sizes = index.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("g")).where("lo < hi")
+    agree = index.join(sizes.select("key", "g").hint("shuffle_hash"), "key")
+    band = W.partitionBy("id", F.col("key").bitwiseAND(255))
+    agree = agree.withColumn("rank", F.row_number().over(band.orderBy(F.desc("g"), "key"))).withColumn("left", F.min("left").over(band))
+    agree = stash(agree.where("rank > left").select("key", "id").distinct(), "agree")
+    hubs = agree.groupBy("key").agg(F.min("id").alias("hub"), F.max("id").alias("last")).where("hub < last").select("key", "hub")
+    shared = stash(agree.join(hubs.hint("shuffle_hash"), "key"), "buckets")
+    drop_stash(agree)
+
+    pairs = stash(shared.where("id <> hub").select(F.col("hub").alias("a"), F.col("id").alias("b")).distinct(), "pairs")
     sketches = real.select("doc_id", "n", "bits")
-    stars = stash(likely(stars, sketches, num, den), "stars")
+    stars = stash(likely(pairs, sketches, num, den), "stars")
+    drop_stash(pairs)
     good = stash(verify(stars, rows, words, num, den).unionByName(ties), "links")
+    drop_stash(stars)
     parts = stash(components(good), "parts")
 
     # Buckets that still hold several components, with more in them than the pairs seen so far.
-    inside = shared.distinct().join(parts.select("id", "component"), "id", "left")
+    inside = shared.join(parts.select("id", "component"), "id", "left")
     inside = inside.withColumn("component", F.coalesce("component", "id"))
     open_ = (
         inside.groupBy("key")
@@ -259,6 +334,8 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
         .select("key", F.ceil(F.col("g") / block).cast("int").alias("blocks"))
     )
     inside = stash(inside.join(open_, "key").select("key", "id", "component", "blocks"), "open")
+    drop_stash(shared)
+    drop_stash(parts)
     wide = sketches.withColumnRenamed("doc_id", "id")
     mine = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
     dealt = inside.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
@@ -268,13 +345,18 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     )
     near = dealt.join(wide, "id").groupBy("key", "i", "j").applyInArrow(_blocks(num, den), "a long, b long")
     near = stash(near.distinct(), "near")
+    drop_stash(inside)
     more = stash(verify(near, rows, words, num, den), "links")
+    drop_stash(near)
     final = components(good.unionByName(more))
 
     found = members.distinct().join(final.withColumnRenamed("id", "rep"), "rep", "left")
     found = found.groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("component_id"))
     out = sets.select("doc_id", F.col("n").alias("n_shingles")).join(found, "doc_id", "left")
-    return out.withColumn("component_id", F.coalesce("component_id", "doc_id"))
+    out = stash(out.withColumn("component_id", F.coalesce("component_id", "doc_id")), "classes")
+    for used in (sets, members, good, more):
+        drop_stash(used)
+    return out
 
 
 def op2_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
