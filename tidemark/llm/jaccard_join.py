@@ -307,7 +307,8 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     index = reps.mapInArrow(
         _per_text(words, _index(num, den), [("key", pa.int64()), ("id", pa.int64()), ("left", pa.int32())]), "key long, id long, left int"
     ).repartition("key")  # one exchange serves both the buckets' sizes and the join with them
-    sizes = index.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("g")).where("lo < hi")
+    sizes = index.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("g"), F.max("left").alias("most"))
+    sizes = sizes.where("lo < hi and most >= 0")  # always so; the column keeps both readers of the exchange alike
     agree = index.join(sizes.select("key", "g").hint("shuffle_hash"), "key")
     band = W.partitionBy("id", F.col("key").bitwiseAND(255))
     agree = agree.withColumn("rank", F.row_number().over(band.orderBy(F.desc("g"), "key"))).withColumn("left", F.min("left").over(band))
