@@ -13,7 +13,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import stash, table
+from tidemark.llm.common import drop_stash, stash, table
 from tidemark.llm.decontaminate import find_leaks
 from tidemark.llm.jaccard_join import jaccard_classes
 from tidemark.llm.line_dedup import apply_keep_bitmaps, keep_bitmaps
@@ -70,7 +70,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, last = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = stash(stage(spark, docs, sf_dir), name)
+        if last is not None:
+            drop_stash(last)
+        last = docs
     return STAGES[-1][1](spark, docs, sf_dir)
