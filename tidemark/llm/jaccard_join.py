@@ -260,35 +260,58 @@ def verify(pairs: DataFrame, rows: DataFrame, words: int, num: int, den: int) ->
     return _both(pairs, one, two, "ua").select("a", "b", "ua", "ub").mapInArrow(run, "a long, b long")
 
 
-def _blocks(num: int, den: int):
-    """Within a block pair of one bucket: pairs across components that the bit sketches can't rule out."""
+def _candidates(ids, comp, n, side, raw, small, same: bool, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Pairs of positions across components that the bit sketches can't rule out, and how far apart the sketches are.
+
+    ``small`` marks the sets outside the largest component; every pair holds one of them.
+    """
+    size = np.array([len(x) for x in raw])
+    out = [(np.zeros(0, np.int64), np.zeros(0, np.int64), np.zeros(0))]
+    for width in np.unique(size):  # a pair is compared at the width of its smaller sketch
+        at = np.flatnonzero(size >= width)
+        at = at[np.argsort(~small[at], kind="stable")]
+        bits = np.stack([fold(raw[r], int(width)) for r in at]).view(_U)
+        for row in range(int(small[at].sum())):
+            r, rest = at[row], at[row + 1 :]
+            far = np.bitwise_count(bits[row + 1 :] ^ bits[row]).sum(1, dtype=np.int64)
+            total = n[rest] + n[r]
+            ok = ((den + num) * far <= (den - num) * total) & (comp[rest] != comp[r])
+            ok &= np.minimum(n[rest], n[r]) * den >= np.maximum(n[rest], n[r]) * num
+            ok &= (np.minimum(size[rest], size[r]) == width) & (ids[rest] != ids[r])
+            if not same:
+                ok &= side[rest] != side[r]
+            if ok.any():
+                out.append((np.full(ok.sum(), r), rest[ok], far[ok] / total[ok]))
+    return tuple(map(np.concatenate, zip(*out, strict=True)))
+
+
+def _blocks(num: int, den: int, most: int):
+    """Within a block pair of one bucket: for each set outside the largest component the ``most`` likeliest partners in
+    other components, as rows (a, b, key); a row with the key alone says that there are more."""
 
     def run(group: pa.Table) -> pa.Table:
         ids, comp, n, side = (group[c].to_numpy() for c in ("id", "component", "n", "side"))
         raw = [np.frombuffer(x, np.uint8) for x in group["bits"].to_pylist()]
-        pairs: list[tuple[np.ndarray, np.ndarray]] = []
-        same = bool(group["i"][0].as_py() == group["j"][0].as_py())
-        size = np.array([len(x) for x in raw])
-        for width in np.unique(size):  # a pair is compared at the width of its smaller sketch
-            at = np.flatnonzero(size >= width)
-            bits = np.stack([fold(raw[r], int(width)) for r in at]).view(_U)
-            for row, r in enumerate(at):
-                far = np.bitwise_count(bits ^ bits[row]).sum(1, dtype=np.int64)
-                total = n[at] + n[r]
-                ok = ((den + num) * far <= (den - num) * total) & (comp[at] != comp[r])
-                ok &= np.minimum(n[at], n[r]) * den >= np.maximum(n[at], n[r]) * num
-                ok &= np.minimum(size[at], size[r]) == width
-                ok &= (ids[at] > ids[r]) if same else (side[at] != side[r]) & (ids[at] > ids[r])
-                if ok.any():
-                    pairs.append((np.full(ok.sum(), ids[r]), ids[at][ok]))
-        a = np.concatenate([p[0] for p in pairs]) if pairs else np.zeros(0, np.int64)
-        b = np.concatenate([p[1] for p in pairs]) if pairs else np.zeros(0, np.int64)
-        return pa.table({"a": pa.array(a, pa.int64()), "b": pa.array(b, pa.int64())})
+        key, same = group["key"][0].as_py(), bool(group["i"][0].as_py() == group["j"][0].as_py())
+        names, counts = np.unique(comp, return_counts=True)
+        small = comp != names[counts.argmax()]
+        x, y, far = _candidates(ids, comp, n, side, raw, small, same, num, den)
+        who = np.concatenate((x[small[x]], y[small[y]]))
+        pair = np.concatenate((np.flatnonzero(small[x]), np.flatnonzero(small[y])))
+        order = np.lexsort((far[pair], who))
+        who, pair = who[order], pair[order]
+        opens = np.flatnonzero(np.append(True, who[1:] != who[:-1])) if len(who) else who
+        rank = np.arange(len(who)) - np.repeat(opens, np.diff(np.append(opens, len(who))))
+        use = np.unique(pair[rank < most])
+        a, b = (np.append(least(ids[x[use]], ids[y[use]]), 0) for least in (np.minimum, np.maximum))
+        more = bool((rank >= most).any())
+        gone = np.append(np.zeros(len(use), bool), True)
+        return pa.table({"a": pa.array(a, mask=gone), "b": pa.array(b, mask=gone), "key": pa.array([key] * len(a), pa.int64())}).slice(0, len(use) + more)
 
     return run
 
 
-def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, block: int = 256) -> DataFrame:
+def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 80, den: int = 100, block: int = 512) -> DataFrame:
     """(doc_id, n_shingles, component_id) for each row of a documents table."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     names = [("doc_id", pa.int64()), ("n", pa.int64()), ("s1", pa.int64()), ("s2", pa.int64()), ("bits", pa.binary())]
@@ -324,38 +347,55 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     good = stash(verify(stars, rows, words, num, den).unionByName(ties), "links")
     drop_stash(stars)
     parts = stash(components(good), "parts")
+    drop_stash(good)
 
-    # Buckets that still hold several components, with more in them than the pairs seen so far.
-    inside = shared.join(parts.select("id", "component"), "id", "left")
-    inside = inside.withColumn("component", F.coalesce("component", "id"))
-    open_ = (
-        inside.groupBy("key")
-        .agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("g"))
-        .where("c0 < c1 and g > 2")
-        .select("key", F.ceil(F.col("g") / block).cast("int").alias("blocks"))
-    )
-    inside = stash(inside.join(open_, "key").select("key", "id", "component", "blocks"), "open")
-    drop_stash(shared)
-    drop_stash(parts)
+    # Buckets that still hold several components, with more in them than the pairs seen so far. In the first round each
+    # set meets others only in its largest bucket, later in all; each names its likeliest partners, in each round more.
     wide = sketches.withColumnRenamed("doc_id", "id")
-    mine = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
-    dealt = inside.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-    dealt = dealt.select(
-        "key", "id", "component", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
-        (F.col("mine") > F.col("other")).cast("int").alias("side"),
-    )
-    near = dealt.join(wide, "id").groupBy("key", "i", "j").applyInArrow(_blocks(num, den), "a long, b long")
-    near = stash(near.distinct(), "near")
-    drop_stash(inside)
-    more = stash(verify(near, rows, words, num, den), "links")
-    drop_stash(near)
-    final = components(good.unionByName(more))
+    round_, cut = 0, None
+    while True:
+        inside = shared.join(parts, "id", "left").withColumn("component", F.coalesce("component", "id"))
+        if cut is not None:
+            inside = inside.join(cut, "key", "left_semi")
+        held = [F.bit_xor(F.xxhash64("id", F.lit(salt))).alias(f"m{salt}") for salt in (1, 2)]
+        open_ = inside.groupBy("key").agg(F.min("component").alias("c0"), F.max("component").alias("c1"), F.count("*").alias("g"), *held)
+        # Sets that are alike agree in many parts: of the buckets with the same members one is enough.
+        open_ = open_.where("c0 < c1 and g > 2").groupBy("g", "m1", "m2").agg(F.min("key").alias("key"))
+        inside = inside.join(open_.select("key", "g"), "key").select("key", "id", "component", "g")
+        if round_ == 0:
+            largest = F.row_number().over(W.partitionBy("id").orderBy(F.desc("g"), "key"))
+            inside = inside.withColumn("rank", largest).where("rank = 1").drop("rank")
+        inside = stash(inside.withColumn("blocks", F.ceil(F.col("g") / block).cast("int")), "open")
+        mine = F.pmod(F.xxhash64("id"), F.col("blocks")).cast("int")
+        dealt = inside.withColumn("mine", mine).withColumn("other", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
+        dealt = dealt.select(
+            "key", "id", "component", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"),
+            (F.col("mine") > F.col("other")).cast("int").alias("side"),
+        )
+        run = _blocks(num, den, 4 * 16 ** (round_ - 1) if round_ else 1)
+        near = stash(dealt.join(wide, "id").groupBy("key", "i", "j").applyInArrow(run, "a long, b long, key long"), "near")
+        drop_stash(inside)
+        more = stash(verify(near.where("a is not null").select("a", "b").distinct(), rows, words, num, den), "links")
+        last, cut = cut, stash(near.where("a is null").select("key").distinct(), "cut") if round_ else None
+        for used in (near, last):
+            if used is not None:
+                drop_stash(used)
+        if more.limit(1).count():
+            before, parts = parts, stash(components(parts.select(F.col("id").alias("a"), F.col("component").alias("b")).unionByName(more)), "parts")
+            drop_stash(before)
+        drop_stash(more)
+        if round_ and cut.limit(1).count() == 0:
+            drop_stash(cut)
+            break
+        round_ += 1
+    drop_stash(shared)
+    final = parts
 
     found = members.distinct().join(final.withColumnRenamed("id", "rep"), "rep", "left")
     found = found.groupBy("doc_id").agg(F.min(F.coalesce("component", "rep")).alias("component_id"))
     out = sets.select("doc_id", F.col("n").alias("n_shingles")).join(found, "doc_id", "left")
     out = stash(out.withColumn("component_id", F.coalesce("component_id", "doc_id")), "classes")
-    for used in (sets, members, good, more):
+    for used in (sets, members, parts):
         drop_stash(used)
     return out
 
