@@ -1,3 +1,5 @@
+import pytest
+
 import json
 
 from pyspark.sql import functions as F
@@ -52,3 +54,20 @@ def test_empty_and_clashing_columns(docs_of):
     schema = "conv_id long, turn long, role string, text string, turns int, formatted string"
     assert m.format_conversations(docs_of([], schema)).count() == 0
     assert m.format_conversations(docs_of([(1, 1, "user", "x", 1, "f")], schema).select("*")).first().formatted == "<|turn:user|>x<|end|>\n"
+
+
+def test_fingerprint_of_the_schema_selects_the_layout_of_typed_tables(spark, monkeypatch):
+    """Typed tables go by their nested field paths; raw roles of turn tables stay; without the layout nothing is guessed."""
+    said = lambda df: sorted((r.conv_id, [(t.role, t.text) for t in r.turns]) for r in m.turns_of_rows(df).collect())
+    rows = spark.createDataFrame([(1, 1, "gpt", "b", 5), (1, 0, "human", "a", 5)], "conv_id long, turn int, role string, text string, extra int")
+    assert said(rows) == [(1, [("human", "a"), ("gpt", "b")])]
+    other = spark.createDataFrame([(2, 0, "user", "x")], "conversation_id long, index int, `from` string, value string")
+    assert said(other) == [(2, [("user", "x")])]
+    nested = spark.createDataFrame([(3, [("user", "q"), ("assistant", None)], "s")], "conv_id long, messages array<struct<role:string,content:string>>, system string")
+    assert said(nested) == [(3, [("system", "s"), ("user", "q"), ("assistant", "")])]
+    flat = spark.createDataFrame([(4, "do", "with", "done")], "conv_id long, instruction string, input string, output string")
+    assert said(flat) == [(4, [("user", "do\nwith"), ("assistant", "done")])]
+    assert said(rows.limit(0)) == []
+    monkeypatch.setattr(m, "ROW_LAYOUTS", m.ROW_LAYOUTS[1:])
+    with pytest.raises(ValueError):
+        m.turns_of_rows(rows)

@@ -3,7 +3,8 @@
 A layout is a declaration: the field paths that name it, and where roles and texts are found. Of a record's paths
 those of the most specific layout that they contain are hashed; the hash selects the layout, and the layout's mapping
 gives canonical turns (role, text). A ``system`` field beside a layout without one is the first turn. Typed tables are
-fingerprinted once, by their schema; JSON records one by one, so that a table may mix layouts.
+fingerprinted once, by the nested field paths of their schema; JSON records one by one, so that a table may mix layouts.
+JSON layouts of conversations rename the roles that other tools give (``ROLES``); tables of one row for each turn keep theirs.
 
 The template is ``<|turn:ROLE|>TEXT<|end|>`` and a newline for each turn. In texts and roles every run of ``<``,
 any number of ``&``, ``|`` gets one more ``&`` (and ``|&>`` likewise in roles), so no mark can appear in them and the
@@ -16,10 +17,12 @@ keeps null turns, hence a null formatted string. Empty tables give empty tables;
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import prefix_sums, stash, table
 
@@ -29,11 +32,13 @@ OPEN, SHUT, END = "<|turn:", "|>", "<|end|>\n"
 
 @dataclass(frozen=True)
 class Layout:
-    """``paths`` name the layout. ``turns`` lists (role, field) of flat records, or names a list of (role field, text field)."""
+    """``paths`` name the layout. ``turns`` lists (role, field) of flat records, ``listed`` names a list with its role and text
+    field, ``rows`` the columns of a table of turns: conversation, place, role and text."""
 
     paths: tuple[str, ...]
     turns: tuple[tuple[str, str], ...] = ()
     listed: tuple[str, str, str] | None = None
+    rows: tuple[str, str, str, str] | None = None
 
 
 LAYOUTS = [
@@ -46,13 +51,18 @@ LAYOUTS = [
     Layout(("input", "instruction", "output"), turns=(("user", "instruction+input"), ("assistant", "output"))),
     Layout(("prompt", "response", "system"), turns=(("system", "system"), ("user", "prompt"), ("assistant", "response"))),
 ]
+#: Layouts of tables that hold one row for each turn.
+ROW_LAYOUTS = [
+    Layout(("conv_id", "role", "text", "turn"), rows=("conv_id", "turn", "role", "text")),
+    Layout(("conversation_id", "from", "index", "value"), rows=("conversation_id", "index", "from", "value")),
+]
 #: Names that other tools give to the same roles.
 ROLES = {"human": "user", "gpt": "assistant", "bot": "assistant", "model": "assistant"}
 
 
-def fingerprint(paths: Column) -> Column:
+def fingerprint(paths: Column, known: list[Layout] | None = None) -> Column:
     """Hash of the paths of the most specific layout that a record's paths contain; other paths don't count."""
-    layouts = [F.array(*map(F.lit, sorted(layout.paths))) for layout in sorted(LAYOUTS, key=lambda x: -len(x.paths))]
+    layouts = [F.array(*map(F.lit, sorted(layout.paths))) for layout in sorted(LAYOUTS if known is None else known, key=lambda x: -len(x.paths))]
     return F.xxhash64(F.coalesce(*[F.when(F.size(F.array_except(x, paths)) == 0, F.array_join(x, "\n")) for x in layouts], F.lit("")))
 
 
@@ -75,9 +85,34 @@ def json_paths(record: Column) -> Column:
     return F.concat(keys, *nested)
 
 
-def _turn(role: Column, text: Column) -> Column:
+def schema_paths(schema: T.StructType) -> list[str]:
+    """The nested field paths of a table: its columns, and the fields of its structs and of its lists of structs."""
+    out = []
+    for field in schema.fields:
+        out.append(field.name)
+        kind, mark = field.dataType, "."
+        if isinstance(kind, T.ArrayType):
+            kind, mark = kind.elementType, "[]."
+        if isinstance(kind, T.StructType):
+            out += [f"{field.name}{mark}{inner}" for inner in schema_paths(kind)]
+    return out
+
+
+def layout_of(rows: DataFrame) -> Layout:
+    """The layout whose hash is the fingerprint of a typed table's schema."""
+    known, paths = [*ROW_LAYOUTS, *LAYOUTS], schema_paths(rows.schema)
+    marks = rows.sparkSession.range(1).select(
+        fingerprint(F.array(*map(F.lit, paths)), known).alias("mark"), F.array(*map(_fixed, known)).alias("known")
+    )
+    mark, hashes = marks.first()
+    if mark not in hashes:
+        raise ValueError(f"no layout is known for the fields {paths}")
+    return known[hashes.index(mark)]
+
+
+def _turn(role: Column, text: Column, rename: bool = True) -> Column:
     role = F.coalesce(role, F.lit(""))
-    for other, name in ROLES.items():
+    for other, name in ROLES.items() if rename else ():
         role = F.when(role == other, F.lit(name)).otherwise(role)
     return F.struct(role.alias("role"), F.coalesce(text, F.lit("")).alias("text"))
 
@@ -86,6 +121,11 @@ def _listed(items: Column, role: str, text: str) -> Column:
     return F.transform(items, lambda x: _turn(x[role], x[text]))
 
 
+def _flat(layout: Layout, field: Callable[[str], Column]) -> Column:
+    join = lambda names: F.array_join(F.filter(F.array(*map(field, names)), lambda x: x != ""), "\n")
+    return F.array(*[_turn(F.lit(role), join(names.split("+")) if "+" in names else field(names)) for role, names in layout.turns])
+
+
 def turns_of_json(record: Column) -> Column:
     """Canonical turns of a JSON record, by the layout that its fingerprint selects."""
     mark, out = fingerprint(json_paths(record)), F.lit(None).cast(_TURNS)
@@ -95,9 +135,7 @@ def turns_of_json(record: Column) -> Column:
             items = F.from_json(F.get_json_object(record, f"$.{name}"), f"array<struct<`{role}`:string,`{text}`:string>>")
             turns = _listed(items, role, text)
         else:
-            field = lambda n: F.get_json_object(record, f"$.{n}")
-            join = lambda names: F.array_join(F.filter(F.array(*map(field, names)), lambda x: x != ""), "\n")
-            turns = F.array(*[_turn(F.lit(role), join(names.split("+")) if "+" in names else field(names)) for role, names in layout.turns])
+            turns = _flat(layout, lambda n: F.get_json_object(record, f"$.{n}"))
         if "system" not in layout.paths:
             system = F.get_json_object(record, "$.system")
             turns = F.when(system.isNotNull(), F.concat(F.array(_turn(F.lit("system"), system)), turns)).otherwise(turns)
@@ -106,18 +144,26 @@ def turns_of_json(record: Column) -> Column:
 
 
 def turns_of_rows(rows: DataFrame) -> DataFrame:
-    """(conv_id, turns) from a typed table of one row for each turn; the fingerprint of its schema selects the columns."""
-    layouts = {
-        frozenset(("conv_id", "turn", "role", "text")): ("conv_id", "turn", "role", "text"),
-        frozenset(("conversation_id", "index", "from", "value")): ("conversation_id", "index", "from", "value"),
-    }
-    found = [columns for paths, columns in layouts.items() if paths <= set(rows.columns)]
-    if not found:
-        raise ValueError(f"no layout is known for the columns {rows.columns}")
-    conv, turn, role, text = (F.col(f"`{c}`") for c in found[0])
-    one = F.struct(turn.alias("turn"), _turn(role, text).alias("said"))
-    grouped = rows.select(conv.alias("conv_id"), one.alias("one")).groupBy("conv_id").agg(F.array_sort(F.collect_list("one")).alias("turns"))
-    return grouped.select("conv_id", F.transform("turns", lambda t: t["said"]).alias("turns"))
+    """(conv_id, turns) from a typed table; the fingerprint of its schema selects the layout.
+
+    Tables whose rows are whole records keep a column ``conv_id``; without one the id is null.
+    """
+    layout = layout_of(rows)
+    if layout.rows:
+        conv, turn, role, text = (F.col(f"`{c}`") for c in layout.rows)
+        one = F.struct(turn.alias("turn"), _turn(role, text, rename=False).alias("said"))
+        grouped = rows.select(conv.alias("conv_id"), one.alias("one")).groupBy("conv_id").agg(F.array_sort(F.collect_list("one")).alias("turns"))
+        return grouped.select("conv_id", F.transform("turns", lambda t: t["said"]).alias("turns"))
+    if layout.listed:
+        name, role, text = layout.listed
+        turns = _listed(F.col(f"`{name}`"), role, text)
+    else:
+        field = lambda n: F.col(f"`{n}`")
+        turns = _flat(layout, field)
+    if "system" not in layout.paths and "system" in rows.columns:
+        turns = F.when(F.col("system").isNotNull(), F.concat(F.array(_turn(F.lit("system"), F.col("system"))), turns)).otherwise(turns)
+    conv = F.col("conv_id") if "conv_id" in rows.columns else F.lit(None).cast("long")
+    return rows.select(conv.alias("conv_id"), turns.alias("turns"))
 
 
 def escape(text: Column) -> Column:
