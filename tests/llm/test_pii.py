@@ -80,3 +80,23 @@ def test_empty_nulls_and_repeats(docs_of, schema):
     assert m.find_pii(docs_of([], schema)).count() == 0
     rows = m.find_pii(docs_of([(None, "q@w.e", *extra), (1, "q@w.e", *extra), (1, "q@w.e", *extra), (1, None, *extra)], schema)).collect()
     assert sorted(len(r.base) for r in rows) == [0, 1, 1, 1]
+
+
+def test_one_word_and_right_hand_contexts_long_words_and_secrets(docs_of):
+    rng = random.Random(3)
+    word = lambda: "".join(rng.choice("bcdfghklmnprst") for _ in range(9))
+    token = lambda: "".join(rng.choice("0123456789abcdef") for _ in range(39)) + "a1"
+    rows = [(i, f"{word()} callme +1 (456) 555-{2000 + i} {word()}") for i in range(8)] + [(20, f"{word()} callme 555x0142 {word()}")]
+    rows += [(30 + i, f"{word()} {word()} u{i}@mail.example onlymail {word()}") for i in range(8)] + [(50, f"{word()} {word()} admin@localhost onlymail")]
+    long = "w" * 300
+    rows += [(60 + i, f"{long} mark{word()[0] * 3} is +1 (456) 555-{3000 + i} {word()}".replace("mark" + "b" * 3, "x")) for i in range(3)]
+    rows += [(70 + i, f"{long} line 10.1.2.{i} {word()}") for i in range(5)] + [(80, f"{long} line 7x77.9 {word()}")]
+    secrets = [token() for _ in range(6)]
+    rows += [(90 + i, f'{word()} token = "{x}" {word()}') for i, x in enumerate(secrets)] + [(97, f'{word()} token = "s3cr3t" {word()}')]
+    rows += [(98, f"{word()} {token()} {word()}")]  # nothing leads to it
+    text = dict(rows)
+    got = {r.doc_id: [(m.ALL_KINDS[s.kind], text[r.doc_id][s.start : s.end]) for s in r.spans] for r in m.find_pii(docs_of(rows)).collect()}
+    assert got[20] == [("phone", "555x0142")] and got[50] == [("email", "admin@localhost")]
+    assert got[80] == [("ip", "7x77.9")]
+    assert [got[90 + i] for i in range(6)] == [[("secret", x)] for x in secrets] and got[97] == [("secret", "s3cr3t")]
+    assert got[98] == []

@@ -2,13 +2,14 @@
 
 The fixed patterns give the seed entities. Every word of at least five characters (outer punctuation
 aside) that holds a digit or an at sign is an instance, as is a run of numbers with blanks between that touches no base
-span; the two plain words before it are a lexical pattern. Spark scores the graph of patterns and instances round by round: a
+span. The two plain words before it, the one before and the one after are its lexical patterns. Long words of letters and
+digits are seeds of a fifth kind, secret, which no fixed pattern finds. Spark scores the graph of patterns and instances round by round: a
 pattern's confidence is the confidence of the instances that it introduces over all its occurrences in the corpus,
 whatever follows; an instance's is the chance that at least one of its trusted patterns is right. A pattern is trusted
 only if it introduces ``support`` different trusted instances with a confidence of at least ``trust``; instances
 reached with that confidence are new identifiers and take part in the next round. Their occurrences behind a trusted
 pattern become spans of the kind that their patterns vote for; base spans are never touched. Left out: shorter words,
-occurrences of an accepted identifier in any other context, and instances without two plain words before them.
+occurrences of an accepted identifier in any other context, and instances without a plain word beside them.
 
 Defined results: a null or empty text has no spans. Each row is searched by itself: null doc_ids and repeated rows
 give a row each. An empty table gives an empty table. Only doc_id and text are read.
@@ -23,6 +24,7 @@ from .common import let, lower_ascii, prefix_sums, stash, table
 from .decontaminate import words_column
 
 KINDS = ("email", "ip", "card", "phone")
+ALL_KINDS = (*KINDS, "secret")
 
 #: Fixed patterns of the four kinds. Possessive loops and the look-behinds only spare work: a run of the first class
 #: that doesn't match from its start, or from where the match before it ended, matches from nowhere.
@@ -37,6 +39,8 @@ WORD = r"(?<![^\x20\x09-\x0D])[^\x20\x09-\x0D0-9@]*+[0-9@][^\x20\x09-\x0D]*+"
 _NUMBER = r"[(+]*+[0-9][0-9()./-]*+(?![^\x20\x09-\x0D,;:!?\"'])"
 #: The same, but neighbouring numbers are one.
 MARKED = rf"(?<![^\x20\x09-\x0D]){_NUMBER}(?:\x20++{_NUMBER})++[^\x20\x09-\x0D]*+|{WORD}"
+#: Long words of letters and digits: seeds of the kind that no fixed pattern finds. They become spans only behind trusted patterns.
+_SECRET = r"^(?=[^0-9]*[0-9])(?=[^a-z]*[a-z])[a-z0-9_./+=-]{20,}$"
 #: Seen words and runs that may be identifiers although no fixed pattern finds them.
 _FREE = "not taken and length(value) >= 5"
 _BYTE = r"^0*(?:25[0-5]|2[0-4][0-9]|1[0-9][0-9]|[1-9]?[0-9])$"
@@ -96,17 +100,18 @@ def search(docs: DataFrame) -> DataFrame:
     text = F.coalesce("text", F.lit(""))
     gate = {"email": text.contains("@"), "phone": text.contains("+")}
     digit = text.rlike("[0-9]")
-    t = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("t"), *[gate.get(k, digit).alias(f"has_{k}") for k in KINDS])
+    t = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text.alias("t"), *[gate.get(k, digit).alias(f"has_{k}") for k in PATTERNS])
     t = t.withColumn("has_mark", F.col("has_email") | F.col("has_ip"))
     cols = []
-    for k in [*KINDS, "mark"]:
+    for k in [*PATTERNS, "mark"]:
         found, gaps = matches(F.col("t"), PATTERNS.get(k, MARKED))
         cols += [F.when(F.col(f"has_{k}"), found).alias(f"found_{k}"), F.when(F.col(f"has_{k}"), gaps).alias(f"gaps_{k}")]
     t = t.select("doc_id", *cols)
-    spans = F.array_sort(F.concat(*[base_spans(k, F.col(f"found_{k}"), F.col(f"gaps_{k}")) for k in KINDS]))
+    spans = F.array_sort(F.concat(*[base_spans(k, F.col(f"found_{k}"), F.col(f"gaps_{k}")) for k in PATTERNS]))
     words = lambda g: F.filter(F.split(lower_ascii(g), r"[\x20\x09-\x0D]+"), lambda w: w != "")
-    # The two words before, from the last 80 characters of the gap; a longer word is cut alike wherever it stands.
-    two = lambda g: F.slice(F.concat(F.array(F.lit(""), F.lit("")), words(F.substring(g, -80, 80))), -2, 2)
+    # The two words before, and the word after.
+    two = lambda g: F.slice(F.concat(F.array(F.lit(""), F.lit("")), g), -2, 2)
+    after = lambda g: F.coalesce(F.get(g, F.lit(0)), F.lit(""))
     lead = lambda m: F.regexp_replace(m, r"^[^\p{L}\p{N}]++", "")
 
     touching = lambda z, s, m: F.filter(z["spans"], lambda x: (x["start"] < s + F.length(m)) & (x["end"] > s))
@@ -115,9 +120,12 @@ def search(docs: DataFrame) -> DataFrame:
         """A word or a run; of a run that holds base spans its words, the first with the pattern."""
         s, m = F.get(z["at"], i), F.get(z["found"], i)
         alone = F.size(touching(z, s, m)) == 0
-        item = lambda at, text, leads: F.struct(at.alias("s"), text.alias("m"), leads.alias("leads"), F.get(z["context"], i).alias("c"))
+        item = lambda at, text: F.struct(
+            (s + at).alias("s"), text.alias("m"), (at == 0).alias("leads"), (at + F.length(text) == F.length(m)).alias("ends"),
+            F.get(z["context"], i).alias("c"), F.get(z["next"], i).alias("next"),
+        )
         words = matches(m, WORD)
-        return F.when(~m.contains(" ") | alone, F.array(item(s, m, F.lit(True)))).otherwise(F.zip_with(starts(*words), words[0], lambda at, w: item(s + at, w, at == 0)))
+        return F.when(~m.contains(" ") | alone, F.array(item(F.lit(0), m))).otherwise(F.zip_with(starts(*words), words[0], item))
 
     def seen(z: Column, item: Column) -> Column:
         s, m, c = item["s"], item["m"], item["c"]
@@ -129,14 +137,19 @@ def search(docs: DataFrame) -> DataFrame:
         return F.struct(
             (s + cut).alias("start"), (s + cut + F.length(core)).alias("end"),
             lower_ascii(F.coalesce(F.get(first, F.lit(0))["value"], core)).alias("value"),
-            F.when(item["leads"] & (F.get(c, F.lit(0)) != "") & (F.get(c, F.lit(1)) != ""), F.xxhash64(F.get(c, F.lit(0)), F.get(c, F.lit(1)))).alias("pattern"),
+            F.array_compact(F.array(
+                F.when(item["leads"] & (F.get(c, F.lit(0)) != ""), two_before(F.get(c, F.lit(0)), F.get(c, F.lit(1)))),
+                F.when(item["leads"] & (F.get(c, F.lit(1)) != ""), one_before(F.get(c, F.lit(1)))),
+                F.when(item["ends"] & (item["next"] != ""), one_after(item["next"])),
+            )).alias("patterns"),
             F.get(first, F.lit(0))["kind"].alias("kind"), (F.size(inside) > 0).alias("taken"),
         )
 
-    context = F.transform(F.slice("gaps_mark", 1, F.size("found_mark")), two)
+    gaps = F.transform("gaps_mark", words)
+    context = F.transform(F.slice(gaps, F.lit(1), F.size("found_mark")), two)
     known = F.struct(
         starts(F.col("found_mark"), F.col("gaps_mark")).alias("at"), F.col("found_mark").alias("found"),
-        context.alias("context"), F.col("spans"),
+        context.alias("context"), F.transform(F.slice(gaps, F.lit(2), F.size("found_mark")), after).alias("next"), F.col("spans"),
     )
     marks = let(known, lambda z: F.transform(F.sequence(F.lit(0), F.size(z["found"]) - 1), lambda i: F.transform(items(z, i), lambda x: seen(z, x))))
     marks = F.flatten(marks)
@@ -147,19 +160,39 @@ def search(docs: DataFrame) -> DataFrame:
     return stash(t, "spans")
 
 
+def two_before(one: Column, two: Column) -> Column:
+    return F.xxhash64(F.lit("before"), one, two)
+
+
+def one_before(word: Column) -> Column:
+    return F.xxhash64(F.lit("before"), word)
+
+
+def one_after(word: Column) -> Column:
+    return F.xxhash64(F.lit("after"), word)
+
+
 def pattern_counts(docs: DataFrame, patterns: DataFrame) -> DataFrame:
-    """(pattern, total): how often the two words of a pattern stand before any word, over all texts."""
-    w = docs.select(words_column(F.col("text")).alias("w")).where("size(w) > 2")
-    pairs = F.transform(F.sequence(F.lit(0), F.size("w") - 3), lambda i: F.xxhash64(F.get("w", i), F.get("w", i + 1)))
-    pairs = w.select(F.explode(pairs).alias("pattern"))
+    """(pattern, total): how often the words of a pattern stand beside any word, over all texts."""
+    w = docs.select(words_column(F.col("text")).alias("w")).where("size(w) > 1")
+    beside = F.transform(
+        F.sequence(F.lit(0), F.size("w") - 1),
+        lambda i: F.array_compact(F.array(
+            F.when(i < F.size("w") - 2, two_before(F.get("w", i), F.get("w", i + 1))),
+            F.when(i < F.size("w") - 1, one_before(F.get("w", i))),
+            F.when(i > 0, one_after(F.get("w", i))),
+        )),
+    )
+    found = w.select(F.explode(beside).alias("each")).select(F.explode("each").alias("pattern"))
     few = patterns.count() <= BROADCAST_ROWS
-    return pairs.join(F.broadcast(patterns) if few else patterns, "pattern").groupBy("pattern").agg(F.count("*").alias("total"))
+    return found.join(F.broadcast(patterns) if few else patterns, "pattern").groupBy("pattern").agg(F.count("*").alias("total"))
 
 
 def discover(docs: DataFrame, seen: DataFrame, rounds: int, support: int, trust: float, early_share: int = 16) -> DataFrame:
     """(row_id, start, kind, end): the occurrences of instances that trusted patterns introduce."""
-    edges = seen.where(f"pattern is not null and (kind is not null or ({_FREE}))")
-    edges = edges.groupBy("pattern", "value").agg(F.min("kind").alias("seed"), F.count("*").alias("times"))
+    edges = seen.where(f"kind is not null or ({_FREE})").withColumn("pattern", F.explode("patterns"))
+    secret = F.when(F.col("value").rlike(_SECRET), F.lit(ALL_KINDS.index("secret")))
+    edges = edges.groupBy("pattern", "value").agg(F.coalesce(F.min("kind"), F.first(secret)).alias("seed"), F.count("*").alias("times"))
     edges = stash(edges, "edges")
     known = edges.groupBy("pattern").agg(F.count("*").alias("values"), F.sum("times").alias("most")).where(f"values >= {support}")
     known = stash(known.select("pattern", "most"), "patterns")
@@ -186,9 +219,9 @@ def discover(docs: DataFrame, seen: DataFrame, rounds: int, support: int, trust:
             (1 - F.exp(F.sum(F.log(F.greatest(F.lit(1e-9), 1 - F.col("p")))))).alias("c"),
         )
         trusted = stash(seeds.unionByName(found.where(F.col("c") >= trust)), "trusted")
-    hits = seen.where(f"kind is null and {_FREE}").drop("kind")
+    hits = seen.where(f"kind is null and {_FREE}").drop("kind").withColumn("pattern", F.explode("patterns"))
     hits = hits.join(votes.select("pattern"), "pattern", "left_semi").join(trusted.select("value", "kind"), "value")
-    return hits.select("row_id", "start", "kind", "end")
+    return hits.select("row_id", "start", "kind", "end").distinct()
 
 
 def find_pii(docs: DataFrame, rounds: int = 3, support: int = 3, trust: float = 0.8) -> DataFrame:
@@ -203,7 +236,7 @@ def find_pii(docs: DataFrame, rounds: int = 3, support: int = 3, trust: float =
 
 
 def _joined(spans: str) -> Column:
-    name = F.array(*[F.lit(k) for k in KINDS])
+    name = F.array(*[F.lit(k) for k in ALL_KINDS])
     return F.array_join(F.transform(spans, lambda s: F.concat_ws(":", F.get(name, s["kind"]), s["start"], s["end"])), ",")
 
 
