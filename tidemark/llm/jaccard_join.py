@@ -238,7 +238,7 @@ def _both(pairs: DataFrame, one: DataFrame, two: DataFrame, weight: str) -> Data
 def verify(pairs: DataFrame, rows: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """The pairs (a, b) whose shingle sets are similar enough, by exact intersection."""
     used = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = rows.join(used, "doc_id", "left_semi").mapInArrow(
+    sets = rows.join(used.hint("merge"), "doc_id", "left_semi").mapInArrow(
         _per_text(words, _sets, [("doc_id", pa.int64()), ("u", pa.binary())]), "doc_id long, u binary"
     )
     one = sets.select(F.col("doc_id").alias("a"), F.col("u").alias("ua"))
@@ -326,7 +326,7 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     # A document with several texts ties their classes together.
     ties = members.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b").select("a", "b")
 
-    reps = rows.join(members.select(F.col("rep").alias("doc_id")).distinct(), "doc_id", "left_semi")
+    reps = rows.join(members.select(F.col("rep").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")  # alike at every size
     index = reps.mapInArrow(
         _per_text(words, _index(num, den), [("key", pa.int64()), ("id", pa.int64()), ("left", pa.int32())]), "key long, id long, left int"
     ).repartition("key")  # one exchange serves both the buckets' sizes and the join with them
