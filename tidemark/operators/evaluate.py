@@ -27,7 +27,7 @@ def common_support(forecasts: DataFrame, actuals: DataFrame, keys: list[str]) ->
 def point_metrics(scored: DataFrame, by: list[str]) -> DataFrame:
     return scored.groupBy(*by).agg(
         F.count("*").alias("hours"), F.avg("abs_err").alias("mae"), F.sqrt(F.avg(F.col("err") * F.col("err"))).alias("rmse"),
-        (F.avg(F.try_divide(F.col("abs_err"), F.abs("y"))) * 100).alias("mape"), (F.try_divide(F.sum("err"), F.sum("y")) * 100).alias("bias"),
+        (F.avg(F.try_divide(F.col("abs_err"), F.abs("y"))) * 100).alias("mape"), (F.avg(F.try_divide(F.col("err"), F.col("y"))) * 100).alias("bias"),
     )
 
 
@@ -81,14 +81,15 @@ def paired(losses: DataFrame, reference: str) -> DataFrame:
 
 
 def diebold_mariano(d: np.ndarray, lag: int = 7) -> tuple[float, float]:
-    """Statistic with Bartlett weights and the small-sample correction for horizon 1, and its two-sided normal p."""
+    """Statistic with Bartlett weights and the small-sample correction for horizon ``lag`` + 1, and its two-sided normal p."""
     n, x = len(d), d - d.mean()
     if n < 10:
         return math.nan, math.nan
     var = float(x @ x) / n + 2 * sum((1 - k / (lag + 1)) * float(x[k:] @ x[:-k]) / n for k in range(1, min(lag, n - 1) + 1))
     if var <= 0:
         return 0.0, 1.0
-    t = float(d.mean()) / math.sqrt(var / n) * math.sqrt((n - 1) / n)
+    h = lag + 1
+    t = float(d.mean()) / math.sqrt(var / n) * math.sqrt(max(0.0, n + 1 - 2 * h + h * (h - 1) / n) / n)
     return t, math.erfc(abs(t) / math.sqrt(2))
 
 

@@ -268,7 +268,7 @@ def score_common_support(s, d):
     return rounded(p.scored(s, d).select("entity", "h", "model", "yhat", "err"))
 
 
-_PM = "count(*) AS hours, round(avg(abs_err), 6) AS mae, round(sqrt(avg(err * err)), 6) AS rmse, round(avg(abs_err / nullif(abs(y), 0)) * 100, 6) AS mape, round(sum(err) / nullif(sum(y), 0) * 100, 6) AS bias"
+_PM = "count(*) AS hours, round(avg(abs_err), 6) AS mae, round(sqrt(avg(err * err)), 6) AS rmse, round(avg(abs_err / nullif(abs(y), 0)) * 100, 6) AS mape, round(avg(err / nullif(y, 0)) * 100, 6) AS bias"
 
 
 @query(f"WITH {H}, {FC} SELECT entity, model, {_PM} FROM sc GROUP BY entity, model")
@@ -333,7 +333,7 @@ c AS (SELECT *, x - avg(x) OVER (PARTITION BY entity, model) AS e, row_number()
 v AS (SELECT a.entity, a.model, sum(CASE WHEN b.i = a.i THEN 1 ELSE 2 * (1 - (a.i - b.i) / 8.0) END * a.e * b.e) / max(n) AS lrv FROM c a JOIN c b ON b.entity = a.entity AND b.model = a.model AND b.i BETWEEN a.i - 7 AND a.i JOIN (SELECT entity, model, count(*) AS n FROM c GROUP BY ALL) k ON k.entity = a.entity AND k.model = a.model GROUP BY ALL)"""
 
 
-@query(f"{_DM} SELECT q.entity, q.model, count(*) AS days, round(CASE WHEN max(lrv) > 0 THEN avg(x) / sqrt(max(lrv) / count(*)) * sqrt((count(*) - 1.0) / count(*)) ELSE 0 END, 3) AS dm FROM q JOIN v ON v.entity = q.entity AND v.model = q.model GROUP BY ALL HAVING count(*) >= 10")
+@query(f"{_DM} SELECT q.entity, q.model, count(*) AS days, round(CASE WHEN max(lrv) > 0 THEN avg(x) / sqrt(max(lrv) / count(*)) * sqrt((count(*) - 15.0 + 56.0 / count(*)) / count(*)) ELSE 0 END, 3) AS dm FROM q JOIN v ON v.entity = q.entity AND v.model = q.model GROUP BY ALL HAVING count(*) >= 10")
 def dm_statistic(s, d):
     pairs = evaluate.paired(evaluate.daily_losses(p.scored(s, d)), "week")
     return rounded(evaluate.compare(pairs, "week", least=10).select("entity", "model", "days", "dm"), 3)
@@ -469,10 +469,10 @@ def month_chunks(s, d):
     return table(s, d, "customer").select("c_nationkey").distinct().select("c_nationkey", F.explode(span).alias("month")).select("c_nationkey", F.col("month").cast("string"))
 
 
-@query(f"WITH {D} SELECT entity, CAST(year(DATE '1970-01-01' + CAST(a.day AS INT)) AS INT) AS year, round(avg(abs(b.value - a.value) / a.value) * 100, 4) AS mape, round(sum(b.value - a.value) / sum(a.value) * 100, 4) AS bias FROM d a JOIN d b USING (entity) WHERE b.day = a.day - 7 GROUP BY 1, 2")
+@query(f"WITH {D} SELECT entity, CAST(year(DATE '1970-01-01' + CAST(a.day AS INT)) AS INT) AS year, round(avg(abs(b.value - a.value) / a.value) * 100, 4) AS mape, round(avg((b.value - a.value) / a.value) * 100, 4) AS bias FROM d a JOIN d b USING (entity) WHERE b.day = a.day - 7 GROUP BY 1, 2")
 def benchmark_accuracy(s, d):
     panel = p.daily(s, d)
     rows = panel.join(models.seasonal_naive(panel, 7), ["entity", "day"])
     err = F.col("yhat") - F.col("value")
     g = rows.groupBy("entity", F.year(F.date_from_unix_date(F.col("day").cast("int"))).alias("year"))
-    return rounded(g.agg((F.avg(F.abs(err) / F.col("value")) * 100).alias("mape"), (F.sum(err) / F.sum("value") * 100).alias("bias")), 4)
+    return rounded(g.agg((F.avg(F.abs(err) / F.col("value")) * 100).alias("mape"), (F.avg(err / F.col("value")) * 100).alias("bias")), 4)
