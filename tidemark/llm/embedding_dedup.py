@@ -29,6 +29,7 @@ from .common import components, stash, table
 
 LEVELS = (1.0, 0.5, 0.25, 0.125)
 EPS = 1e-9
+MARGIN = 1e-4  # far above the error of a product of unit vectors in single precision
 
 
 def _unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -48,15 +49,25 @@ def _unit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         yield pa.RecordBatch.from_arrays([b["vec_id"], pa.array(out, pa.binary())], names=["vec_id", "x"])
 
 
-def net(x: np.ndarray, at: np.ndarray, radius: float) -> list[np.ndarray]:
-    """Greedy net: groups of the points ``at``, each within ``radius`` of its first; the first group starts with at[0]."""
-    groups = []
-    while len(at):
-        near = x[at] @ x[at[0]] >= 1 - radius * radius / 2
-        near[0] = True
-        groups.append(at[near])
-        at = at[~near]
-    return groups
+def net(x: np.ndarray, at: np.ndarray, radius: float, batch: int = 256) -> list[np.ndarray]:
+    """Greedy net: groups of the points ``at``, each with the first center within ``radius`` of it; the first group starts with at[0]."""
+    least = 1 - radius * radius / 2
+    centers, owner = np.zeros(0, np.int64), np.empty(len(at), np.int64)
+    for lo in range(0, len(at), batch):
+        new = at[lo : lo + batch]
+        own = np.full(len(new), -1)
+        if len(centers):
+            near = x[new] @ x[centers].T >= least
+            own = np.where(near.any(1), near.argmax(1), -1)
+        near = x[new] @ x[new].T >= least
+        for i in range(len(new)):
+            if own[i] < 0:
+                own[(own < 0) & near[i]] = len(centers)
+                own[i] = len(centers)
+                centers = np.append(centers, new[i])
+        owner[lo : lo + batch] = own
+    order = np.argsort(owner, kind="stable")
+    return np.split(at[order], np.searchsorted(owner[order], np.arange(1, len(centers))))
 
 
 def build(x: np.ndarray) -> dict:
@@ -84,50 +95,116 @@ def build(x: np.ndarray) -> dict:
 
 
 class Traversal:
-    """The dual traversal of two trees (or of one with itself)."""
+    """The dual traversal of two trees (or of one with itself).
+
+    Node pairs are met in bulk: the centers of one node's children against those of all nodes that it still meets, as one
+    product of matrices. These products are in single precision and prune with a margin above its error; whatever
+    links, links by a product in double precision.
+    """
 
     def __init__(self, a: dict, b: dict, same: bool, cosine: float):
         self.a, self.b, self.same, self.cosine = a, b, same, cosine
         self.reach = math.sqrt(2 - 2 * cosine)
         self.links = (np.zeros(len(a["x"]), np.int64), np.zeros(len(b["x"]), np.int64))
-        self.edges: list[tuple[int, int]] = []  # positions in a and b
+        self.edges: list[tuple[np.ndarray, np.ndarray]] = []  # positions in a and b
+        for t in (a, b):
+            t["kids"] = [np.array(c or [n]) for n, c in enumerate(t["children"])]
+            t["leaf"] = np.array([not c for c in t["children"]], bool)
+            t["single"] = np.array([len(m) == 1 for m in t["members"]], bool)
+            t["at"] = np.array(t["center"])
+            t["reach"] = np.array(t["radius"])
+            t["short"] = t["x"][t["at"]].astype(np.float32)  # by node
 
     def run(self) -> None:
+        top = [np.array(t["top"]) for t in (self.a, self.b)]
+        # Nodes of one vector have no radius: one threshold for all of their pairs, and no descent.
+        one, many = zip(*[(n[t["single"][n]], n[~t["single"][n]]) for t, n in zip((self.a, self.b), top, strict=True)], strict=True)
+        todo = []
+        for lo in range(0, len(one[0]), 512):
+            p = one[0][lo : lo + 512]
+            q = one[1][lo:] if self.same else one[1]
+            i, j = np.divmod(np.flatnonzero(self.a["short"][p] @ self.b["short"][q].T >= np.float32(self.cosine - MARGIN)), max(1, len(q)))
+            p, q = p[i], q[j]
+            self.singles(p[p < q], q[p < q]) if self.same else self.singles(p, q)
+        for p in many[0]:
+            todo.append((np.array([p]), top[1][top[1] >= p] if self.same else top[1]))
+        if not self.same:
+            todo += [(one[0], np.array([q])) for q in many[1]]
+        else:  # pairs (single, node of many) with the single first
+            todo += [(one[0][one[0] < q], np.array([q])) for q in many[1]]
+        while todo:
+            todo += self.meet(*todo.pop())
+
+    def singles(self, p: np.ndarray, q: np.ndarray) -> None:
+        """Links of pairs of nodes of one vector each."""
+        i, j = self.a["at"][p], self.b["at"][q]
+        near = np.einsum("ij,ij->i", self.a["x"][i], self.b["x"][j]) >= self.cosine
+        i, j = i[near], j[near]
+        np.add.at(self.links[0], i, self.b["copies"][j])
+        np.add.at(self.links[1], j, self.a["copies"][i])
+        self.edges.append((i, j))
+
+    def meet(self, p: np.ndarray, q: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
+        """Pairs of the nodes ``p`` and ``q`` that neither the covering radii part nor their leaves settle, as pairs of children.
+
+        One of the two holds one node, unless they are children of two nodes.
+        """
         a, b = self.a, self.b
-        ca, cb = (t["x"][[t["center"][n] for n in t["top"]]] for t in (a, b))
-        ra, rb = (np.array([t["radius"][n] for n in t["top"]]) for t in (a, b))
-        for lo in range(0, len(ca), 512):
-            apart = 2 - 2 * (ca[lo : lo + 512] @ cb.T)
-            p, q = np.nonzero(apart <= (self.reach + EPS + ra[lo : lo + 512, None] + rb[None, :]) ** 2 + EPS)
-            stack = [(a["top"][i + lo], b["top"][j]) for i, j in zip(p.tolist(), q.tolist(), strict=True) if not self.same or i + lo <= j]
-            while stack:
-                stack += self.meet(*stack.pop())
-
-    def meet(self, p: int, q: int) -> list[tuple[int, int]]:
-        a, b, own = self.a, self.b, self.same and p == q
-        mp, mq = a["members"][p], b["members"][q]
-        if own and len(mp) == 1:
-            return []
-        x, y = a["x"][a["center"][p]], b["x"][b["center"][q]]
-        d = 0.0 if own else math.sqrt(max(0.0, 2 - 2 * float(x @ y)))
-        r = a["radius"][p] + b["radius"][q]
-        if d > self.reach + r + EPS:
+        if not len(p) or not len(q):
             return []
-        if r and d + r <= self.reach - EPS:  # linked as a whole
-            wp, wq = a["copies"][mp], b["copies"][mq]
-            if own:
-                self.links[0][mp] += wp.sum() - wp
-                self.edges += [(int(mp[0]), int(m)) for m in mp[1:]]
-            else:
-                self.links[0][mp] += wq.sum()
-                self.links[1][mq] += wp.sum()
-                self.edges.append((a["center"][p], b["center"][q]))
-            return []
-        kp, kq = a["children"][p] or [p], b["children"][q] or [q]
-        if (kp, kq) != ([p], [q]):
-            if own:
-                return [(i, j) for n, i in enumerate(kp) for j in kq[n:]]
-            return [(i, j) for i in kp for j in kq]
+        far = self.reach + MARGIN + a["reach"][p][:, None] + b["reach"][q][None, :]
+        i, j = np.nonzero(a["short"][p] @ b["short"][q].T >= 1 - far * far / 2 - MARGIN)
+        p, q = p[i], q[j]
+        own = (p == q) if self.same else np.zeros(len(p), bool)
+        keep = ~(own & a["single"][p])
+        p, q, own = p[keep], q[keep], own[keep]
+        whole = np.zeros(len(p), bool)
+        r = a["reach"][p] + b["reach"][q]
+        maybe = np.flatnonzero((r > 0) & (r <= self.reach))
+        if len(maybe):
+            dots = np.einsum("ij,ij->i", a["x"][a["at"][p[maybe]]], b["x"][b["at"][q[maybe]]])
+            d = np.where(own[maybe], 0.0, np.sqrt(np.maximum(0.0, 2 - 2 * dots)))
+            whole[maybe] = d + r[maybe] <= self.reach - EPS
+        for n in np.flatnonzero(whole):
+            self.link(int(p[n]), int(q[n]), bool(own[n]))
+        done = a["leaf"][p] & b["leaf"][q] & ~whole
+        alone = done & a["single"][p] & b["single"][q]
+        self.singles(p[alone], q[alone])
+        for n in np.flatnonzero(done & ~alone):
+            self.compare(int(p[n]), int(q[n]), bool(own[n]))
+        out = []
+        for n in np.flatnonzero(own & ~done & ~whole):
+            kids = a["kids"][p[n]]
+            out += [(kids[k : k + 1], kids[k:]) for k in range(len(kids))]
+        rest = ~(own | done | whole)
+        p, q = p[rest], q[rest]
+        # The side with fewer nodes leads, so that its partners' children fill one matrix.
+        lead, other, swap = (p, q, False) if len(np.unique(p)) <= len(np.unique(q)) else (q, p, True)
+        order = np.argsort(lead, kind="stable")
+        names, starts = np.unique(lead[order], return_index=True)
+        for node, those in zip(names, np.split(other[order], starts[1:]), strict=True) if len(names) else ():
+            mine = (b if swap else a)["kids"][node]
+            theirs = np.concatenate([(a if swap else b)["kids"][t] for t in those])
+            out.append((theirs, mine) if swap else (mine, theirs))
+        return out
+
+    def link(self, p: int, q: int, own: bool) -> None:
+        """All vectors of two nodes link."""
+        a, b = self.a, self.b
+        mp, mq = a["members"][p], b["members"][q]
+        wp, wq = a["copies"][mp], b["copies"][mq]
+        if own:
+            self.links[0][mp] += wp.sum() - wp
+            self.edges.append((np.full(len(mp) - 1, mp[0]), mp[1:]))
+        else:
+            self.links[0][mp] += wq.sum()
+            self.links[1][mq] += wp.sum()
+            self.edges.append((a["at"][p : p + 1], b["at"][q : q + 1]))
+
+    def compare(self, p: int, q: int, own: bool) -> None:
+        """Links of the vectors of two leaves."""
+        a, b = self.a, self.b
+        mp, mq = a["members"][p], b["members"][q]
         near = a["x"][mp] @ b["x"][mq].T >= self.cosine
         if own:
             np.fill_diagonal(near, False)
@@ -138,8 +215,7 @@ class Traversal:
         i, j = np.nonzero(near)
         # The vectors of a leaf are all linked if the threshold allows its diameter; then one edge is enough.
         keep = 1 if not own and 2 * LEVELS[-1] + 2 * EPS < self.reach else len(i)
-        self.edges += list(zip(mp[i[:keep]].tolist(), mq[j[:keep]].tolist(), strict=True))
-        return []
+        self.edges.append((mp[i[:keep]], mq[j[:keep]]))
 
 
 def _pack(group: pa.Table) -> pa.Table:
@@ -182,16 +258,16 @@ def _compare(cosine: float):
         t = Traversal(a, b, i == j, cosine)
         if a["x"].shape[1] == b["x"].shape[1]:
             t.run()
-        cid, links, other = [], [], []
+        cid, links = [], []
         for tree, n in zip((a, b), t.links, strict=True):
             cid.append(tree["cid"][n > 0])
             links.append(n[n > 0])
-        u = [int(a["cid"][x]) for x, _ in t.edges]
-        v = [int(b["cid"][y]) for _, y in t.edges]
+        none = np.zeros(0, np.int64)
+        u = a["cid"][np.concatenate([none, *[x for x, _ in t.edges]])]
+        v = b["cid"][np.concatenate([none, *[y for _, y in t.edges]])]
         n = sum(map(len, links))
-        other = [None] * n + v
-        return pa.table({"cid": pa.array(np.concatenate([*cid, np.array(u, np.int64)]), pa.int64()),
-                         "links": pa.array([*np.concatenate(links).tolist(), *([0] * len(u))], pa.int64()), "other": pa.array(other, pa.int64())})
+        other = pa.concat_arrays([pa.nulls(n, pa.int64()), pa.array(v, pa.int64())])
+        return pa.table({"cid": pa.array(np.concatenate([*cid, u]), pa.int64()), "links": pa.array(np.concatenate([*links, np.zeros_like(u)]), pa.int64()), "other": other})
 
     return run
 
@@ -207,7 +283,7 @@ def upper_levels(sample: np.ndarray, most: int = 256) -> np.ndarray:
     return best
 
 
-def near_vectors(vectors: DataFrame, cosine: float = 0.9, block: int = 4096, sample: int = 4096) -> DataFrame:
+def near_vectors(vectors: DataFrame, cosine: float = 0.9, block: int = 8192, sample: int = 4096) -> DataFrame:
     """(vec_id, n_links, component_id, kept) for each row. ``sample`` bounds the vectors that shape the upper levels."""
     spark = vectors.sparkSession
     raw = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), F.col("embedding").cast("array<double>").alias("embedding"))
