@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 #: White space of the word and line rules, as a set of characters and as a pattern.
 BLANKS = " \t\n\x0b\x0c\r"
-_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+#: Settings of a ``stash`` write: its shuffle files go when it is done, and texts reach Python in batches of bounded bytes.
+_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -34,12 +35,14 @@ def stash(df: DataFrame, tag: str, codec: str = "snappy") -> DataFrame:
     """
     spark = df.sparkSession
     path = f"{shared_dir(spark)}/{tag}-{uuid.uuid4().hex}"
-    before = spark.conf.get(_CLEANUP, None)
-    spark.conf.set(_CLEANUP, "true")
+    before = {k: spark.conf.get(k) for k in _WRITING if k in spark.conf.getAll}
+    for k, v in _WRITING.items():
+        spark.conf.set(k, v)
     try:
         df.write.option("compression", codec).parquet(path)
     finally:
-        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+        for k in _WRITING:
+            spark.conf.set(k, before[k]) if k in before else spark.conf.unset(k)
     return spark.read.schema(df.schema).parquet(path)
 
 

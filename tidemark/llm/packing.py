@@ -62,7 +62,7 @@ def token_pieces(
         for b in batches:
             rows: list[tuple] = []
             ids_of: list[np.ndarray] = []
-            for doc, text in zip(b["doc_id"].to_pylist(), b["text"].to_pylist(), strict=True):
+            for doc, text in zip(b["doc_id"].to_pylist(), (t.as_py() for t in b["text"]), strict=True):
                 ids = np.array([*(encoder.encode(text) if text else ()), END], dtype="<u4")
                 at = cuts(len(ids), window, max_piece)
                 for lo, hi in zip(at, at[1:], strict=False):
