@@ -56,6 +56,7 @@ def weighted_mean(value: Column, weight: Column) -> Column:
     return F.try_divide(F.sum(value * weight), F.nullif(F.sum(F.when(value.isNotNull(), weight)), F.lit(0.0)))
 
 
-def clamp(x: Column, low: float, high: float) -> Column:
-    """Into [low, high], null stays null."""
-    return F.when(x.isNotNull(), F.least(F.greatest(x, F.lit(low)), F.lit(high)))
+def clamp(x: Column, low: float, high: float, null_to_low: bool = False) -> Column:
+    """Into [low, high]; null stays null, or becomes ``low`` as where the larger of null and a number is the number."""
+    inside = F.least(F.greatest(x, F.lit(low)), F.lit(high))
+    return inside if null_to_low else F.when(x.isNotNull(), inside)

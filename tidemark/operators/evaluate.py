@@ -70,6 +70,17 @@ def skill(metrics: DataFrame, reference: str, keys: list[str]) -> DataFrame:
     return metrics.join(ref, keys, "left").withColumn("skill", 1 - F.try_divide(F.col("mae"), F.col("__ref"))).drop("__ref")
 
 
+def pinball95(scored: DataFrame, by: list[str]) -> DataFrame:
+    """Mean pinball loss of the two ends of the 95 % interval."""
+    loss = (pinball(F.col("y"), F.col("lo95"), 0.025) + pinball(F.col("y"), F.col("hi95"), 0.975)) / 2
+    return scored.where("lo95 is not null and hi95 is not null").groupBy(*by).agg(F.count("*").alias("n"), F.avg(loss).alias("pinball95"))
+
+
+def pooled(pairs: DataFrame) -> DataFrame:
+    """Paired daily losses summed over the entities: (model, day, entities, loss, ref_loss, n)."""
+    return pairs.groupBy("model", "day").agg(F.count("*").alias("entities"), F.sum("loss").alias("loss"), F.sum("ref_loss").alias("ref_loss"), F.sum("n").alias("n"))
+
+
 def daily_losses(scored: DataFrame) -> DataFrame:
     return scored.groupBy("entity", "model", "day").agg(F.sum("abs_err").alias("loss"), F.count("*").alias("n"))
 

@@ -34,20 +34,20 @@ class Protocol:
 
 def spine(days: DataFrame, zones: DataFrame) -> DataFrame:
     """(entity, zone, day, h, hour_number, local_hour): every hour of local days, 23 to 25 of them."""
-    rows = days.join(F.broadcast(zones), "entity")  # one row for each entity
+    rows = days.join(zones, "entity")
     rows = rows.select("entity", "zone", "day", F.posexplode(hour_ending_instants(F.col("day"), F.col("zone"))).alias("i", "ts"))
     return rows.select("entity", "zone", "day", hours(F.col("ts")).alias("h"), (F.col("i") + 1).alias("hour_number"), local_hour_of(F.col("ts"), F.col("zone")).alias("local_hour"))
 
 
 def origins(days: DataFrame, zones: DataFrame, protocol: Protocol) -> DataFrame:
     """(entity, day, issued, cutoff) as hour numbers."""
-    rows = days.join(F.broadcast(zones), "entity")
+    rows = days.join(zones, "entity")
     at = lambda back, minutes: hours(local_wall_time(F.date_sub("day", back), F.lit(minutes), F.col("zone")))
     return rows.select("entity", "day", at(1, protocol.issue_minutes).alias("issued"), at(protocol.cutoff_days, protocol.cutoff_minutes).alias("cutoff"))
 
 
 def localised(panel: DataFrame, zones: DataFrame) -> DataFrame:
-    rows = panel.join(F.broadcast(zones), "entity")
+    rows = panel.join(zones, "entity")
     ts = F.timestamp_seconds(F.col("h") * 3600)
     return rows.withColumn("day", local_day_of(ts, F.col("zone"))).withColumn("local_hour", local_hour_of(ts, F.col("zone"))).drop("zone")
 

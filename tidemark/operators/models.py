@@ -23,12 +23,26 @@ def residual_quantiles(panel: DataFrame, back: int, levels: dict[str, float]) ->
     return r.groupBy("entity").agg(F.count("r").alias("n"), *[nearest_quantile(F.col("r"), q).alias(c) for c, q in levels.items()])
 
 
-def debias(rows: DataFrame, span: int = 28, least: int = 14, delay: int = 2) -> DataFrame:
-    """(entity, day, yhat): the benchmark less its mean error over ``span`` days that end ``delay`` days before."""
-    past = W.partitionBy("entity").orderBy("day").rangeBetween(-(span - 1), 0)
+def debias(rows: DataFrame, span: int = 28, least: int = 14, delay: int = 2, by: tuple[str, ...] = ("entity",)) -> DataFrame:
+    """(*by, day, yhat): the benchmark less its mean error over ``span`` days that end ``delay`` days before."""
+    past = W.partitionBy(*by).orderBy("day").rangeBetween(-(span - 1), 0)
     err = F.col("benchmark") - F.col("value")
-    bias = rows.select("entity", (F.col("day") + delay).alias("day"), F.when(F.count(err).over(past) >= least, F.avg(err).over(past)).alias("bias"))
-    return rows.join(bias, ["entity", "day"], "left").select("entity", "day", (F.col("benchmark") - F.coalesce("bias", F.lit(0.0))).alias("yhat"))
+    bias = rows.select(*by, (F.col("day") + delay).alias("day"), F.when(F.count(err).over(past) >= least, F.avg(err).over(past)).alias("bias"))
+    return rows.join(bias, [*by, "day"], "left").select(*by, "day", (F.col("benchmark") - F.coalesce("bias", F.lit(0.0))).alias("yhat"))
+
+
+def hourly_residual_quantiles(rows: DataFrame, levels: dict[str, float]) -> DataFrame:
+    """Nearest quantiles of value / yhat by entity and local hour: a rank of each row, no arrays of a group's rows."""
+    mine = W.partitionBy("entity", "local_hour")
+    r = rows.select("entity", "local_hour", F.try_divide("value", "yhat").alias("r")).where("r is not null")
+    r = r.select("*", F.row_number().over(mine.orderBy("r")).alias("k"), F.count("*").over(mine).alias("n"))
+    at = lambda q: F.max(F.when(F.col("k") == F.round(q * (F.col("n") - 1)) + 1, F.col("r")))
+    return r.groupBy("entity", "local_hour").agg(F.count("*").alias("n"), *[at(q).alias(c) for c, q in levels.items()])
+
+
+def local_climatology(panel: DataFrame) -> DataFrame:
+    """Mean value by entity, month and local hour."""
+    return panel.groupBy("entity", F.month("day").alias("month"), "local_hour").agg(F.count("value").alias("n"), F.avg("value").alias("mean"))
 
 
 def climatology(panel: DataFrame) -> DataFrame:

@@ -26,8 +26,33 @@ def orphans(df: DataFrame, column: str, parents: DataFrame, parent: str) -> Data
 
 
 def wrong_day_lengths(hours: DataFrame) -> DataFrame:
+    """Local days without 23, 24 or 25 hours; an entity's first and last day may be partial and don't count."""
     n = hours.groupBy("entity", "day").agg(F.count("*").alias("n"))
-    return n.where(~F.col("n").isin(23, 24, 25))
+    mine = W.partitionBy("entity")
+    ends = n.select("*", F.min("day").over(mine).alias("__a"), F.max("day").over(mine).alias("__z"))
+    return ends.where("day > __a and day < __z and n not in (23, 24, 25)").drop("__a", "__z")
+
+
+def low_coverage(df: DataFrame, column: str, by: list[str], least: float, time: str | None = None) -> DataFrame:
+    """Groups whose share of values is below ``least``; with ``time``, rows after a group's last value are not yet due."""
+    if time:
+        last = F.max(F.when(F.col(column).isNotNull(), F.col(time))).over(W.partitionBy(*by))
+        df = df.withColumn("__last", last).where(F.col(time) <= F.col("__last"))
+    return df.groupBy(*by).agg(F.avg(F.col(column).isNotNull().cast("int")).alias("share")).where(F.col("share") < least)
+
+
+def not_accepted(df: DataFrame, column: str, values: list) -> DataFrame:
+    """(value, n): values outside a list; nulls pass."""
+    return df.where(~F.col(column).isin(values)).groupBy(F.col(column).alias("value")).agg(F.count("*").alias("n"))
+
+
+def trained_after_cutoff(train: DataFrame, test: DataFrame) -> DataFrame:
+    """(entity, newest, cutoff): entities with a training hour that ends after the first cutoff of their forecasts.
+
+    By entity, since cutoffs are local times.
+    """
+    newest = train.groupBy("entity").agg(F.max("h").alias("newest"))
+    return newest.join(test.groupBy("entity").agg(F.min("cutoff").alias("cutoff")), "entity").where("newest > cutoff")
 
 
 def gaps(panel: DataFrame, longest: int = 1) -> DataFrame:

@@ -88,6 +88,13 @@ def clamp_values(s, d):
     return table(s, d, "lineitem").select("l_orderkey", "l_linenumber", clean.clamp(F.col("l_quantity") - 10, 0.0, 25.0).alias("q"))
 
 
+@query("""SELECT l_orderkey, l_linenumber, CASE WHEN x IS NOT NULL THEN greatest(least(x, 25), 0) END AS kept, CASE WHEN x IS NULL THEN 0 ELSE greatest(least(x, 25), 0) END AS low
+FROM (SELECT *, CASE WHEN l_linenumber % 3 <> 0 THEN l_quantity - 10 END AS x FROM lineitem)""")
+def clamp_nulls(s, d):
+    x = F.when(F.col("l_linenumber") % 3 != 0, F.col("l_quantity") - 10)
+    return table(s, d, "lineitem").select("l_orderkey", "l_linenumber", clean.clamp(x, 0.0, 25.0).alias("kept"), clean.clamp(x, 0.0, 25.0, null_to_low=True).alias("low"))
+
+
 # --- clocks and calendars ---------------------------------------------------------------------------------------------
 
 
@@ -321,6 +328,20 @@ def cqr_adjustment(s, d):
     return rounded(evaluate.conformal(_band(s, d)).select("entity", "day", "move"), 4)
 
 
+@query(f"""WITH {H}, {FC} SELECT entity, model, count(*) AS n,
+round(avg((greatest(0.025 * (y - lo95), (0.025 - 1) * (y - lo95)) + greatest(0.975 * (y - hi95), (0.975 - 1) * (y - hi95))) / 2), 6) AS pinball95
+FROM sc WHERE lo95 IS NOT NULL AND hi95 IS NOT NULL GROUP BY entity, model""")
+def interval_pinball95(s, d):
+    return rounded(evaluate.pinball95(p.scored(s, d), ["entity", "model"]))
+
+
+@query(f"""WITH {H}, {FC}, l AS (SELECT entity, model, day, sum(abs_err) AS loss, count(*) AS n FROM sc GROUP BY ALL)
+SELECT a.model, a.day, count(*) AS entities, round(sum(a.loss), 6) AS loss, round(sum(b.loss), 6) AS ref_loss, CAST(sum(a.n) AS BIGINT) AS n
+FROM l a JOIN l b ON b.entity = a.entity AND b.day = a.day AND b.model = 'week' AND a.model <> 'week' AND a.n = b.n GROUP BY a.model, a.day""")
+def pooled_losses(s, d):
+    return rounded(evaluate.pooled(evaluate.paired(evaluate.daily_losses(p.scored(s, d)), "week")))
+
+
 @query(f"""WITH {H}, {FC}, l AS (SELECT entity, model, day, sum(abs_err) AS loss, count(*) AS n FROM sc GROUP BY ALL)
 SELECT a.entity, a.model, a.day, round(a.loss, 6) AS loss, a.n, round(b.loss, 6) AS ref_loss FROM l a JOIN l b ON b.entity = a.entity AND b.day = a.day AND b.model = 'week' AND a.model <> 'week' AND a.n = b.n""")
 def daily_losses_paired(s, d):
@@ -386,10 +407,56 @@ def gap_audit(s, d):
     return quality.coverage(p.hourly(s, d))
 
 
-@query(f"WITH {_LOCAL}, c AS (SELECT entity, day, count(*) AS n FROM sp GROUP BY ALL) SELECT entity, day::VARCHAR AS day, n FROM c WHERE n NOT IN (23, 24, 25)")
+@query(f"""WITH {_LOCAL}, c AS (SELECT entity, day, count(*) AS n FROM l GROUP BY ALL), b AS (SELECT entity, min(day) AS a, max(day) AS z FROM c GROUP BY 1)
+SELECT c.entity, day::VARCHAR AS day, n FROM c JOIN b ON b.entity = c.entity WHERE day > a AND day < z AND n NOT IN (23, 24, 25)""")
 def hours_per_local_day(s, d):
-    sp = features.spine(p.days_of(s, d), p.zones(s, d))
-    return quality.wrong_day_lengths(sp).select("entity", F.col("day").cast("string"), "n")
+    return quality.wrong_day_lengths(p.local(s, d)).select("entity", F.col("day").cast("string"), "n")
+
+
+@query(f"""WITH {H}, v AS (SELECT entity, h, CASE WHEN n % 3 <> 0 THEN value END AS value FROM h), t AS (SELECT *, max(CASE WHEN value IS NOT NULL THEN h END) OVER (PARTITION BY entity) AS last FROM v)
+SELECT entity, round(avg(CASE WHEN value IS NULL THEN 0 ELSE 1 END), 6) AS share FROM t WHERE h <= last GROUP BY 1 HAVING avg(CASE WHEN value IS NULL THEN 0 ELSE 1 END) < 0.7""")
+def min_coverage(s, d):
+    panel = p.hourly(s, d).withColumn("value", F.when(F.col("n") % 3 != 0, F.col("value")))
+    return rounded(quality.low_coverage(panel, "value", ["entity"], 0.7, "h"))
+
+
+@query("SELECT l_returnflag AS value, count(*) AS n FROM lineitem WHERE l_returnflag NOT IN ('A', 'N') GROUP BY 1")
+def accepted_values(s, d):
+    return quality.not_accepted(table(s, d, "lineitem"), "l_returnflag", ["A", "N"])
+
+
+@query(f"""WITH {_LOCAL}, c AS (SELECT entity, min(cutoff) AS cutoff FROM o GROUP BY 1), a AS (SELECT entity, min(h) AS a FROM l GROUP BY 1),
+n AS (SELECT l.entity, max(h) AS newest FROM l JOIN a ON a.entity = l.entity WHERE h < a + 150 OR l.entity = 'view' GROUP BY 1)
+SELECT c.entity, newest, cutoff FROM c JOIN n ON n.entity = c.entity WHERE newest > cutoff""")
+def training_precedes_issue(s, d):
+    test = features.origins(p.days_of(s, d), p.zones(s, d), features.Protocol())
+    rows = p.hourly(s, d)
+    train = rows.join(rows.groupBy("entity").agg(F.min("h").alias("a")), "entity").where("h < a + 150 or entity = 'view'")
+    return quality.trained_after_cutoff(train, test)
+
+
+@query(f"""WITH {_LOCAL}, e AS (SELECT a.entity, a.local_hour, a.day, b.value - a.value AS err, b.value AS bench FROM l a JOIN l b ON b.entity = a.entity AND b.h = a.h - 168),
+g AS (SELECT entity, local_hour, day, avg(err) AS err FROM e GROUP BY ALL),
+w AS (SELECT entity, local_hour, day, avg(err) OVER x AS m, count(*) OVER x AS n FROM g WINDOW x AS (PARTITION BY entity, local_hour ORDER BY day RANGE BETWEEN INTERVAL 27 DAY PRECEDING AND CURRENT ROW))
+SELECT g.entity, g.local_hour, g.day::VARCHAR AS day, round(b.m, 4) AS bias FROM g JOIN w b ON b.entity = g.entity AND b.local_hour = g.local_hour AND b.day = g.day - 2 WHERE b.n >= 14""")
+def hourly_debias_offsets(s, d):
+    rows = p.local(s, d).where("yhat is not null").groupBy("entity", "local_hour", F.unix_date("day").cast("long").alias("day"))
+    rows = rows.agg(F.avg(F.col("yhat") - F.col("value")).alias("benchmark")).withColumn("value", F.lit(0.0))
+    out = models.debias(rows, by=("entity", "local_hour")).join(rows.drop("value"), ["entity", "local_hour", "day"])
+    out = out.select("entity", "local_hour", F.date_from_unix_date(F.col("day").cast("int")).cast("string").alias("day"), (F.col("benchmark") - F.col("yhat")).alias("bias"))
+    return rounded(out.where("bias <> 0"), 4)
+
+
+@query(f"WITH {_LOCAL} SELECT entity, CAST(month(day) AS INT) AS month, local_hour, count(value) AS n, round(avg(value), 6) AS mean FROM l GROUP BY ALL")
+def climatology_local(s, d):
+    return rounded(models.local_climatology(p.local(s, d)))
+
+
+@query(f"""WITH {_LOCAL}, r AS (SELECT a.entity, a.local_hour, a.value / nullif(b.value, 0) AS r FROM l a JOIN l b ON b.entity = a.entity AND b.h = a.h - 168),
+s AS (SELECT entity, local_hour, list_sort(list(r)) AS v, count(*) AS n FROM r WHERE r IS NOT NULL GROUP BY ALL)
+SELECT entity, local_hour, n, """ + ", ".join(f"round(v[CAST(round({q} * (n - 1)) AS INT) + 1], 6) AS {c}" for c, q in (("q025", 0.025), ("q10", 0.1), ("q90", 0.9), ("q975", 0.975))) + " FROM s")
+def residual_quantiles_hourly(s, d):
+    return rounded(models.hourly_residual_quantiles(p.local(s, d), {"q025": 0.025, "q10": 0.1, "q90": 0.9, "q975": 0.975}))
 
 
 @query("SELECT l_orderkey, l_partkey, count(*) AS n FROM lineitem GROUP BY 1, 2 HAVING count(*) > 1")

@@ -31,6 +31,17 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
 D = """d AS (SELECT o_orderpriority AS entity, CAST(date_diff('day', DATE '1970-01-01', CAST(o_orderdate AS DATE)) AS BIGINT) AS day, sum(o_totalprice) AS value
   FROM orders GROUP BY 1, 2)"""
 
+def local(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The hourly panel with the local day and hour of each row, and the value of the local hour a week before as yhat."""
+    from ..functions import localtime
+
+    at = F.timestamp_seconds(F.col("h") * 3600)
+    rows = hourly(spark, sf_dir).join(zones(spark, sf_dir), "entity")
+    rows = rows.select("entity", "h", "value", "temp", localtime.local_day_of(at, F.col("zone")).alias("day"), localtime.local_hour_of(at, F.col("zone")).alias("local_hour"))
+    by = W.partitionBy("entity").orderBy("h").rangeBetween(-168, -168)
+    return rows.withColumn("yhat", F.max("value").over(by))
+
+
 #: A clock for each entity of the hourly panel. Fixed values.
 ZONES = {
     "click": "America/New_York", "error": "America/Chicago", "purchase": "America/Los_Angeles",
