@@ -414,10 +414,10 @@ def hours_per_local_day(s, d):
 
 
 @query(f"""WITH {H}, v AS (SELECT entity, h, CASE WHEN n % 3 <> 0 THEN value END AS value FROM h), t AS (SELECT *, max(CASE WHEN value IS NOT NULL THEN h END) OVER (PARTITION BY entity) AS last FROM v)
-SELECT entity, round(avg(CASE WHEN value IS NULL THEN 0 ELSE 1 END), 6) AS share FROM t WHERE h <= last GROUP BY 1 HAVING avg(CASE WHEN value IS NULL THEN 0 ELSE 1 END) < 0.7""")
+SELECT entity, round(avg(CASE WHEN value IS NULL THEN 0 ELSE 1 END), 6) AS share FROM t WHERE h <= last GROUP BY 1 HAVING avg(CASE WHEN value IS NULL THEN 0 ELSE 1 END) < 0.73""")
 def min_coverage(s, d):
     panel = p.hourly(s, d).withColumn("value", F.when(F.col("n") % 3 != 0, F.col("value")))
-    return rounded(quality.low_coverage(panel, "value", ["entity"], 0.7, "h"))
+    return rounded(quality.low_coverage(panel, "value", ["entity"], 0.73, "h"))
 
 
 @query("SELECT l_returnflag AS value, count(*) AS n FROM lineitem WHERE l_returnflag NOT IN ('A', 'N') GROUP BY 1")
