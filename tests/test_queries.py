@@ -10,6 +10,7 @@ import __spark_entry__ as e
 from tidemark.plans import catalog
 
 DIR = "/root/testdata/sf0.001"
+catalog.load()
 
 
 def plain(v):

@@ -23,12 +23,17 @@ def residual_quantiles(panel: DataFrame, back: int, levels: dict[str, float]) ->
     return r.groupBy("entity").agg(F.count("r").alias("n"), *[nearest_quantile(F.col("r"), q).alias(c) for c, q in levels.items()])
 
 
-def debias(rows: DataFrame, span: int = 28, least: int = 14, delay: int = 2, by: tuple[str, ...] = ("entity",)) -> DataFrame:
-    """(*by, day, yhat): the benchmark less its mean error over ``span`` days that end ``delay`` days before."""
+def bias(rows: DataFrame, span: int = 28, least: int = 14, delay: int = 2, by: tuple[str, ...] = ("entity",)) -> DataFrame:
+    """(*by, day, bias): mean error of the benchmark over ``span`` days that end ``delay`` days before; null with fewer than ``least``."""
     past = W.partitionBy(*by).orderBy("day").rangeBetween(-(span - 1), 0)
     err = F.col("benchmark") - F.col("value")
-    bias = rows.select(*by, (F.col("day") + delay).alias("day"), F.when(F.count(err).over(past) >= least, F.avg(err).over(past)).alias("bias"))
-    return rows.join(bias, [*by, "day"], "left").select(*by, "day", (F.col("benchmark") - F.coalesce("bias", F.lit(0.0))).alias("yhat"))
+    return rows.select(*by, (F.col("day") + delay).alias("day"), F.when(F.count(err).over(past) >= least, F.avg(err).over(past)).alias("bias"))
+
+
+def debias(rows: DataFrame, span: int = 28, least: int = 14, delay: int = 2, by: tuple[str, ...] = ("entity",)) -> DataFrame:
+    """(*by, day, yhat): the benchmark less its ``bias``, as it is where that is null."""
+    off = bias(rows, span, least, delay, by)
+    return rows.join(off, [*by, "day"], "left").select(*by, "day", (F.col("benchmark") - F.coalesce("bias", F.lit(0.0))).alias("yhat"))
 
 
 def hourly_residual_quantiles(rows: DataFrame, levels: dict[str, float]) -> DataFrame:

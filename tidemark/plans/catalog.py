@@ -31,6 +31,11 @@ def query(sql: str | None = None):
     return keep
 
 
+def load() -> None:
+    """Import the modules that register the other queries."""
+    from . import backtests  # noqa: F401
+
+
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
     return df.select(*[F.round(c, digits).alias(c) if t == "double" else F.col(c) for c, t in df.dtypes])
 
@@ -438,13 +443,12 @@ def training_precedes_issue(s, d):
 @query(f"""WITH {_LOCAL}, e AS (SELECT a.entity, a.local_hour, a.day, b.value - a.value AS err, b.value AS bench FROM l a JOIN l b ON b.entity = a.entity AND b.h = a.h - 168),
 g AS (SELECT entity, local_hour, day, avg(err) AS err FROM e GROUP BY ALL),
 w AS (SELECT entity, local_hour, day, avg(err) OVER x AS m, count(*) OVER x AS n FROM g WINDOW x AS (PARTITION BY entity, local_hour ORDER BY day RANGE BETWEEN INTERVAL 27 DAY PRECEDING AND CURRENT ROW))
-SELECT g.entity, g.local_hour, g.day::VARCHAR AS day, round(b.m, 4) AS bias FROM g JOIN w b ON b.entity = g.entity AND b.local_hour = g.local_hour AND b.day = g.day - 2 WHERE b.n >= 14""")
+SELECT g.entity, g.local_hour, g.day::VARCHAR AS day, round(b.m, 6) AS bias FROM g JOIN w b ON b.entity = g.entity AND b.local_hour = g.local_hour AND b.day = g.day - 2 WHERE b.n >= 14""")
 def hourly_debias_offsets(s, d):
     rows = p.local(s, d).where("yhat is not null").groupBy("entity", "local_hour", F.unix_date("day").cast("long").alias("day"))
     rows = rows.agg(F.avg(F.col("yhat") - F.col("value")).alias("benchmark")).withColumn("value", F.lit(0.0))
-    out = models.debias(rows, by=("entity", "local_hour")).join(rows.drop("value"), ["entity", "local_hour", "day"])
-    out = out.select("entity", "local_hour", F.date_from_unix_date(F.col("day").cast("int")).cast("string").alias("day"), (F.col("benchmark") - F.col("yhat")).alias("bias"))
-    return rounded(out.where("bias <> 0"), 4)
+    out = models.bias(rows, by=("entity", "local_hour")).where("bias is not null").join(rows.select("entity", "local_hour", "day"), ["entity", "local_hour", "day"], "left_semi")
+    return rounded(out.select("entity", "local_hour", F.date_from_unix_date(F.col("day").cast("int")).cast("string").alias("day"), "bias"), 6)
 
 
 @query(f"WITH {_LOCAL} SELECT entity, CAST(month(day) AS INT) AS month, local_hour, count(value) AS n, round(avg(value), 6) AS mean FROM l GROUP BY ALL")

@@ -109,3 +109,29 @@ md AS (SELECT *, median(CASE WHEN value > 0 THEN value END) OVER (PARTITION BY e
 fl AS (SELECT *, value IS NULL AS is_missing, coalesce(value <= 0, false) AS is_nonpositive,
   coalesce(value > 0 AND (value < 0.2 * median OR value > 5 * median), false) AS is_outlier,
   coalesce(benchmark <= 0 OR benchmark > 5 * median, false) AS bad_benchmark FROM md)"""
+
+
+def daily_matrix(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """(entity, day, y, lag7, lag2, level, lag_recent_ratio, lag7_ratio, weekday, doy_sin, doy_cos, temp): the daily panel with lags.
+
+    ``level`` is the mean of the days from 8 to 2 before, five of them at least; ``temp`` the mean quantity shipped that day.
+    """
+    d = daily(spark, sf_dir)
+    ship = F.unix_date(F.to_date("l_shipdate")).cast("long").alias("day")
+    temp = table(spark, sf_dir, "lineitem").select(ship, "l_quantity").groupBy("day").agg(F.avg("l_quantity").alias("temp"))
+    # Each value goes to the days that use it, so a group is one entity's day.
+    use = F.explode(F.sequence(F.lit(2), F.lit(8))).alias("back")
+    past = d.select("entity", "day", "value", use).select("entity", (F.col("day") + F.col("back")).alias("day"), "value", "back").groupBy("entity", "day").agg(
+        F.avg("value").alias("level"), F.count("*").alias("n"), F.max(F.when(F.col("back") == 7, F.col("value"))).alias("lag7"), F.max(F.when(F.col("back") == 2, F.col("value"))).alias("lag2")
+    )
+    m = d.withColumnRenamed("value", "y").join(past, ["entity", "day"], "left").join(temp, "day", "left")
+    m = m.withColumn("level", F.when(F.col("n") >= 5, F.col("level"))).drop("n")
+    angle = F.dayofyear(F.date_from_unix_date(F.col("day").cast("int"))) * (2 * 3.141592653589793 / 365.25)
+    ratio = lambda c: F.try_divide(F.col(c), F.col("level"))
+    return m.select("entity", "day", "y", "lag7", "lag2", "level", ratio("lag2").alias("lag_recent_ratio"), ratio("lag7").alias("lag7_ratio"), ((F.col("day") + 3) % 7 + 1).cast("int").alias("weekday"), F.sin(angle).alias("doy_sin"), F.cos(angle).alias("doy_cos"), "temp")
+
+
+DM = D + """, lq AS (SELECT CAST(date_diff('day', DATE '1970-01-01', CAST(l_shipdate AS DATE)) AS BIGINT) AS day, avg(l_quantity) AS temp FROM lineitem GROUP BY 1),
+lw AS (SELECT a.entity, a.day, avg(b.value) AS level FROM d a JOIN d b ON b.entity = a.entity AND b.day BETWEEN a.day - 8 AND a.day - 2 GROUP BY ALL HAVING count(*) >= 5),
+dm AS (SELECT d.entity, d.day, d.value AS y, b.value AS lag7, c.value AS lag2, level, c.value / nullif(level, 0) AS lag_recent_ratio, b.value / nullif(level, 0) AS lag7_ratio, CAST((d.day + 3) % 7 + 1 AS INT) AS weekday, temp
+  FROM d LEFT JOIN d b ON b.entity = d.entity AND b.day = d.day - 7 LEFT JOIN d c ON c.entity = d.entity AND c.day = d.day - 2 LEFT JOIN lw ON lw.entity = d.entity AND lw.day = d.day LEFT JOIN lq ON lq.day = d.day)"""
