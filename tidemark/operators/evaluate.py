@@ -153,3 +153,39 @@ def nearest_quantile(values: Column, level: float) -> Column:
     """The element of a sorted aggregate nearest to a level: no interpolation."""
     v = F.array_sort(F.collect_list(values))
     return F.element_at(v, (F.round(level * (F.size(v) - 1)) + 1).cast("int"))
+
+
+#: Meteorological seasons by month. Fixed values.
+SEASONS = {12: "winter", 1: "winter", 2: "winter", 3: "spring", 4: "spring", 5: "spring", 6: "summer", 7: "summer", 8: "summer", 9: "autumn", 10: "autumn", 11: "autumn"}
+
+
+def extremes(days: DataFrame, by: list[str], column: str, low: float = 0.05, high: float = 0.95) -> DataFrame:
+    """(*by, lo, hi): nearest quantiles of ``column`` over the rows of each group, by running counts of its values."""
+    n = days.where(F.col(column).isNotNull()).groupBy(*by, column).agg(F.count("*").alias("__n"))
+    mine = W.partitionBy(*by)
+    n = n.withColumns({"__r": F.sum("__n").over(mine.orderBy(column)), "__t": F.sum("__n").over(mine)})
+    at = lambda q: F.min(F.when(F.col("__r") > F.round(q * (F.col("__t") - 1)), F.col(column)))
+    return n.groupBy(*by).agg(at(low).alias("lo"), at(high).alias("hi"))
+
+
+def all_slices(scored: DataFrame, keys: DataFrame) -> DataFrame:
+    """(slice, value, model, hours, mape) over season, hour block, day type and temperature, pooled over entities.
+
+    ``keys`` has entity, h, day (a date), local_hour and temp_mean, the mean temperature of that day. Days whose
+    temperature is among the highest or lowest 5 % of an entity's and model's scored hours are hot or cold.
+    """
+    from ..functions import holidays
+
+    rows = scored.drop("day", "temp_mean", "local_hour").join(keys.select("entity", "h", "day", "local_hour", "temp_mean"), ["entity", "h"], "left")
+    rows = rows.join(extremes(rows, ["entity", "model"], "temp_mean"), ["entity", "model"], "left")
+    season = F.element_at(F.create_map(*[F.lit(x) for kv in SEASONS.items() for x in kv]), F.month("day"))
+    temperature = F.when(F.col("temp_mean").isNull(), "no weather").when(F.col("temp_mean") >= F.col("hi"), "hot 5%").when(F.col("temp_mean") <= F.col("lo"), "cold 5%").otherwise("normal")
+    block = F.lpad((F.floor(F.col("local_hour") / 6) * 6).cast("string"), 2, "0")
+    rows = rows.select("model", "abs_err", "y", season.alias("season"), block.alias("hour_block"), holidays.day_type(F.col("day")).alias("day_type"), temperature.alias("temperature"))
+    names = ["season", "hour_block", "day_type", "temperature"]
+    sets = rows.groupingSets([[F.col("model"), F.col(c)] for c in names], F.col("model"), *map(F.col, names))
+    g = sets.agg(F.grouping_id().alias("__g"), F.count("*").alias("hours"), (F.avg(F.try_divide(F.col("abs_err"), F.col("y"))) * 100).alias("mape"))
+    bit = lambda i: F.col("__g").bitwiseAND(1 << (len(names) - 1 - i)) == 0  # noqa: E731  a grouped column has a zero bit
+    which = F.coalesce(*[F.when(bit(i), F.lit(c)) for i, c in enumerate(names)])
+    value = F.coalesce(*[F.when(bit(i), F.col(c)) for i, c in enumerate(names)])
+    return g.select(which.alias("slice"), value.alias("value"), "model", "hours", "mape")
