@@ -103,6 +103,80 @@ def temperature(target: DataFrame, panel: DataFrame, recent: int, lead: int = 42
     return out.drop("__week").withColumn("avail__temp", F.when(F.col("temp").isNotNull(), F.col("h") - lead))
 
 
+def places_weather(weather: DataFrame, places: DataFrame) -> DataFrame:
+    """(entity, h, temp, temp_unweighted, temp_spread, n_places) of (entity, place, h, temp) rows and (entity, place, weight).
+
+    The weighted mean renormalises over the places that have a value in that hour; hours in which none has are null.
+    """
+    from .clean import weighted_mean
+
+    rows = weather.join(places, ["entity", "place"])
+    return rows.groupBy("entity", "h").agg(
+        weighted_mean(F.col("temp"), F.col("weight")).alias("temp"), F.avg("temp").alias("temp_unweighted"), (F.max("temp") - F.min("temp")).alias("temp_spread"), F.count("temp").alias("n_places")
+    )
+
+
+WEATHER = (
+    "temp", "temp_spread", "cdd", "hdd", "temp_mean", "temp_max", "temp_min", "temp_delta_7d", "temp_prev3h", "temp_recent", "temp_delta_recent",
+)
+
+
+def add_weather(target: DataFrame, weather: DataFrame | None, recent: int, weighted: bool = True, lead: int = 42, comfort: float = 18.0) -> DataFrame:
+    """``target`` (entity, day, h, ...) with all weather features and ``avail__f`` of each one, the latest of what it is made from.
+
+    A forecast temperature for hour s is available ``lead`` hours before. ``weighted`` picks the weighted mean of places or the
+    plain one. Without a weather table all features and their avail columns are null.
+    """
+    if weather is None:
+        return target.withColumns({c: F.lit(None).cast("double") for c in WEATHER} | {f"avail__{c}": F.lit(None).cast("long") for c in WEATHER})
+    source = "temp" if weighted or "temp_unweighted" not in weather.columns else "temp_unweighted"
+    spread = F.col("temp_spread") if "temp_spread" in weather.columns else F.lit(None).cast("double")
+    w = weather.select("entity", "h", F.col(source).alias("temp"), spread.alias("temp_spread")).where("temp is not null").withColumn("avail", F.col("h") - lead)
+    # One row of the weather goes to each hour that uses it; a group is one entity's hour.
+    uses = F.explode(F.array(*map(F.lit, (0, 1, 2, 3, 24 * recent, 168)))).alias("back")
+    u = w.select("*", uses).withColumn("h", F.col("h") + F.col("back"))
+    at = lambda back, c: F.max(F.when(F.col("back") == back, F.col(c)))
+    before = F.col("back").between(1, 3)
+    if 24 * recent in (1, 2, 3, 168):
+        raise ValueError("the recent day must differ from the week before")
+    hourly = u.groupBy("entity", "h").agg(
+        at(0, "temp").alias("temp"), at(0, "temp_spread").alias("temp_spread"), at(0, "avail").alias("avail__temp"), at(168, "temp").alias("__week"), at(168, "avail").alias("__week_at"),
+        at(24 * recent, "temp").alias("temp_recent"), at(24 * recent, "avail").alias("avail__temp_recent"), F.avg(F.when(before, F.col("temp"))).alias("temp_prev3h"), F.max(F.when(before, F.col("avail"))).alias("avail__temp_prev3h"),
+    )
+    out = target.join(hourly, ["entity", "h"], "left")
+    days = out.groupBy("entity", "day").agg(F.avg("temp").alias("temp_mean"), F.max("temp").alias("temp_max"), F.min("temp").alias("temp_min"), F.max("avail__temp").alias("__day_at"))
+    out = out.join(days, ["entity", "day"], "left")
+    # The later of two instants, null if either value is missing.
+    both = lambda a, b: F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), F.greatest(a, b))
+    above = lambda x: F.when(F.col("temp").isNotNull(), F.greatest(x, F.lit(0.0)))
+    out = out.withColumns({
+        "cdd": above(F.col("temp") - comfort), "hdd": above(comfort - F.col("temp")), "temp_delta_7d": F.col("temp") - F.col("__week"), "temp_delta_recent": F.col("temp") - F.col("temp_recent"),
+        "avail__temp_spread": F.when(F.col("temp_spread").isNotNull(), F.col("avail__temp")), "avail__cdd": F.col("avail__temp"), "avail__hdd": F.col("avail__temp"),
+        "avail__temp_delta_7d": both("avail__temp", "__week_at"), "avail__temp_delta_recent": both("avail__temp", "avail__temp_recent"),
+        **{f"avail__{c}": F.col("__day_at") for c in ("temp_mean", "temp_max", "temp_min")},
+    })
+    return out.drop("__week", "__week_at", "__day_at")
+
+
+def add_holidays(target: DataFrame) -> DataFrame:
+    """``target`` with is_holiday, is_day_after_holiday and hours_in_day of its local days."""
+    from ..functions import holidays
+
+    named = lambda d: holidays.holiday_name(d).isNotNull()
+    out = target.withColumns({"is_holiday": named(F.col("day")), "is_day_after_holiday": named(F.date_sub("day", 1))})
+    n = target.groupBy("entity", "day").agg(F.count("*").alias("hours_in_day"))
+    return out.join(n, ["entity", "day"])
+
+
+def build_all(panel: DataFrame, zones: DataFrame, days: DataFrame, weather: DataFrame | None, protocol: Protocol = Protocol(), weighted: bool = True) -> DataFrame:
+    """The whole matrix: lags, calendar with holidays, and weather, each with its avail column. Raises if there is no target hour."""
+    out = add_holidays(build(panel, zones, days, protocol))
+    out = add_weather(out, weather, protocol.recent, weighted)
+    if out.isEmpty():
+        raise ValueError("no target hours")
+    return out
+
+
 def calendar(day: Column, prefix: str = "") -> dict[str, Column]:
     doy = F.dayofyear(day) * (2 * 3.141592653589793 / 365.25)
     weekday = F.weekday(day) + 1

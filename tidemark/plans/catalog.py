@@ -33,7 +33,7 @@ def query(sql: str | None = None):
 
 def load() -> None:
     """Import the modules that register the other queries."""
-    from . import backtests, monitoring  # noqa: F401
+    from . import backtests, live, monitoring  # noqa: F401
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
