@@ -52,3 +52,31 @@ def local_wall_time(day: Column, minutes: Column, zone: Column) -> Column:
     fails = (F.from_utc_timestamp(at, zone) != wall) | (F.from_utc_timestamp(at + hour, zone) == wall) | (F.from_utc_timestamp(at - hour, zone) == wall)
     said = F.concat(F.lit("no single instant for "), wall.cast("string"), F.lit(" in "), zone)
     return F.when(fails, F.raise_error(said).cast("timestamp")).otherwise(at)
+
+
+def floor_hour(ts: Column) -> Column:
+    """The start of an instant's hour in UTC."""
+    return F.timestamp_seconds(F.floor(F.unix_timestamp(ts) / 3600) * 3600)
+
+
+def to_local(ts: Column, zone: Column) -> Column:
+    """What a zone's clocks show at an instant."""
+    return F.from_utc_timestamp(ts, zone)
+
+
+def portal_stamp(text: Column) -> Column:
+    """The instant, in UTC, of a text like ``01/16/2025 4:00:00 AM``; other texts fail."""
+    return F.to_timestamp(F.trim(text), "MM/dd/yyyy h:mm:ss a")
+
+
+def default_target_day(now: Column, zone: str = "America/New_York") -> Column:
+    """Tomorrow, by a zone's clocks."""
+    return F.date_add(F.to_date(F.from_utc_timestamp(now, zone)), 1)
+
+
+def require_instants(df, *columns: str):
+    """``df``, if these columns are timestamps with a time zone; wall-clock timestamps and texts raise."""
+    kinds = dict(df.dtypes)
+    if naive := [c for c in columns if kinds[c] != "timestamp"]:
+        raise TypeError(f"not instants: {', '.join(f'{c} ({kinds[c]})' for c in naive)}")
+    return df

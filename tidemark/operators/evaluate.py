@@ -33,9 +33,9 @@ def point_metrics(scored: DataFrame, by: list[str]) -> DataFrame:
 
 def peak_metrics(scored: DataFrame, least: int) -> DataFrame:
     """Error of the daily maximum, over days with at least ``least`` periods, and share of days whose peak is more than one off."""
-    first = lambda v: F.max_by("h", F.struct(F.col(v), -F.col("h")))  # noqa: E731  the earliest period of the maximum
+    last = lambda v: F.max_by("h", F.struct(F.col(v), F.col("h")))  # noqa: E731  of equal maxima the latest period
     days = scored.groupBy("entity", "model", "day").agg(
-        F.count("*").alias("n"), F.max("y").alias("top"), F.max("yhat").alias("said"), first("y").alias("at"), first("yhat").alias("said_at")
+        F.count("*").alias("n"), F.max("y").alias("top"), F.max("yhat").alias("said"), last("y").alias("at"), last("yhat").alias("said_at")
     )
     return days.where(F.col("n") >= least).groupBy("entity", "model").agg(
         F.count("*").alias("days"), (F.avg(F.abs(F.col("said") - F.col("top")) / F.col("top")) * 100).alias("peak_ape"),
@@ -91,6 +91,11 @@ def paired(losses: DataFrame, reference: str) -> DataFrame:
     return losses.where(F.col("model") != reference).join(ref, ["entity", "day"]).where("n = ref_n").drop("ref_n")
 
 
+def with_pooled(pairs: DataFrame, name: str = "ALL") -> DataFrame:
+    """Paired losses of each entity, and those of all entities together as the entity ``name``."""
+    return pairs.select("entity", "model", "day", "loss", "ref_loss", "n").unionByName(pooled(pairs).select(F.lit(name).alias("entity"), "model", "day", "loss", "ref_loss", "n"))
+
+
 def diebold_mariano(d: np.ndarray, lag: int = 7) -> tuple[float, float]:
     """Statistic with Bartlett weights and the small-sample correction for horizon ``lag`` + 1, and its two-sided normal p."""
     n, x = len(d), d - d.mean()

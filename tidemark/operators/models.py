@@ -8,8 +8,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .evaluate import nearest_quantile
-
 
 def seasonal_naive(panel: DataFrame, back: int) -> DataFrame:
     """(entity, day, yhat): the value ``back`` days before, for days of the panel."""
@@ -20,7 +18,10 @@ def seasonal_naive(panel: DataFrame, back: int) -> DataFrame:
 def residual_quantiles(panel: DataFrame, back: int, levels: dict[str, float]) -> DataFrame:
     """Nearest quantiles of the ratio of actual and naive forecast, by entity."""
     r = panel.join(seasonal_naive(panel, back), ["entity", "day"]).select("entity", F.try_divide("value", "yhat").alias("r")).where("r is not null")
-    return r.groupBy("entity").agg(F.count("r").alias("n"), *[nearest_quantile(F.col("r"), q).alias(c) for c, q in levels.items()])
+    mine = W.partitionBy("entity")
+    r = r.select("*", F.row_number().over(mine.orderBy("r")).alias("k"), F.count("*").over(mine).alias("n"))
+    at = lambda q: F.max(F.when(F.col("k") == F.round(q * (F.col("n") - 1)) + 1, F.col("r")))
+    return r.groupBy("entity").agg(F.count("*").alias("n"), *[at(q).alias(c) for c, q in levels.items()])
 
 
 def bias(rows: DataFrame, span: int = 28, least: int = 14, delay: int = 2, by: tuple[str, ...] = ("entity",)) -> DataFrame:

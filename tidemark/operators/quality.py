@@ -76,3 +76,20 @@ def violations(df: DataFrame, ranges: dict, required: list[str], unique: list[li
     one = df.agg(*[e.alias(f"r{i}") for i, (_, _, e) in enumerate(rules)])
     rows = F.array(*[F.struct(F.lit(f).alias("field"), F.lit(r).alias("rule"), F.col(f"r{i}").alias("failing")) for i, (f, r, _) in enumerate(rules)])
     return one.select(F.explode(rows).alias("x")).select("x.*")
+
+
+def contract(df: DataFrame, expected: dict[str, str], strict: bool = True) -> DataFrame:
+    """(field, rule, found): columns that are missing, of another type, or, with ``strict``, not in the contract."""
+    kinds = dict(df.dtypes)
+    rows = [(c, "missing", None) for c in expected if c not in kinds]
+    rows += [(c, "type", kinds[c]) for c, t in expected.items() if c in kinds and kinds[c] != t]
+    rows += [(c, "unexpected", t) for c, t in kinds.items() if strict and c not in expected]
+    return df.sparkSession.createDataFrame(rows, "field string, rule string, found string")
+
+
+def judged(name: str, failing: DataFrame, severity: str = "error") -> DataFrame:
+    """(check, severity, failing, passed) of a check's failing rows; a warning passes whatever it finds."""
+    if severity not in ("error", "warn"):
+        raise ValueError("severity is error or warn")
+    n = F.count("*").alias("failing")
+    return failing.agg(n).select(F.lit(name).alias("check"), F.lit(severity).alias("severity"), "failing", ((F.col("failing") == 0) | F.lit(severity == "warn")).alias("passed"))

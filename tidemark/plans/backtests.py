@@ -114,3 +114,40 @@ def gbt_importance(s, d):
     """Share of each feature in the gain of the point head."""
     _, _, forest = _forest(s, d)
     return rounded(s.createDataFrame(sorted(forest.importance().items()), "feature string, share double"))
+
+
+def _pairs(s, d):
+    """Daily losses of each model of the backtest beside those of the two benchmarks, one after the other, also pooled."""
+    m = _matrix(s, d)
+    scored = staging.written(evaluate.common_support(backtest.forecasts(m, SET_BASED, PLAN), m.select("entity", "day", "y"), ["entity", "day"]), "scored")
+    losses = evaluate.daily_losses(scored)
+    return {ref: evaluate.with_pooled(evaluate.paired(losses.where(~F.col("model").isin([r for r in ("naive", "benchmark") if r != ref])), ref)) for ref in ("naive", "benchmark")}
+
+
+@query()
+def bootstrap_skill_ci(s, d):
+    """Skill, its interval and the Diebold-Mariano test of each model against each benchmark, 30 days at least, by entity and pooled."""
+    out = None
+    for ref, pairs in _pairs(s, d).items():
+        one = evaluate.compare(pairs, ref).withColumn("reference", F.lit(ref))
+        out = one if out is None else out.unionByName(one)
+    return out
+
+
+@query()
+def significance_tally(s, d):
+    return evaluate.significance(bootstrap_skill_ci(s, d).where("entity <> 'ALL'"))
+
+
+@query(f"""{"WITH " + _SCORED}, ls AS (SELECT entity, model, day, sum(abs_err) AS loss, count(*) AS n FROM sm GROUP BY ALL),
+pr AS (SELECT r.model AS reference, a.entity, a.model, a.day, a.loss, r.loss AS ref_loss FROM ls a JOIN ls r ON r.entity = a.entity AND r.day = a.day AND r.n = a.n AND r.model IN ('naive', 'benchmark') WHERE a.model NOT IN ('naive', 'benchmark')),
+al AS (SELECT * FROM pr UNION ALL SELECT reference, 'ALL', model, day, sum(loss), sum(ref_loss) FROM pr GROUP BY ALL)
+SELECT reference, entity, model, count(*) AS days, round(1 - sum(loss) / sum(ref_loss), 6) AS skill FROM al GROUP BY ALL HAVING count(*) >= 30""")
+def comparison_skill(s, d):
+    """The estimates of ``bootstrap_skill_ci`` alone, which SQL can say."""
+    out = None
+    for ref, pairs in _pairs(s, d).items():
+        g = pairs.groupBy("entity", "model").agg(F.count("*").alias("days"), (1 - F.sum("loss") / F.sum("ref_loss")).alias("skill")).where("days >= 30")
+        one = g.select(F.lit(ref).alias("reference"), "entity", "model", "days", "skill")
+        out = one if out is None else out.unionByName(one)
+    return rounded(out)

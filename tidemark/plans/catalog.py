@@ -33,7 +33,7 @@ def query(sql: str | None = None):
 
 def load() -> None:
     """Import the modules that register the other queries."""
-    from . import backtests, live, monitoring  # noqa: F401
+    from . import backtests, live, monitoring, reading  # noqa: F401
 
 
 def rounded(df: DataFrame, digits: int = 6) -> DataFrame:
@@ -103,11 +103,13 @@ def clamp_nulls(s, d):
 # --- clocks and calendars ---------------------------------------------------------------------------------------------
 
 
-_SPAN = "c AS (SELECT CAST(unnest(generate_series(DATE '2018-01-01', DATE '2028-12-30', INTERVAL 1 DAY)) AS DATE) AS day)"
+_SPAN = "c AS (SELECT CAST(unnest(generate_series(a, z, INTERVAL 1 DAY)) AS DATE) AS day FROM (SELECT CAST(min(o_orderdate) AS DATE) AS a, CAST(max(o_orderdate) AS DATE) AS z FROM orders))"
 
 
-def _span(s):
-    return s.range(1).select(F.explode(F.sequence(F.lit("2018-01-01").cast("date"), F.lit("2028-12-30").cast("date"))).alias("day"))
+def _span(s, d):
+    """Every day between the first and the last order."""
+    ends = table(s, d, "orders").agg(F.to_date(F.min("o_orderdate")).alias("a"), F.to_date(F.max("o_orderdate")).alias("z"))
+    return ends.select(F.explode(F.sequence("a", "z")).alias("day"))
 
 
 @query(f"""WITH {_SPAN}, o AS (SELECT CAST(o_orderdate AS DATE) AS day, count(*) AS orders FROM orders GROUP BY 1)
@@ -119,14 +121,14 @@ def dim_calendar_daytype(s, d):
     o = table(s, d, "orders").groupBy(F.to_date("o_orderdate").alias("day")).agg(F.count("*").alias("orders"))
     m = F.month("day")
     season = F.when(m.isin(12, 1, 2), "winter").when(m <= 5, "spring").when(m <= 8, "summer").otherwise("autumn")
-    out = _span(s).join(o, "day", "left")
+    out = _span(s, d).join(o, "day", "left")
     return out.select(F.col("day").cast("string"), F.year("day").alias("year"), m.alias("month"), (F.weekday("day") + 1).alias("weekday"), F.dayofyear("day").alias("doy"), holidays.day_type(F.col("day")).alias("day_type"), season.alias("season"), F.coalesce("orders", F.lit(0)).alias("orders"))
 
 
 @query(f"""WITH {_SPAN}, n AS (SELECT day, {holidays.sql("day")} AS name FROM c)
 SELECT n.day::VARCHAR AS day, n.name, b.name IS NOT NULL AS is_day_after_holiday FROM n LEFT JOIN n b ON b.day = n.day - 1 WHERE n.name IS NOT NULL OR b.name IS NOT NULL""")
 def holiday_calendar(s, d):
-    n = _span(s).select("day", holidays.holiday_name(F.col("day")).alias("name"))
+    n = _span(s, d).select("day", holidays.holiday_name(F.col("day")).alias("name"))
     after = n.where("name is not null").select(F.date_add("day", 1).alias("day"), F.lit(True).alias("after"))
     out = n.join(after, "day", "left").where("name is not null or after")
     return out.select(F.col("day").cast("string"), "name", F.coalesce("after", F.lit(False)).alias("is_day_after_holiday"))
@@ -288,7 +290,7 @@ def point_metrics(s, d):
     return rounded(evaluate.point_metrics(p.scored(s, d), ["entity", "model"]))
 
 
-@query(f"""WITH {H}, {FC}, g AS (SELECT entity, model, day, count(*) AS n, max(y) AS top, max(yhat) AS said, arg_min(h, (-y, h)) AS peak_at, arg_min(h, (-yhat, h)) AS said_at FROM sc GROUP BY ALL)
+@query(f"""WITH {H}, {FC}, g AS (SELECT entity, model, day, count(*) AS n, max(y) AS top, max(yhat) AS said, arg_min(h, (-y, -h)) AS peak_at, arg_min(h, (-yhat, -h)) AS said_at FROM sc GROUP BY ALL)
 SELECT entity, model, count(*) AS days, round(avg(abs(said - top) / top) * 100, 6) AS peak_ape, round(avg(CAST(abs(said_at - peak_at) > 1 AS INT)) * 100, 6) AS peak_miss FROM g WHERE n >= 20 GROUP BY entity, model""")
 def peak_metrics(s, d):
     return rounded(evaluate.peak_metrics(p.scored(s, d), 20))
@@ -365,16 +367,6 @@ def dm_statistic(s, d):
     return rounded(evaluate.compare(pairs, "week", least=10).select("entity", "model", "days", "dm"), 3)
 
 
-@query()
-def bootstrap_skill_ci(s, d):
-    return evaluate.compare(evaluate.paired(evaluate.daily_losses(p.scored(s, d)), "week"), "week", least=10)
-
-
-@query()
-def significance_tally(s, d):
-    return evaluate.significance(bootstrap_skill_ci(s, d))
-
-
 @query(f"WITH {H} SELECT entity, CAST((h - 1) % 24 AS INT) AS hour, round(avg(value), 6) AS mean FROM h GROUP BY 1, 2")
 def climatology(s, d):
     return rounded(models.climatology(p.hourly(s, d)))

@@ -47,9 +47,10 @@ def json_series(spark: SparkSession, path: str, variables: list[str], pattern: s
 
 
 def jsonl_latest(spark: SparkSession, path: str, key: str, order: str, schema: str) -> DataFrame:
-    """The latest entry of each key of an append-only JSON-lines ledger."""
-    rank = F.row_number().over(W.partitionBy(key).orderBy(F.col(order).desc()))
-    return spark.read.schema(schema).json(path).withColumn("__r", rank).where("__r = 1").drop("__r")
+    """The latest entry of each key of an append-only JSON-lines ledger; of equally late ones the greatest as JSON text."""
+    rows = spark.read.schema(schema).json(path)
+    rank = F.row_number().over(W.partitionBy(key).orderBy(F.col(order).desc(), F.to_json(F.struct(*rows.columns)).desc()))
+    return rows.withColumn("__r", rank).where("__r = 1").drop("__r")
 
 
 def typed_range(spark: SparkSession, path: str, entities: list[str], start, end) -> DataFrame:
@@ -58,3 +59,12 @@ def typed_range(spark: SparkSession, path: str, entities: list[str], start, end)
     if bad:
         raise ValueError(f"not an entity code: {bad[0]!r}")
     return spark.read.parquet(path).where(F.col("entity").isin(entities) & (F.col("ts") >= F.lit(start)) & (F.col("ts") < F.lit(end)))
+
+
+def results(spark: SparkSession, path: str, schema: str) -> DataFrame:
+    """A CSV of results with a header; an empty table if there is no such file or nothing in it."""
+    from .runs import _exists
+
+    if not _exists(spark, path):
+        return spark.createDataFrame([], schema)
+    return spark.read.schema(schema).option("header", True).csv(path)
