@@ -172,12 +172,47 @@ def fold(sketch: np.ndarray, n_bytes: int) -> np.ndarray:
     return sketch
 
 
-def _per_text(words: int, make, types: list[tuple[str, pa.DataType]]):
-    """mapInArrow over (doc_id, text); ``make`` turns (doc_id, set) into any number of rows of columns."""
+#: Bits of a table of document ids, at any size of the corpus.
+_MARKS = 1 << 23
+
+
+def _bit():
+    return F.pmod(F.xxhash64("doc_id"), F.lit(_MARKS)).alias("at")
+
+
+def marks_of(ids: DataFrame):
+    """A broadcast of ``_MARKS`` bits, set where the ids (doc_id) of a table fall. Other ids may fall there too."""
+    at = ids.select(_bit()).select(F.shiftright("at", 6).alias("word"), F.col("at").bitwiseAND(63).cast("int").alias("bit"))
+    words = at.groupBy("word").agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("mask")).toArrow()  # at most _MARKS / 64 rows
+    out = np.zeros(_MARKS // 64, np.int64)
+    out[words["word"].to_numpy()] = words["mask"].to_numpy()
+    return ids.sparkSession.sparkContext.broadcast(out)
+
+
+def _on(marks, b: pa.RecordBatch) -> np.ndarray:
+    at = b["at"].to_numpy()
+    return (marks.value[at >> 6] >> (at & 63)) & 1 == 1
+
+
+def _held(marks):
+    """mapInArrow over (doc_id, text, at): the rows whose bit is set."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            yield b.filter(pa.array(_on(marks, b))).select(["doc_id", "text"])
+
+    return run
+
+
+def _per_text(words: int, make, types: list[tuple[str, pa.DataType]], marks=None, inside: bool = True):
+    """mapInArrow over (doc_id, text); ``make`` turns (doc_id, set) into any number of rows of columns. With ``marks`` over
+    (doc_id, text, at), and only for rows whose bit is set, or with ``inside`` false isn't."""
     schema = pa.schema(types)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
+            if marks is not None:
+                b = b.filter(pa.array(_on(marks, b) == inside))
             docs, texts = b["doc_id"].to_pylist(), b["text"].to_pylist()
             for lo in range(0, len(docs), 500):
                 sets = list(shingle_sets(texts[lo : lo + 500], words))
@@ -237,10 +272,11 @@ def _both(pairs: DataFrame, one: DataFrame, two: DataFrame, weight: str) -> Data
 
 def verify(pairs: DataFrame, rows: DataFrame, words: int, num: int, den: int) -> DataFrame:
     """The pairs (a, b) whose shingle sets are similar enough, by exact intersection."""
-    used = pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct()
-    sets = rows.join(used.hint("merge"), "doc_id", "left_semi").mapInArrow(
-        _per_text(words, _sets, [("doc_id", pa.int64()), ("u", pa.binary())]), "doc_id long, u binary"
-    )
+    used = stash(pairs.select(F.explode(F.array("a", "b")).alias("doc_id")).distinct(), "used")
+    few = used.count() <= _MARKS // 4  # else most bits are set, and texts are cheaper to move than sets
+    texts = rows.select("doc_id", "text", _bit()) if few else rows.join(used.hint("merge"), "doc_id", "left_semi")
+    types = [("doc_id", pa.int64()), ("u", pa.binary())]
+    sets = texts.mapInArrow(_per_text(words, _sets, types, marks_of(used) if few else None), "doc_id long, u binary")
     one = sets.select(F.col("doc_id").alias("a"), F.col("u").alias("ua"))
     two = sets.select(F.col("doc_id").alias("b"), F.col("u").alias("ub"))
 
@@ -326,10 +362,14 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     # A document with several texts ties their classes together.
     ties = members.groupBy("doc_id").agg(F.min("rep").alias("a"), F.max("rep").alias("b")).where("a < b").select("a", "b")
 
-    reps = rows.join(members.select(F.col("rep").alias("doc_id")).distinct().hint("merge"), "doc_id", "left_semi")  # alike at every size
-    index = reps.mapInArrow(
-        _per_text(words, _index(num, den), [("key", pa.int64()), ("id", pa.int64()), ("left", pa.int32())]), "key long, id long, left int"
-    ).repartition("key")  # one exchange serves both the buckets' sizes and the join with them
+    # Texts stay where they are, but for those of ids that may be no representative: only these are looked up.
+    reps = members.select(F.col("rep").alias("doc_id")).distinct()
+    others = marks_of(members.select("doc_id").distinct().join(reps, "doc_id", "left_anti"))
+    texts = rows.where("doc_id is not null").select("doc_id", "text", _bit())
+    unsure = texts.mapInArrow(_held(others), "doc_id long, text string").join(reps.hint("merge"), "doc_id", "left_semi")
+    types, ddl = [("key", pa.int64()), ("id", pa.int64()), ("left", pa.int32())], "key long, id long, left int"
+    index = texts.mapInArrow(_per_text(words, _index(num, den), types, others, False), ddl).unionByName(unsure.mapInArrow(_per_text(words, _index(num, den), types), ddl))
+    index = index.repartition("key")  # one exchange serves both the buckets' sizes and the join with them
     sizes = index.groupBy("key").agg(F.min("id").alias("lo"), F.max("id").alias("hi"), F.count("*").alias("g"), F.max("left").alias("most"))
     sizes = sizes.where("lo < hi and most >= 0")  # always so; the column keeps both readers of the exchange alike
     agree = index.join(sizes.select("key", "g").hint("shuffle_hash"), "key")
