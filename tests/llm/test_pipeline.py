@@ -42,3 +42,15 @@ def test_odd_rows_and_empty_tables(spark):
         for name, stage in m.STAGES[1:]:
             docs = stash(stage(spark, docs, DIR), name)
         assert (docs.count() > 0) == (n > 0)
+
+
+def test_quality_stage_on_odd_rows(spark):
+    schema = "doc_id long, text string, lang string, source string, n_chars long, x string, label string, predicted int, text_hash string"
+    rows = [(None, "a b", "x", "y", 3, "t", "w", 0, "h"), (1, None, None, None, None, None, None, None, None), (1, "", "x", "y", 0, "t", "w", 0, "h"), (2, "the words of a sentence are here. " * 40, "x", "y", 1, "t", "w", 0, "h")]
+    rows.append(rows[-1])
+    for docs in (spark.createDataFrame(rows, schema), spark.createDataFrame([], schema)):
+        out = dict(m.STAGES)["quality"](spark, docs, DIR)
+        assert out.columns == docs.columns
+        want = {(r.doc_id, r.text_hash) for r in score_quality(docs, spark.read.parquet(f"{DIR}/labels.parquet")).where("predicted = 1").collect()}
+        kept = out.selectExpr("doc_id", "xxhash64(text) as h").collect()
+        assert {tuple(r) for r in kept} == want and (not want or len(kept) >= len(want))

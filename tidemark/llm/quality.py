@@ -1,9 +1,9 @@
 """Quality classifier: regularised quadratic discriminant over transformed document statistics.
 
 One pass over the texts turns each into a short vector of statistics (lengths, shares of character classes,
-repetition of words, word pairs and lines, compressibility), transformed so that their tails are mild. Counts,
-sums and sums of products of each class come from all labelled rows of the training fold, added up by Spark; only
-these few hundred numbers reach the driver. Each class covariance is shrunk towards the pooled one and the pooled
+repetition of words, word pairs and lines, compressibility), transformed so that their tails are mild. Counts and
+sums of each class, then sums of products about its mean, come from all labelled rows of the training fold, added up by
+Spark; only these few hundred numbers reach the driver. Each class covariance is shrunk towards the pooled one and the pooled
 diagonal, its Cholesky factor is kept, and a score is the logistic function of the difference of the two
 Mahalanobis log-densities plus that of the class sizes.
 
@@ -82,56 +82,73 @@ def vectors(docs: DataFrame) -> DataFrame:
 
 @dataclass(frozen=True)
 class Discriminant:
-    """Means, Cholesky factors, log-determinants and log-shares of the two classes; or one constant score."""
+    """Means, inverted Cholesky factors, log-determinants and log-shares of the two classes; or one constant score."""
 
     constant: float | None
     mean: tuple = ()
-    factor: tuple = ()
+    inverse: tuple = ()
     offset: tuple = ()
 
     def score(self, x: np.ndarray) -> np.ndarray:
         if self.constant is not None:
             return np.full(len(x), self.constant)
         density = []
-        for mean, factor, offset in zip(self.mean, self.factor, self.offset, strict=True):
-            z = np.linalg.solve(factor, (x - mean).T)  # triangular; its squared length is the Mahalanobis distance
+        for mean, inverse, offset in zip(self.mean, self.inverse, self.offset, strict=True):
+            z = inverse @ (x - mean).T  # its squared length is the Mahalanobis distance
             density.append(offset - 0.5 * np.einsum("ij,ij->j", z, z))
         return 1 / (1 + np.exp(-np.clip(density[1] - density[0], -40, 40)))
 
 
-def _moments(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+def _moments(means: np.ndarray | None):
+    """Counts and sums of each class's rows in a task; with ``means``, sums of the products of rows less their class's mean."""
     d = len(NAMES)
-    total = np.zeros((2, 1 + d + d * d))
-    for b in batches:
-        x = b["x"].flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
-        y = b["label"].to_numpy(zero_copy_only=False)
-        for c in (0, 1):
-            v = x[y == c]
-            total[c] += np.concatenate(([len(v)], v.sum(0), (v.T @ v).ravel()))
-    at = np.arange(total[0].size)
-    yield pa.RecordBatch.from_arrays(
-        [pa.array(np.repeat([0, 1], at.size)), pa.array(np.tile(at, 2)), pa.array(total.ravel())], names=["c", "at", "v"]
-    )
+    size = 1 + d if means is None else d * d
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros((2, size))
+        for b in batches:
+            x = b["x"].flatten().to_numpy(zero_copy_only=False).reshape(-1, d)
+            y = b["label"].to_numpy(zero_copy_only=False)
+            for c in (0, 1):
+                v = x[y == c]
+                if means is None:
+                    total[c] += np.concatenate(([len(v)], v.sum(0)))
+                else:
+                    v = v - means[c]
+                    total[c] += (v.T @ v).ravel()
+        at = np.arange(size)
+        yield pa.RecordBatch.from_arrays(
+            [pa.array(np.repeat([0, 1], size)), pa.array(np.tile(at, 2)), pa.array(total.ravel())], names=["c", "at", "v"]
+        )
+
+    return run
+
+
+def _summed(rows: DataFrame, means: np.ndarray | None) -> np.ndarray:
+    d = len(NAMES)
+    out = np.zeros((2, 1 + d if means is None else d * d))
+    sums = rows.mapInArrow(_moments(means), "c long, at long, v double").groupBy("c", "at").agg(F.sum("v").alias("v"))
+    for c, at, v in sums.collect():  # two rows for each of a fixed number of moments
+        out[c, at] = v
+    return out
 
 
 def fit(labelled: DataFrame, pool: float = 0.05, diagonal: float = 0.05) -> Discriminant:
     """The discriminant of (x, label) rows. ``pool`` and ``diagonal`` are the shares of the two shrinkage targets."""
     d = len(NAMES)
     rows = labelled.select("x", F.col("label").cast("long").alias("label")).where("label in (0, 1)")
-    sums = rows.mapInArrow(_moments, "c long, at long, v double").groupBy("c", "at").agg(F.sum("v").alias("v"))
-    total = np.zeros((2, 1 + d + d * d))
-    for c, at, v in sums.collect():  # two rows for each of a fixed number of moments
-        total[c, at] = v
+    total = _summed(rows, None)
     n = total[:, 0]
     if not n.all():
         return Discriminant(float(n[1] / n.sum()) if n.sum() else 0.5)
-    mean = total[:, 1 : d + 1] / n[:, None]
-    cov = [total[c, d + 1 :].reshape(d, d) / n[c] - np.outer(mean[c], mean[c]) for c in (0, 1)]
+    mean = total[:, 1:] / n[:, None]
+    products = _summed(rows, mean)
+    cov = [products[c].reshape(d, d) / n[c] for c in (0, 1)]
     pooled = (n[0] * cov[0] + n[1] * cov[1]) / n.sum()
     spread = np.diag(np.diag(pooled) + 1e-6)
     factor = [np.linalg.cholesky((1 - pool - diagonal) * s + pool * pooled + diagonal * spread) for s in cov]
     offset = [math.log(n[c] / n.sum()) - float(np.log(np.diag(factor[c])).sum()) for c in (0, 1)]
-    return Discriminant(None, tuple(mean), tuple(factor), tuple(offset))
+    return Discriminant(None, tuple(mean), tuple(np.linalg.solve(f, np.eye(d)) for f in factor), tuple(offset))
 
 
 def held_out(doc_id: str = "doc_id"):
