@@ -119,13 +119,17 @@ def bootstrap_skill(loss: np.ndarray, ref: np.ndarray, seed: int, draws: int = 1
     return 1 - float(loss.sum() / ref.sum()), float(low), float(high)
 
 
-def compare(pairs: DataFrame, reference: str, least: int = 30) -> DataFrame:
-    """Skill with its interval and the Diebold-Mariano test for each entity and model. One group is one model's days."""
+def compare(pairs: DataFrame, reference: str, least: int = 30, seed: int | None = None) -> DataFrame:
+    """Skill with its interval and the Diebold-Mariano test for each entity and model. One group is one model's days.
+
+    Without a ``seed`` each comparison has its own, made of the names.
+    """
 
     def one(g: pd.DataFrame) -> pd.DataFrame:
         g = g.sort_values("day")
         entity, model = g.entity.iloc[0], g.model.iloc[0]
-        s, low, high = bootstrap_skill(g.loss.to_numpy(), g.ref_loss.to_numpy(), zlib.crc32(f"{model}|{reference}|{entity}".encode()))
+        own = zlib.crc32(f"{model}|{reference}|{entity}".encode()) if seed is None else seed
+        s, low, high = bootstrap_skill(g.loss.to_numpy(), g.ref_loss.to_numpy(), own)
         t, p = diebold_mariano((g.loss - g.ref_loss).to_numpy())
         return pd.DataFrame([(entity, model, len(g), s, low, high, t, p)], columns=["entity", "model", "days", "skill", "low", "high", "dm", "p"])
 

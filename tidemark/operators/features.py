@@ -21,8 +21,16 @@ class Protocol:
     issue_minutes: int = 10 * 60
     cutoff_minutes: int = 6 * 60
     cutoff_days: int = 1
+    weather_days: int = 2  # a weather forecast is at least so many days old when its hour comes
+
+    @staticmethod
+    def bulk() -> Protocol:
+        """Values are known up to the midnight at which the day two days before the target begins."""
+        return Protocol(cutoff_days=2, cutoff_minutes=0)
 
     def __post_init__(self) -> None:
+        if self.weather_days < 2:
+            raise ValueError("weather forecasts of less than two days ahead are not available at the issue")
         if self.cutoff_days < 1 or (self.cutoff_days == 1 and self.cutoff_minutes > self.issue_minutes):
             raise ValueError("the cutoff may not be after the issue")
 

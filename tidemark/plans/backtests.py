@@ -7,7 +7,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
-from ..operators import backtest, evaluate, ridge, trees
+from ..operators import ablation, backtest, evaluate, ridge, trees
 from ..sources import runs, staging
 from . import panels as p
 from .catalog import query, rounded
@@ -151,3 +151,19 @@ def comparison_skill(s, d):
         one = g.select(F.lit(ref).alias("reference"), "entity", "model", "days", "skill")
         out = one if out is None else out.unionByName(one)
     return rounded(out)
+
+
+@query()
+def ablation_comparisons(s, d):
+    """The ridge without its spline, without its ratios, and both of them against the whole; no SQL (a linear solve)."""
+    kept = lambda **k: backtest.ridge_model(ridge.Design(**{"onehot": DESIGN.onehot, "splines": DESIGN.splines, "numbers": DESIGN.numbers} | k))
+    season = ("doy_sin", "doy_cos")
+    variants = {"whole": kept(), "no_weather": kept(splines=()), "no_lags": kept(numbers=season), "season_only": kept(splines=(), numbers=season)}
+    return rounded(ablation.ablate(_matrix(s, d), variants, PLAN)[1])
+
+
+@query(f"""{"WITH " + _BT}, ok AS (SELECT b.model, b.entity, b.day, abs(b.yhat - dm.y) AS e, b.yhat - dm.y AS d, y FROM bt b JOIN dm ON dm.entity = b.entity AND dm.day = b.day WHERE b.yhat IS NOT NULL AND model IN ('climatology', 'debiased'))
+SELECT model, count(*) AS hours, round(avg(e), 4) AS mae, round(sqrt(avg(d * d)), 4) AS rmse, round(avg(e / y) * 100, 4) AS mape, round(avg(d / y) * 100, 4) AS bias FROM ok GROUP BY 1""")
+def ablation_overall(s, d):
+    """Metrics of two variants of one model, each over its own rows."""
+    return rounded(ablation.ablate(_matrix(s, d), {k: SET_BASED[k] for k in ("climatology", "debiased")}, PLAN)[0], 4)

@@ -208,3 +208,12 @@ def profile_long_gaps(s, d):
     """Gaps of more than two hours, and how many entities share each."""
     gaps = quality.gaps(p.hourly(s, d).where("n % 4 <> 0"), longest=3)
     return gaps.groupBy((F.col("prev") + 1).alias("gap_start"), (F.col("h") - 1).alias("gap_end"), F.col("missing").alias("missing_hours")).agg(F.count_distinct("entity").alias("entities"))
+
+
+@query(f"WITH {p.H} SELECT entity, h, round(value, 6) AS value, n FROM h WHERE entity = 'view' AND h > 19730 * 24 AND h <= 19735 * 24")
+def series_read(s, d):
+    """Five days of one entity's panel."""
+    from ..sources import api
+
+    day = lambda n: dt.date(1970, 1, 1) + dt.timedelta(days=n)
+    return rounded(api.series(p.hourly(s, d).select("entity", "h", "value", "n"), "view", day(19730), day(19734)))
