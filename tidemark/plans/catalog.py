@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions import holidays
 from ..operators import clean, evaluate, features, models, quality
+from ..sources import staging
 from . import panels as p
 from .panels import CLEAN, D, DAYS, FC, H, Z, table
 
@@ -182,7 +183,9 @@ lk AS (SELECT o.entity, o.day, arg_max(value, h) AS last_known, max(h) AS src FR
 
 
 def _matrix(s, d, protocol=features.Protocol()):
-    return features.build(p.hourly(s, d).select("entity", "h", "value"), p.zones(s, d), p.days_of(s, d), protocol)
+    """The panel is written once and feeds all branches of the matrix; it is far smaller than the events."""
+    panel = staging.written(p.hourly(s, d), "panel")
+    return features.build(panel.select("entity", "h", "value"), *p.clocks_and_days(panel), protocol)
 
 
 @query(f"""WITH {_LOCAL} SELECT x.entity, x.day::VARCHAR AS day, x.h, round(a.v, 6) AS lag_recent, a.src + issued - cutoff AS avail_recent, round(b.v, 6) AS lag7, b.src + issued - cutoff AS avail7

@@ -117,7 +117,8 @@ wa AS (SELECT wf.*, prev, prev_at, CASE WHEN temp IS NOT NULL AND wk IS NOT NULL
 
 
 def _whole_matrix(s, d):
-    return features.build_all(p.hourly(s, d).select("entity", "h", "value"), p.zones(s, d), p.days_of(s, d), _weather(s, d))
+    panel = staging.written(p.hourly(s, d), "panel")
+    return features.build_all(panel.select("entity", "h", "value"), *p.clocks_and_days(panel), staging.written(_weather(s, d), "weather"))
 
 
 @query(f"""WITH {_WM} SELECT entity, day::VARCHAR AS day, h, round(temp, 6) AS temp, round(temp_spread, 6) AS temp_spread, round(CASE WHEN temp IS NOT NULL THEN greatest(temp - 18, 0) END, 6) AS cdd, round(CASE WHEN temp IS NOT NULL THEN greatest(18 - temp, 0) END, 6) AS hdd,

@@ -67,6 +67,15 @@ def days_of(spark: SparkSession, sf_dir: str) -> DataFrame:
     return e.select("entity", F.explode(F.sequence("a", "b")).alias("day"))
 
 
+def clocks_and_days(panel: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """``zones`` and ``days_of`` of an hourly panel that is at hand: the events aren't read again."""
+    known = F.create_map(*[F.lit(x) for kv in ZONES.items() for x in kv])
+    ends = panel.groupBy("entity").agg(F.min("h").alias("a"), F.max("h").alias("z"))
+    day = lambda h: F.to_date(F.timestamp_seconds((F.col(h) - 1) * 3600))
+    zone = F.coalesce(F.try_element_at(known, F.col("entity")), F.lit("UTC")).alias("zone")
+    return ends.select("entity", zone), ends.select("entity", F.explode(F.sequence(F.date_add(day("a"), 9), F.date_sub(day("z"), 1))).alias("day"))
+
+
 DAYS = """days AS (SELECT entity, CAST(unnest(generate_series(a, b, INTERVAL 1 DAY)) AS DATE) AS day FROM (
   SELECT event_type AS entity, CAST(min(ts) AS DATE) + 9 AS a, CAST(max(ts) AS DATE) - 1 AS b FROM events GROUP BY 1))"""
 
