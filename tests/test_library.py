@@ -148,3 +148,14 @@ def test_store_is_append_only_and_pickup_is_idempotent(spark, tmp_path):
     for _ in range(2):
         pickup.follow(spark, inbox, ddl, path, f"{tmp_path}/ck{_}").awaitTermination()
     assert store.stored(spark, path).count() == 2
+
+
+def test_medians_do_not_depend_on_blocks(spark):
+    rng = np.random.default_rng(11)
+    rows = [(e, int(h), float(v) if v > 1 else None, 1.0) for e in "ab" for h, v in zip(range(470_000, 472_500), rng.gamma(2, 5, 2500), strict=True) if h % 7]
+    got = {(r.entity, r.h): r.median for r in clean.flag(spark.createDataFrame(rows, "entity string, h long, value double, benchmark double"), radius=40).collect()}
+    assert len(got) == len(rows)
+    for e in "ab":
+        mine = [(h, v) for k, h, v, _ in rows if k == e]
+        for h, _ in mine[::97]:
+            assert got[e, h] == pytest.approx(np.median([v for k, v in mine if abs(k - h) <= 40 and v is not None]))

@@ -18,9 +18,17 @@ def keep_latest(df: DataFrame, keys: list[str], order: list[Column]) -> DataFram
 
 
 def flag(df: DataFrame, radius: int = 84, low: float = 0.2, high: float = 5.0) -> DataFrame:
-    """Columns median and four flags of an (entity, h, value, benchmark) panel; the median takes positive values only."""
-    around = W.partitionBy("entity").orderBy("h").rangeBetween(-radius, radius)
+    """Columns median and four flags of an (entity, h, value, benchmark) panel; the median takes positive values only.
+
+    Windows run within blocks of hours. A row also goes to the neighbouring block if it lies within ``radius`` of it, so every
+    row of a block sees all that its window holds, and no entity's history meets in one task.
+    """
+    block = lambda h: F.floor(h / (8 * radius)).cast("long")
+    h = F.col("h")
+    df = df.withColumn("__own", block(h)).withColumn("__b", F.explode(F.array_distinct(F.array(block(h - radius), block(h), block(h + radius)))))
+    around = W.partitionBy("entity", "__b").orderBy("h").rangeBetween(-radius, radius)
     df = df.withColumn("median", F.percentile(F.when(F.col("value") > 0, F.col("value")), F.lit(0.5)).over(around))
+    df = df.where(F.col("__own").eqNullSafe(F.col("__b"))).drop("__own", "__b")
     band = (F.col("value") < low * F.col("median")) | (F.col("value") > high * F.col("median"))
     return df.withColumns({
         "is_missing": F.col("value").isNull(),

@@ -82,7 +82,9 @@ def pooled(pairs: DataFrame) -> DataFrame:
 
 
 def daily_losses(scored: DataFrame) -> DataFrame:
-    return scored.groupBy("entity", "model", "day").agg(F.sum("abs_err").alias("loss"), F.count("*").alias("n"))
+    """(entity, model, day, loss, ape, n): sums of absolute and of relative absolute errors, and scored hours."""
+    ape = F.try_divide(F.col("abs_err"), F.abs("y"))
+    return scored.groupBy("entity", "model", "day").agg(F.sum("abs_err").alias("loss"), F.sum(ape).alias("ape"), F.count("*").alias("n"))
 
 
 def paired(losses: DataFrame, reference: str) -> DataFrame:

@@ -114,3 +114,9 @@ def slice_metrics_all(s, d):
     mean = local.groupBy("entity", "day").agg(F.avg("temp").alias("temp_mean"))
     keys = local.select("entity", "h", "day", "local_hour").join(mean, ["entity", "day"])
     return rounded(evaluate.all_slices(p.scored(s, d), keys))
+
+
+@query(f"WITH {p.H}, {p.FC} SELECT entity, model, day, round(sum(abs_err), 6) AS loss, round(sum(abs_err / nullif(abs(y), 0)), 6) AS ape, count(*) AS n FROM sc GROUP BY ALL")
+def daily_losses_all(s, d):
+    """Daily sums of errors of all models."""
+    return rounded(evaluate.daily_losses(p.scored(s, d)))

@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 
@@ -38,8 +37,7 @@ def local(spark: SparkSession, sf_dir: str) -> DataFrame:
     at = F.timestamp_seconds(F.col("h") * 3600)
     rows = hourly(spark, sf_dir).join(zones(spark, sf_dir), "entity")
     rows = rows.select("entity", "h", "value", "temp", localtime.local_day_of(at, F.col("zone")).alias("day"), localtime.local_hour_of(at, F.col("zone")).alias("local_hour"))
-    by = W.partitionBy("entity").orderBy("h").rangeBetween(-168, -168)
-    return rows.withColumn("yhat", F.max("value").over(by))
+    return rows.join(rows.select("entity", (F.col("h") + 168).alias("h"), F.col("value").alias("yhat")), ["entity", "h"], "left")
 
 
 #: A clock for each entity of the hourly panel. Fixed values.
@@ -105,10 +103,10 @@ def scored(spark: SparkSession, sf_dir: str) -> DataFrame:
 def flagged_panel(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Staged rows for cleaning: the hourly panel with a benchmark (the hour before) and a fallback (the day before)."""
     p = hourly(spark, sf_dir)
-    by = W.partitionBy("entity").orderBy("h")
-    at = lambda s: F.max("value").over(by.rangeBetween(-s, -s))
+    at = lambda s, name: p.select("entity", (F.col("h") + s).alias("h"), F.col("value").alias(name))
     value = F.when(F.col("n") % 11 == 0, F.lit(None)).when(F.col("n") % 13 == 0, -F.col("value")).otherwise(F.col("value"))
-    return p.select("entity", "h", value.alias("value"), at(1).alias("benchmark"), at(24).alias("fallback"))
+    rows = p.join(at(1, "benchmark"), ["entity", "h"], "left").join(at(24, "fallback"), ["entity", "h"], "left")
+    return rows.select("entity", "h", value.alias("value"), "benchmark", "fallback")
 
 
 CLEAN = H + """, st AS (SELECT entity, h, CASE WHEN n % 11 = 0 THEN NULL WHEN n % 13 = 0 THEN -value ELSE value END AS value,
