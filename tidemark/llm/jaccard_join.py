@@ -66,7 +66,7 @@ class Powers:
 _POWERS = Powers()
 
 
-def word_hashes(raw: bytes, piece: int = 1 << 20) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(raw: bytes, piece: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words of a lower-cased text, and where each starts; long texts are read piece by piece."""
     out, first, at = [np.zeros(0, _U)], [np.zeros(0, np.int64)], 0
     while at < len(raw):
@@ -103,7 +103,7 @@ def shingles(h: np.ndarray, words: int) -> np.ndarray:
     return distinct(mix(out + _U(k)))
 
 
-def shingle_sets(texts: list[str | None], words: int, most: int = 1 << 20) -> Iterator[np.ndarray]:
+def shingle_sets(texts: list[str | None], words: int, most: int = 1 << 18) -> Iterator[np.ndarray]:
     """The shingle set of each text; short texts are hashed together."""
     lo = 0
     while lo < len(texts):
