@@ -29,21 +29,45 @@ def test_base_equals_brute_force_and_odd_rows(docs_of):
     assert m.score_texts(docs_of([]), vocabulary()).count() == 0
 
 
+def random_words(rng, n, most=5):
+    """Kinds of the ids of ``n`` words, the last of them the end, their counts, and the chain that these teach."""
+    size = rng.integers(1, most + 1, n)
+    size[-1] = 1
+    kinds = rng.integers(m.CLASSES + 2, m.CLASSES + 7, size.sum())
+    kinds[np.cumsum(size) - size] = rng.integers(0, 12, n)
+    c = rng.integers(1, 40, n)
+    counts, bits = m.chain_rows(kinds, c)
+    return kinds, c, m.chain_of(counts.reshape(-1, m.PARTS), bits)
+
+
+def masses(kinds, c):
+    path = m.steps(kinds)[-1]
+    return np.array([(c[path == x] + 1).sum() for x in path])
+
+
 def test_every_training_document_trains_the_model(docs_of):
     rows = docs_of([(i, "alpha beta gamma " * (1 + i % 5)) for i in range(200)]).withColumn("learn", m.learns())
-    shares, kind = np.full(m.CLASSES, 1 / m.CLASSES), np.arange(m.END_ID + 1) % m.CLASSES
+    shares = np.full(m.CLASSES, 1 / m.CLASSES)
     told = inspect.signature(m.score_texts).parameters
     default = (told["rounds"].default, told["share"].default)
-    ids, _ = m._ids(["alpha", "beta", "gamma"], m.subwords(**vocabulary()))
-    want = sum((1 + r.doc_id % 5) * len(ids) + 1 for r in rows.where("learn").collect())
+    ids, _ = m._ids(["alpha", "beta", "gamma", ""], m.subwords(**vocabulary()))
+    kind, _ = m.kinds_of(np.bincount(ids, minlength=m.END_ID + 1), spaced())
+    counts, bits = m.chain_rows(kind[ids], np.ones(4, np.int64))
+    chain = m.chain_of(counts.reshape(-1, m.PARTS), bits)
+    want = sum((1 + r.doc_id % 5) * (len(ids) - 1) + 1 for r in rows.where("learn").collect())
     for rounds, part in (default, (1, 2)):
-        p, seen = m.fit(rows, kind, shares, vocabulary(), rounds, part)
+        p, seen = m.fit(rows, kind, chain, shares, vocabulary(), rounds, part)
         assert seen == want and np.isfinite(p["embed"]).all()
     left_out = rows.where("pmod(xxhash64(doc_id), 24) >= 3")  # three rounds of 1/24 saw none of these
-    p, seen = m.fit(left_out, kind, shares, vocabulary(), *default)
+    p, seen = m.fit(left_out, kind, chain, shares, vocabulary(), *default)
     assert seen and not np.allclose(p["embed"], m.first_parameters(shares)["embed"])
 
 
+def spaced():
+    encoder = m.subwords(**vocabulary())
+    return np.array([i < m.END_ID and encoder.fast.decode_single_token_bytes(i)[:1] == b" " for i in range(m.END_ID + 1)])
+
+
 def test_windows_score_each_token_once_and_causally():
     rng = np.random.default_rng(0)
     lengths = np.array([1, 5, 48, 49, 80, 81, 200])
@@ -53,34 +77,51 @@ def test_windows_score_each_token_once_and_causally():
         seen.update(range(s if o else s + m.WINDOW - m.STRIDE, s + k))
     assert seen == Counter(range(lengths.sum()))
     p = m.first_parameters(np.full(m.CLASSES, 1 / m.CLASSES))
-    classes = rng.integers(0, m.CLASSES, lengths.sum())
-    one = m.score_tokens(p, classes, lengths)
-    assert np.allclose(one, m.score_tokens(p, classes, lengths, batch=3), atol=1e-4)
-    other = classes.copy()
-    other[-1] = (other[-1] + 1) % m.CLASSES  # the last token changes nothing before it
-    assert np.allclose(one[:-1], m.score_tokens(p, other, lengths)[:-1], atol=1e-5)
-    x = rng.integers(0, m.CLASSES + 1, (2, 9))
-    z = np.stack([m.log_shares(p, m.forward(p, x)[-1], np.full((2, 9), c)) for c in range(m.CLASSES)])
-    assert np.allclose(np.exp(z).sum(0), 1, atol=1e-4)
+    kinds, _, chain = random_words(rng, 80)
+    words, tokens = m.Words(kinds, chain), rng.integers(0, 80, lengths.sum())
+    one = m.score_tokens(p, words, tokens, lengths)
+    assert np.allclose(one, m.score_tokens(p, words, tokens, lengths, batch=3), atol=1e-4)
+    other = tokens.copy()
+    other[-1] = (other[-1] + 1) % 80  # the last token changes nothing before it
+    assert np.allclose(one[:-1], m.score_tokens(p, words, other, lengths)[:-1], atol=1e-5)
+    swapped = kinds.copy()  # a later id of the word before the last changes the last token's score
+    longest = int(np.argmax(words.size[:-1]))
+    swapped[words.at[longest] + 1] = m.CLASSES + 9
+    tokens[-2:] = longest, 79
+    assert not np.isclose(m.score_tokens(p, words, tokens, lengths)[-1], m.score_tokens(p, m.Words(swapped, chain), tokens, lengths)[-1], atol=1e-6)
 
 
 def test_gradients_and_learning():
     rng = np.random.default_rng(0)
     p = {k: v.astype(np.float64) for k, v in m.first_parameters(np.full(m.CLASSES, 1 / m.CLASSES)).items()}
-    x, y = rng.integers(0, m.CLASSES, (2, 12)), rng.integers(0, m.CLASSES, (2, 12))
-    g = m.gradients(p, x, y, np.ones((2, 12)))
-    loss = lambda q: -m.log_shares(q, m.forward(q, x)[-1], y).mean()
+    kinds, _, chain = random_words(rng, 40)
+    words = m.Words(kinds, chain)
+    assert words.steps.sum() > 40
+    x, y = rng.integers(0, 40, (2, 12)), rng.integers(0, 40, (2, 12))
+    x[:, 0] = 40  # the start
+    live = np.ones((2, 12))
+    live[1, 9:] = 0
+    g = m.gradients(p, words, x, y, live)
+
+    def loss(q):
+        h = m.forward(q, words.vectors(q, x.ravel()).reshape(2, 12, m.DIM))[-1]
+        return -m.log_shares(q, h[live > 0], words, y[live > 0]).mean()
+
+    assert set(g) == set(p)
     for n in p:
-        i = (int(x[0, 0]), 3) if n == "embed" else tuple(s // 2 for s in p[n].shape) if n != "place" else (3, 3)
-        up, down = ({k: v.copy() for k, v in p.items()} for _ in range(2))
-        up[n][i] += 1e-5
-        down[n][i] -= 1e-5
-        assert abs((loss(up) - loss(down)) / 2e-5 - g[n][i]) < 1e-7
-    classes, lengths = np.tile(np.arange(10), 600), np.full(60, 100)
+        where = {"embed": [(int(kinds[words.at[x[0, 2]]]), 3), (m.CLASSES, 1), (m.CLASSES + 4, 2)], "place": [(3, 3)], "next": [(4, 0), (2, 3)]}
+        for i in where.get(n, [tuple(s // 2 for s in p[n].shape)]):
+            up, down = ({k: v.copy() for k, v in p.items()} for _ in range(2))
+            up[n][i] += 1e-5
+            down[n][i] -= 1e-5
+            assert abs((loss(up) - loss(down)) / 2e-5 - g[n][i]) < 1e-7, n
+    kinds = np.concatenate([[i % 3, m.CLASSES + 2 + i // 3] for i in range(9)] + [[5]])
+    counts, bits = m.chain_rows(kinds, np.ones(10, np.int64))
+    words, tokens, lengths = m.Words(kinds, m.chain_of(counts.reshape(-1, m.PARTS), bits)), np.tile(np.arange(10), 600), np.full(60, 100)
     q = m.first_parameters(np.full(m.CLASSES, 1 / m.CLASSES))
     for t in range(25):
-        q = m.train(q, classes, lengths, t, batch=8)
-    assert m.score_tokens(q, classes, lengths).mean() > -2.0  # the classes' shares alone would give -2.3
+        q = m.train(q, words, tokens, lengths, t, batch=8)
+    assert m.score_tokens(q, words, tokens, lengths).mean() > -2.0  # shares alone would give -2.3
 
 
 def test_class_shares_sum_to_one():
@@ -102,47 +143,62 @@ def test_words_of_very_many_blocks_and_brute_force_of_the_score(docs_of):
     once, n = sum(x == 1 for x in c.values()), sum(c.values())
     unseen = (once + 1) / (n + once + 2)
     encoder = m.subwords(**told)
-    head = lambda w: int(encoder.encode_words([w.decode()])[0][0]) if w else m.END_ID
-    counts, known = np.zeros(m.END_ID + 1, np.int64), np.zeros(m.END_ID + 1, np.int64)
+    ids_of = lambda w: encoder.encode_words([w.decode()])[0].tolist() if w else [m.END_ID]
+    counts = Counter()
     for w, x in c.items():
-        counts[head(w)] += x
-        known[head(w)] += 1
-    opens = np.array([i < m.END_ID and encoder.fast.decode_single_token_bytes(i)[:1] == b" " for i in range(m.END_ID + 1)])
-    kind, _, shares = m.classes_of(counts, opens)
-    mass = np.bincount(kind, counts + known, minlength=m.CLASSES)
+        counts.update({i: k * x for i, k in Counter(ids_of(w)).items()})
+    kind, shares = m.kinds_of(np.array([counts[i] for i in range(m.END_ID + 1)]), spaced())
+    spell = {w: tuple(kind[ids_of(w)].tolist()) for w in {x for _, t in rows for x in [*words_of(t), b""]}}
+    mass, after, follow = Counter(), Counter(), {}
+    part = lambda k: k - m.CLASSES - 1
+    for w, x in c.items():
+        mass[spell[w]] += x + 1
+        for j in range(len(spell[w])):
+            chosen = part(spell[w][j + 1]) if j + 1 < len(spell[w]) else 0
+            after[spell[w][0], part(spell[w][j]) if j else 0, chosen] += x
+            follow.setdefault(spell[w][: j + 1], set()).add(chosen)
+    flat = np.concatenate([spell[w] for w in c])
+    table, bits = m.chain_rows(flat, np.array(list(c.values())))
     learned = docs_of(rows).withColumn("learn", m.learns())
-    p, _ = m.fit(learned, kind, shares, told, 3, 3)
+    p, _ = m.fit(learned, kind, m.chain_of(table.reshape(-1, m.PARTS), bits), shares, told, 3, 3)
+    vector = lambda s: p["embed"][list(s)].sum(0) / math.sqrt(len(s))
+    many = 0
     for d, t in rows[:20]:
-        tokens = [*words_of(t), b""]
-        classes = np.array([kind[head(w)] for w in tokens])
-        want = 0.0
+        tokens, want = [*words_of(t), b""], 0.0
         for at, w in enumerate(tokens):
             if w not in c:
                 want += math.log10(unseen)
                 continue
             first = 0 if at < m.WINDOW else m.STRIDE * (1 + (at - m.WINDOW) // m.STRIDE)  # of the window that scores it
-            before = np.append(m.CLASSES, classes)[first : at + 1] if first == 0 else classes[first - 1 : at]
-            z = m.forward(p, before[None])[-1][0, -1] @ p["out"] + p["bias"]
-            z = np.exp(z - z.max()) / np.exp(z - z.max()).sum()
-            want += math.log10((1 - unseen) * z[classes[at]] * (c[w] + 1) / mass[classes[at]])
+            before = [spell[tokens[i - 1]] if i else (m.CLASSES,) for i in range(first, at + 1)]
+            r = m.forward(p, np.stack([vector(s) for s in before])[None].astype(np.float32))[-1][0, -1]
+            z = np.exp(r @ p["out"] + p["bias"])
+            chance, s = z[spell[w][0]] / z.sum(), spell[w]
+            for j in range(len(s)):
+                weights = {k: after[s[0], part(s[j]) if j else 0, k] * math.exp(r @ p["next"][:, k]) for k in follow[s[: j + 1]]}
+                chance *= weights[part(s[j + 1]) if j + 1 < len(s) else 0] / sum(weights.values())
+                many += len(weights) > 1
+            want += math.log10((1 - unseen) * chance * (c[w] + 1) / mass[s])
         assert math.isclose(whole[d].score, want, rel_tol=1e-4), (d, whole[d].score, want)
+    assert many > 100  # later ids count
 
 
 def test_probabilities_of_all_events_sum_to_one():
     """The chances of each known word, the end and the event of an unseen word, after any context."""
     rng = np.random.default_rng(1)
-    heads, c = np.append(rng.integers(0, 500, 300), m.END_ID), np.append(rng.integers(1, 40, 300), 9)
-    counts, known = (np.bincount(heads, w, minlength=m.END_ID + 1).astype(np.int64) for w in (c, np.ones(301)))
-    kind, _, shares = m.classes_of(counts, np.arange(m.END_ID + 1) % 2 == 0)
-    mass = np.bincount(kind, counts + known, minlength=m.CLASSES)
-    heads, c = np.append(heads, 7), np.append(c, 0)  # one word that is unseen
+    kinds, c, chain = random_words(rng, 301)
+    mass = masses(kinds, c)
+    kinds, c, mass = np.append(kinds, [3, m.CLASSES + 3]), np.append(c, 0), np.append(mass, 0)  # one word that is unseen
+    words = m.Words(kinds, chain, c > 0)
+    shares = np.bincount(words.head[:-1], minlength=m.CLASSES) / 301
     p = m.first_parameters(shares)
-    context, empty = rng.integers(0, 301, 12), np.bincount(kind, known, minlength=m.CLASSES) == 0
+    context = rng.integers(0, 302, 12)
     for cut in (0, 1, 12):
-        after = [m.token_logs(p, kind, mass, 0.03, heads, c, np.append(context[:cut], w), np.array([cut + 1]))[-1] for w in range(302)]
-        x = np.append(m.CLASSES, kind[heads[context[:cut]]])[None]
-        z = m.forward(p, x)[-1][0, -1] @ p["out"] + p["bias"]
-        lost = (np.exp(z - z.max()) / np.exp(z - z.max()).sum())[empty].sum()  # of classes that hold no training word
+        after = [m.token_logs(p, words, 0.03, c, mass, np.append(context[:cut], w), np.array([cut + 1]))[-1] for w in range(302)]
+        x = np.append(len(words.at) - 1, context[:cut])
+        r = m.forward(p, words.vectors(p, x)[None])[-1][0, -1]
+        z = np.exp(r @ p["out"] + p["bias"])
+        lost = z[shares == 0].sum() / z.sum()  # of classes that hold no training word
         assert abs(np.exp(after).sum() - 1 + 0.97 * lost) < 1e-4 and lost < 0.01
 
 

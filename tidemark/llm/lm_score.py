@@ -4,22 +4,26 @@ A text is its words (A-Z lower-cased) and one end, each of them a token. The eve
 training texts hold, the end, and one event for any other word. A token's probability is
 
     unseen word:  u
-    other token:  (1 - u) * P(class of its opening subword id | tokens before) * (c + 1) / (sum of c + 1 over its class)
-
-so that the probabilities of all events sum to one. ``u`` is the Good-Turing estimate from the words seen once. Opening
-ids fall into classes (frequent ids alone, the others binned by count); a single-head causal attention layer over the
-classes of the tokens before gives the class; the ids that follow the opening one have the share of their word among the
-training words that open alike. Windows of ``WINDOW`` tokens overlap, each token is scored once, with at least
-WINDOW - STRIDE tokens of context where the text has them; batches are masked causally.
+    other token:  (1 - u) * P(class of its opening id | tokens before) * product of P(class of the next id, or none | tokens
+                  before, ids so far) * (c + 1) / (sum of c + 1 over the words of the same classes)
+
+``u`` is the Good-Turing estimate from the words seen once. A single-head causal attention layer reads the tokens before, each
+as the sum of the vectors of all its subword ids. Two heads stand on its output: one gives the class of the opening id
+(frequent ids alone, the others binned by count), the other, for each later id and for the word's end, weighs the shares
+that training words have after the same opening class and preceding class. Classes that no training word has after the ids
+so far are left out; the table of these has ``SLOTS`` hashed rows at any size, and where two beginnings share a row some
+probability goes to spellings that no word has. Beyond that the probabilities of all events sum to one. Windows of
+``WINDOW`` tokens overlap, each token is scored once, with at least WINDOW - STRIDE tokens of context where the text has
+them; batches are masked causally.
 
 Documents are read in blocks of bounded bytes. A block is written down as token numbers beside its list of distinct words,
-their training counts and opening ids. Spark adds the counts over all blocks and hands every block the totals of just its
+their training counts and subword ids. Spark adds the counts over all blocks and hands every block the totals of just its
 own words, so no table of all words is ever in one place; words that very many blocks list take a broadcast of
 checked size instead of the shuffle.
 
 Training averages parameters: in each round every task trains on its share of a fresh 1/``share`` of the training
 documents, and Spark averages the results by tokens seen. There are as many rounds as parts at least, so every training
-document is learned from.
+document is learned from. Tasks see the documents in the parts in which the table is read, so parameters depend on that.
 
 Defined results: a null or empty text is one end. Rows with a null doc_id are scored, never learned from, and not
 held out. Repeated rows are documents of their own. Without training texts every count is 0 and the classes are uniform.
@@ -30,6 +34,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
@@ -38,10 +43,12 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stash, subwords, table, words_of
+from .common import join_hot, stash, subwords, table, words_of
 from .packing import vocabulary
 
 CLASSES, SINGLE, DIM, WINDOW, STRIDE = 128, 112, 16, 48, 36
+PARTS, COMMON = 32, 24  # classes of later ids, number 0 being the word's end; ids that have a class of their own
+SLOTS = 1 << 20
 END_ID = 50256  # free in the vocabulary
 _SEEN = np.tril(np.ones((WINDOW, WINDOW), np.float32))  # the causal mask
 
@@ -50,6 +57,81 @@ def learns(doc_id: str = "doc_id"):
     return F.coalesce(F.crc32(F.col(doc_id).cast("string")) % 7 != 2, F.lit(False))
 
 
+# --- spellings -------------------------------------------------------------------------------------------------------
+
+
+class Chain(NamedTuple):
+    """How training words go on: shares of the next part by (opening class, preceding part), the parts that have any as
+    bits, and the bits of the parts that follow each beginning of a word, by its hash."""
+
+    share: np.ndarray
+    some: np.ndarray
+    bits: np.ndarray
+
+
+def chain_of(counts: np.ndarray, bits: np.ndarray) -> Chain:
+    share = (counts / np.maximum(1, counts.sum(1, keepdims=True))).astype(np.float32)
+    return Chain(share, ((counts > 0) << np.arange(PARTS, dtype=np.int64)).sum(1).astype(np.uint32), bits)
+
+
+def _mixed(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    x = (x ^ (x >> np.uint64(32))) * np.uint64(0xD6E8FEB86659FD93)
+    return x ^ (x >> np.uint64(32))
+
+
+def runs(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers first, first + 1, ... of every run, end to end."""
+    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
+def steps(kinds: np.ndarray) -> tuple[np.ndarray, ...]:
+    """Words laid end to end as kinds of their ids. Where each begins and its number of ids; for each id the state after it, the part
+    that follows (0: none) and the slot of the ids so far; and a hash of each word's kinds."""
+    at = np.flatnonzero(kinds < CLASSES)
+    size = np.diff(at, append=len(kinds))
+    place = np.arange(len(kinds)) - np.repeat(at, size)
+    state = np.repeat(kinds[at], size) * PARTS + np.where(place > 0, kinds - CLASSES - 1, 0)
+    part = np.append(np.maximum(kinds[1:] - CLASSES - 1, 0), 0)[: len(kinds)]
+    each = _mixed((place * (CLASSES + 1 + PARTS) + kinds + 1).astype(np.uint64))
+    total = np.cumsum(each)  # wraps
+    so_far = _mixed(total - np.repeat((total - each)[at], size))
+    return at, size, state, part, (so_far >> np.uint64(44)).astype(np.int64), so_far[at + size - 1].view(np.int64)
+
+
+class Words:
+    """Words as the model reads them: their ids' kinds, and those steps of their spelling at which more than one part may follow.
+
+    One more word, the last, stands before a text's first token.
+    """
+
+    def __init__(self, kinds: np.ndarray, chain: Chain, scored: np.ndarray | None = None):
+        at, size, state, part, slot, _ = steps(kinds)
+        self.kinds, self.at, self.size = np.append(kinds, CLASSES), np.append(at, len(kinds)), np.append(size, 1)
+        self.head, self.share = kinds[at], chain.share
+        may = chain.some[state] & chain.bits[slot]
+        free = (may & (may - np.uint32(1))) != 0
+        if scored is not None:
+            free &= np.repeat(scored, size)
+        self.state, self.part, self.may = state[free].astype(np.int32), part[free].astype(np.int8), may[free]
+        self.steps = np.add.reduceat(free.astype(np.int32), at)
+        self.first = np.cumsum(self.steps) - self.steps
+
+    def vectors(self, p: dict, words: np.ndarray) -> np.ndarray:
+        size = self.size[words]
+        flat = p["embed"][self.kinds[runs(self.at[words], size)]]
+        return np.add.reduceat(flat, np.cumsum(size) - size) * (size[:, None] ** -0.5).astype(flat.dtype)
+
+    def chosen(self, words: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """For each open step of the words, whose scores' exponentials are ``z``: its word's row, the parts' shares, the part."""
+        size = self.steps[words]
+        at, row = runs(self.first[words], size), np.repeat(np.arange(len(words)), size)
+        a = z[row] * self.share[self.state[at]]
+        a *= np.unpackbits(self.may[at].view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
+        a /= (a @ np.ones((PARTS, 1), a.dtype))
+        return row, a, self.part[at]
+
+
 # --- the model -------------------------------------------------------------------------------------------------------
 
 
@@ -58,20 +140,20 @@ def first_parameters(share: np.ndarray, seed: int = 5) -> dict[str, np.ndarray]:
     rng = np.random.default_rng(seed)
     draw = lambda *n: (rng.normal(size=n) * 0.3 / math.sqrt(n[0])).astype(np.float32)
     return {
-        "embed": draw(CLASSES + 1, DIM) * 4, "place": draw(WINDOW, DIM), "q": draw(DIM, DIM), "k": draw(DIM, DIM), "v": draw(DIM, DIM) * 2,
-        "o": draw(DIM, DIM) * 2, "out": draw(DIM, CLASSES) * 0.1, "bias": np.log(share + 1e-6).astype(np.float32),
+        "embed": draw(CLASSES + 1 + PARTS, DIM) * 4, "place": draw(WINDOW, DIM), "q": draw(DIM, DIM), "k": draw(DIM, DIM), "v": draw(DIM, DIM) * 2,
+        "o": draw(DIM, DIM) * 2, "out": draw(DIM, CLASSES) * 0.1, "bias": np.log(share + 1e-6).astype(np.float32), "next": draw(DIM, PARTS) * 0.1,
     }
 
 
-def forward(p: dict, x: np.ndarray) -> tuple:
-    """The layer's input, queries, keys, values, attention, mixed values and output, for a batch of equal windows."""
-    h = p["embed"][x] + p["place"][: x.shape[1]]
-    q, k, v = np.split((h.reshape(-1, DIM) @ np.concatenate((p["q"], p["k"], p["v"]), 1)).reshape(*x.shape, 3 * DIM), 3, -1)
+def forward(p: dict, h: np.ndarray) -> tuple:
+    """The layer's input, queries, keys, values, attention, mixed values and output, for the tokens' vectors of equal windows."""
+    h = h + p["place"][: h.shape[1]]
+    q, k, v = np.split((h.reshape(-1, DIM) @ np.concatenate((p["q"], p["k"], p["v"]), 1)).reshape(*h.shape[:2], 3 * DIM), 3, -1)
     a = (q * np.float32(DIM**-0.5)) @ k.transpose(0, 2, 1)
     np.clip(a, -60, 60, out=a)
     np.exp(a, out=a)
-    a *= _SEEN[: x.shape[1], : x.shape[1]]
-    a *= 1 / (a @ np.ones((x.shape[1], 1), a.dtype))
+    a *= _SEEN[: h.shape[1], : h.shape[1]]
+    a *= 1 / (a @ np.ones((h.shape[1], 1), a.dtype))
     m = a @ v
     return h, q, k, v, a, m, h + (m.reshape(-1, DIM) @ p["o"]).reshape(h.shape)
 
@@ -84,21 +166,36 @@ def _exp_scores(p: dict, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return z, z @ np.ones(z.shape[1], z.dtype)
 
 
-def log_shares(p: dict, h: np.ndarray, y: np.ndarray) -> np.ndarray:
-    """Natural log-probability of the target classes."""
-    z, total = _exp_scores(p, h.reshape(-1, h.shape[-1]))
-    return np.log(z[np.arange(len(z)), y.ravel()] / total).reshape(y.shape)
+def _exp_next(p: dict, h: np.ndarray) -> np.ndarray:
+    return np.exp(np.clip(h @ p["next"], -40, 40))
+
 
+def log_shares(p: dict, h: np.ndarray, words: Words, y: np.ndarray) -> np.ndarray:
+    """Natural log-probability of the classes of the target words' ids; ``h`` and ``y`` hold a row and a word for each token."""
+    z, total = _exp_scores(p, h)
+    row, a, part = words.chosen(y, _exp_next(p, h))
+    later = np.bincount(row, np.log(a[np.arange(len(a)), part]), minlength=len(y))
+    return np.log(z[np.arange(len(z)), words.head[y]] / total) + later
 
-def gradients(p: dict, x: np.ndarray, y: np.ndarray, live: np.ndarray) -> dict[str, np.ndarray]:
-    h, q, k, v, a, m, r = forward(p, x)
+
+def gradients(p: dict, words: Words, x: np.ndarray, y: np.ndarray, live: np.ndarray) -> dict[str, np.ndarray]:
+    """Of the mean loss over the live tokens ``y``, each after the word ``x``."""
+    h, q, k, v, a, m, r = forward(p, words.vectors(p, x.ravel()).reshape(*x.shape, DIM))
     flat = lambda t: t.reshape(-1, t.shape[-1])
     r, weight = flat(r), (live / live.sum()).ravel()
     z, total = _exp_scores(p, r)
     z *= (weight / total)[:, None]
-    z[np.arange(len(z)), y.ravel()] -= weight
+    z[np.arange(len(z)), words.head[y.ravel()]] -= weight
     g = {"out": r.T @ z, "bias": z.sum(0)}
-    dr = z @ p["out"].T
+    row, later, part = words.chosen(y.ravel(), _exp_next(p, r))
+    later[np.arange(len(later)), part] -= 1
+    later *= weight[row][:, None]
+    dz = np.zeros((len(r), PARTS), r.dtype)
+    if len(row):
+        begins = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
+        dz[row[begins]] = np.add.reduceat(later, begins)
+    g["next"] = r.T @ dz
+    dr = z @ p["out"].T + dz @ p["next"].T
     g["o"] = flat(m).T @ dr
     dm = (dr @ p["o"].T).reshape(m.shape)
     ds = dm @ v.transpose(0, 2, 1)
@@ -112,10 +209,13 @@ def gradients(p: dict, x: np.ndarray, y: np.ndarray, live: np.ndarray) -> dict[s
     g["place"] = np.zeros_like(p["place"])
     g["place"][: x.shape[1]] = dh.sum(0)
     g["embed"] = np.zeros_like(p["embed"])
-    order = np.argsort(x.ravel().astype(np.int16), kind="stable")
-    runs = x.ravel()[order]
-    opens = np.flatnonzero(np.append(True, runs[1:] != runs[:-1]))
-    g["embed"][runs[opens]] = np.add.reduceat(flat(dh)[order], opens)
+    size = words.size[x.ravel()]
+    each = np.repeat(flat(dh) * (size[:, None] ** -0.5).astype(dh.dtype), size, 0)
+    kinds = words.kinds[runs(words.at[x.ravel()], size)]
+    order = np.argsort(kinds.astype(np.int16), kind="stable")
+    sorted_kinds = kinds[order]
+    begins = np.flatnonzero(np.append(True, sorted_kinds[1:] != sorted_kinds[:-1]))
+    g["embed"][sorted_kinds[begins]] = np.add.reduceat(each[order], begins)
     return g
 
 
@@ -128,47 +228,48 @@ def windows(lengths: np.ndarray, stride: int = STRIDE) -> tuple[np.ndarray, np.n
     return start, np.minimum(WINDOW, np.cumsum(lengths)[text] - start), rank == 0
 
 
-def _batch(before: np.ndarray, classes: np.ndarray, start: np.ndarray, size: np.ndarray):
+def _batch(before: np.ndarray, tokens: np.ndarray, start: np.ndarray, size: np.ndarray):
     width = int(size.max())
-    at = np.minimum(start[:, None] + np.arange(width), len(classes) - 1)
-    return before[at], classes[at], np.arange(width) < size[:, None], at
+    at = np.minimum(start[:, None] + np.arange(width), len(tokens) - 1)
+    return before[at], tokens[at], np.arange(width) < size[:, None], at
 
 
-def _before(classes: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """The class before each token; a text opens with the class number ``CLASSES``."""
-    out = np.roll(classes, 1)
-    out[np.cumsum(lengths) - lengths] = CLASSES
+def _before(words: Words, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+    """The word before each token; a text opens after the last of ``words``."""
+    out = np.roll(tokens, 1)
+    out[np.cumsum(lengths) - lengths] = len(words.at) - 1
     return out
 
 
-def score_tokens(p: dict, classes: np.ndarray, lengths: np.ndarray, batch: int = 96) -> np.ndarray:
-    """Natural log-probability of each token's class, texts laid end to end."""
-    out, before = np.zeros(len(classes)), _before(classes, lengths)
+def score_tokens(p: dict, words: Words, tokens: np.ndarray, lengths: np.ndarray, batch: int = 96, vectors: np.ndarray | None = None) -> np.ndarray:
+    """Natural log-probability of the classes of each token's ids, texts laid end to end; ``tokens`` number the words."""
+    out, before = np.zeros(len(tokens)), _before(words, tokens, lengths)
+    vectors = words.vectors(p, np.arange(len(words.at))) if vectors is None else vectors
     start, size, opens = windows(lengths)
     for some, skip in ((opens, 0), (~opens, WINDOW - STRIDE)):
         order = np.flatnonzero(some)
         order = order[np.argsort(size[order], kind="stable")]  # windows of like size share a batch
         for lo in range(0, len(order), batch):
             w = order[lo : lo + batch]
-            x, y, live, at = _batch(before, classes, start[w], size[w])
+            x, y, live, at = _batch(before, tokens, start[w], size[w])
             live = live[:, skip:]
-            out[at[:, skip:][live]] = log_shares(p, forward(p, x)[-1][:, skip:], y[:, skip:])[live]
+            out[at[:, skip:][live]] = log_shares(p, forward(p, vectors[x])[-1][:, skip:][live], words, y[:, skip:][live])
     return out
 
 
-def train(p: dict, classes: np.ndarray, lengths: np.ndarray, seed: int, rate: float = 4e-3, batch: int = 64) -> dict:
+def train(p: dict, words: Words, tokens: np.ndarray, lengths: np.ndarray, seed: int, rate: float = 4e-3, batch: int = 64) -> dict:
     """One pass of Adam over some texts, each token in one window. Windows of like size share a batch; batches come in random order."""
     p = {n: v.copy() for n, v in p.items()}
     one, two = ({n: np.zeros_like(v) for n, v in p.items()} for _ in range(2))
-    before, (start, size, _) = _before(classes, lengths), windows(lengths, WINDOW)
+    before, (start, size, _) = _before(words, tokens, lengths), windows(lengths, WINDOW)
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(start))
     order = order[np.argsort(size[order], kind="stable")]
     for t, lo in enumerate(rng.permutation(np.arange(0, len(order), batch)).tolist(), 1):
         w = order[lo : lo + batch]
-        x, y, live, _ = _batch(before, classes, start[w], size[w])
+        x, y, live, _ = _batch(before, tokens, start[w], size[w])
         step = rate * math.sqrt(1 - 0.99**t) / (1 - 0.9**t) / (1 + t * batch / len(order))
-        for n, g in gradients(p, x, y, live.astype(np.float32)).items():
+        for n, g in gradients(p, words, x, y, live.astype(np.float32)).items():
             one[n] += 0.1 * (g - one[n])
             two[n] += 0.01 * (g * g - two[n])
             p[n] -= (step * one[n] / (np.sqrt(two[n]) + 1e-6)).astype(np.float32)
@@ -196,12 +297,12 @@ def from_planes(x: bytes, kind: type) -> np.ndarray:
 
 
 def _listed(block_docs: int, block_bytes: int, vocab: dict[str, str]):
-    """mapInArrow over (doc_id, learn, text): for each block a row per document (its tokens as numbers of words, and their opening
-    ids), a row per distinct word, and a row of the words' opening ids."""
+    """mapInArrow over (doc_id, learn, text): for each block a row per document (its tokens as numbers of words, and all
+    their ids), a row per distinct word, and a row of the words' ids."""
     types = (
         ("block", pa.int64(), "long"), ("doc_id", pa.int64(), "long"), ("learn", pa.bool_(), "boolean"), ("tokens", pa.binary(), "binary"),
-        ("openings", pa.binary(), "binary"), ("heads", pa.binary(), "binary"), ("number", pa.int32(), "int"), ("word", pa.string(), "string"),
-        ("c", pa.int64(), "long"), ("head", pa.int32(), "int"),
+        ("ids", pa.binary(), "binary"), ("spelled", pa.binary(), "binary"), ("number", pa.int32(), "int"), ("word", pa.string(), "string"),
+        ("c", pa.int64(), "long"),
     )
     kinds = {name: kind for name, kind, _ in types}
     schema = pa.schema(kinds)
@@ -220,16 +321,16 @@ def _listed(block_docs: int, block_bytes: int, vocab: dict[str, str]):
                 c += np.bincount(np.concatenate([t for t, x in zip(tokens, learn, strict=True) if x]), minlength=len(at))
             words = [w.decode("utf-8", "surrogatepass") for w in at]
             ids, bounds = _ids(words, encoder)
-            heads = ids[bounds[:-1]].astype(np.uint16)
-            yield rows(1, block=[block], heads=[heads.tobytes()])
+            ids, size = ids.astype(np.uint16), np.diff(bounds)
+            yield rows(1, block=[block], spelled=[ids.tobytes()])
             for lo in range(0, len(docs), 1000):
                 some = tokens[lo : lo + 1000]
                 yield rows(len(some), block=[block] * len(some), doc_id=docs[lo : lo + 1000], learn=learn[lo : lo + 1000],
-                           tokens=[planes(t) for t in some], openings=[planes(heads[t]) for t in some])
+                           tokens=[planes(t) for t in some], ids=[planes(ids[runs(bounds[t], size[t])]) for t in some])
             for lo in range(0, len(words), 50_000):
                 some = slice(lo, lo + 50_000)
                 n = len(words[some])
-                yield rows(n, block=np.full(n, block), number=np.arange(lo, lo + n, dtype=np.int32), word=words[some], c=c[some], head=heads[some].astype(np.int32))
+                yield rows(n, block=np.full(n, block), number=np.arange(lo, lo + n, dtype=np.int32), word=words[some], c=c[some])
             at, docs, learn, tokens, size, block = Numbers(), [], [], [], 0, block + 1
 
         for b in batches:
@@ -249,12 +350,12 @@ def _listed(block_docs: int, block_bytes: int, vocab: dict[str, str]):
 
 
 def with_totals(words: DataFrame, totals: DataFrame, blocks: int, most: int = 200_000) -> DataFrame:
-    """(block, number, total) for the words of every block. Words that many blocks list would be hot keys of the
+    """(block, number, total, mass) for the words of every block that ``totals`` (word, c, mass, spread) has. Words that many blocks list would be hot keys of the
     shuffle; they are broadcast if no more than ``most`` of them are found."""
-    hot = totals.where(F.col("spread") >= max(256, blocks // 16)).select("word", F.col("c").alias("total"))
+    hot = totals.where(F.col("spread") >= max(256, blocks // 16)).select("word", F.col("c").alias("total"), "mass")
     some = hot.limit(most + 1).count()
-    columns = ["block", "number", "total"]
-    rest = totals.select("word", F.col("c").alias("total"))
+    columns = ["block", "number", "total", "mass"]
+    rest = totals.select("word", F.col("c").alias("total"), "mass")
     if not 0 < some <= most:
         return words.join(rest, "word").select(*columns)
     few = F.broadcast(hot)
@@ -280,6 +381,97 @@ def classes_of(counts: np.ndarray, opens: np.ndarray) -> tuple[np.ndarray, np.nd
     return out, np.log(weight) - np.log(mass[out]), np.bincount(out, counts, minlength=CLASSES) / max(1, counts.sum())
 
 
+def kinds_of(counts: np.ndarray, spaced: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The kind of each id, and the shares of the opening classes. Ids that open a word (``spaced``, and the end) have a class as
+    kind, later ones CLASSES + 1 + their part."""
+    opens = spaced | (np.arange(len(counts)) == END_ID)
+    classes, _, shares = classes_of(counts * opens, spaced)
+    later = np.where(opens, 0, counts)
+    order = np.argsort(-later, kind="stable")
+    part = np.empty(len(counts), np.int64)
+    part[order[:COMMON]] = np.arange(1, COMMON + 1)
+    bins, mass = PARTS - 1 - COMMON, np.cumsum(later[order[COMMON:]] + 1e-9)
+    part[order[COMMON:]] = COMMON + 1 + np.minimum(bins - 1, (mass / mass[-1] * bins).astype(np.int64))
+    return np.where(opens, classes, CLASSES + 1 + part), shares
+
+
+def _spelled(vocab: dict[str, str]):
+    """mapInArrow over (word, c, spread): the words' ids, for those that training texts hold."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            c = b["c"].to_numpy()
+            words = b.filter(pa.array(c > 0))["word"].to_pylist()
+            ids, bounds = _ids(words, subwords(**vocab))
+            ids = ids.astype(np.uint16)
+            of = iter([ids[lo:hi].tobytes() for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)])
+            yield pa.RecordBatch.from_arrays([*(b[k] for k in ("word", "c", "spread")), pa.array([next(of) if x else None for x in c > 0], pa.binary())],
+                                             names=["word", "c", "spread", "ids"])
+
+    return run
+
+
+def _laid_ids(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
+    each = b["ids"].to_pylist()
+    return np.frombuffer(b"".join(each), np.uint16) if each else np.zeros(0, np.uint16), np.array([len(x) // 2 for x in each], np.int64)
+
+
+def _count_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    n = np.zeros(END_ID + 1, np.int64)
+    for b in batches:
+        ids, size = _laid_ids(b)
+        np.add.at(n, ids, np.repeat(b["c"].to_numpy(), size))
+    at = np.flatnonzero(n)
+    yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(n[at])], names=["id", "n"])
+
+
+def chain_rows(kinds: np.ndarray, c: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of words with counts: how often each part follows each state, and the bits of the parts that follow each beginning."""
+    at, size, state, part, slot, _ = steps(kinds)
+    counts, bits = np.zeros(CLASSES * PARTS * PARTS, np.int64), np.zeros(SLOTS, np.uint32)
+    np.add.at(counts, state * PARTS + part, np.repeat(c, size))
+    np.bitwise_or.at(bits, slot, np.uint32(1) << part.astype(np.uint32))
+    return counts, bits
+
+
+def _count_steps(kind: np.ndarray):
+    """mapInArrow over (c, ids): partial counts of parts by state, at their own numbers, and bits by slot, at -1 - slot."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, bits = chain_rows(np.zeros(0, np.int64), np.zeros(0, np.int64))
+        for b in batches:
+            ids, _ = _laid_ids(b)
+            more, others = chain_rows(kind[ids], b["c"].to_numpy())
+            counts += more
+            bits |= others
+        for at, values, sign in ((np.flatnonzero(counts), counts, 0), (np.flatnonzero(bits), bits.astype(np.int64), 1)):
+            yield pa.RecordBatch.from_arrays([pa.array(-1 - at if sign else at), pa.array(values[at])], names=["at", "n"])
+
+    return run
+
+
+def _paths(kind: np.ndarray):
+    """mapInArrow over (word, c, spread, ids): a hash of the kinds of each word's ids."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in batches:
+            ids, _ = _laid_ids(b)
+            yield pa.RecordBatch.from_arrays([*(b[k] for k in ("word", "c", "spread")), pa.array(steps(kind[ids])[-1])], names=["word", "c", "spread", "path"])
+
+    return run
+
+
+def learned_chain(known: DataFrame, kind: np.ndarray) -> Chain:
+    """The chain of the words (c, ids). What comes to the driver is bounded by the numbers of states and slots."""
+    rows = known.select("c", "ids").mapInArrow(_count_steps(kind), "at long, n long")
+    got = rows.groupBy("at").agg(F.when(F.col("at") < 0, F.bit_or("n")).otherwise(F.sum("n")).alias("n")).toArrow()
+    at, n = got["at"].to_numpy(), got["n"].to_numpy()
+    counts, bits = np.zeros(CLASSES * PARTS * PARTS, np.int64), np.zeros(SLOTS, np.uint32)
+    counts[at[at >= 0]] = n[at >= 0]
+    bits[-1 - at[at < 0]] = n[at < 0]
+    return chain_of(counts.reshape(-1, PARTS), bits)
+
+
 def _ids(words: list[str], encoder) -> tuple[np.ndarray, np.ndarray]:
     """Ids of distinct words: all of them, and the bounds of each word's; the empty word is the end."""
     real = [w for w in words if w]
@@ -297,52 +489,44 @@ def _ids(words: list[str], encoder) -> tuple[np.ndarray, np.ndarray]:
     return out, bounds
 
 
-def _openings(batches: Iterator[pa.RecordBatch], vocab: dict[str, str], most: int = 1_000_000) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Opening ids of the tokens of documents laid end to end, and the documents' lengths, some ``most`` tokens at a time."""
+def _texts_ids(batches: Iterator[pa.RecordBatch], vocab: dict[str, str], most: int = 1_000_000) -> Iterator[np.ndarray]:
+    """Ids of the tokens of documents laid end to end, some ``most`` at a time; each document ends with ``END_ID``."""
     held, size = [], 0
     for b in batches:
-        known = "openings" in b.schema.names
-        for x in b["openings" if known else "text"].to_pylist():
-            held.append(from_planes(x, np.uint16) if known else [*words_of(x), b""])
+        known = "ids" in b.schema.names
+        for x in b["ids" if known else "text"].to_pylist():
+            held.append(from_planes(x, np.uint16) if known else _ids([w.decode("utf-8", "surrogatepass") for w in [*words_of(x), b""]], subwords(**vocab))[0])
             size += len(held[-1])
             if size >= most:
-                yield _laid(held, vocab)
+                yield np.concatenate(held)
                 held, size = [], 0
     if held:
-        yield _laid(held, vocab)
-
-
-def _laid(held: list, vocab: dict[str, str]) -> tuple[np.ndarray, np.ndarray]:
-    lengths = np.array(list(map(len, held)))
-    if isinstance(held[0], np.ndarray):
-        return np.concatenate(held), lengths
-    at = Numbers()
-    tokens = np.array([at[w] for words in held for w in words])
-    ids, bounds = _ids([w.decode("utf-8", "surrogatepass") for w in at], subwords(**vocab))
-    return ids[bounds[:-1]][tokens], lengths
+        yield np.concatenate(held)
 
 
-def fit(docs: DataFrame, class_of: np.ndarray, share: np.ndarray, vocab: dict[str, str], rounds: int, part: int) -> tuple[dict[str, np.ndarray], int]:
+def fit(docs: DataFrame, kind: np.ndarray, chain: Chain, share: np.ndarray, vocab: dict[str, str], rounds: int, part: int) -> tuple[dict[str, np.ndarray], int]:
     """Parameters after ``rounds`` rounds, each over one of ``part`` disjoint parts of the training documents, and the ids seen.
 
-    The documents come with their text, or with the opening ids of their tokens (``openings``) where these are known.
+    The documents come with their text, or with the ids of their tokens (``ids``) where these are known.
     Fewer rounds than parts would leave documents out, so there are ``part`` at least.
     """
     spark, p, seen = docs.sparkSession, first_parameters(share), 0
     names = list(p)
     for turn in range(max(rounds, part)):
-        sent = spark.sparkContext.broadcast((p, class_of))  # some 10,000 parameters and a class for each id
+        sent = spark.sparkContext.broadcast((p, kind, chain))  # some 10,000 parameters, a kind for each id, and the chain's fixed tables
 
         def run(batches: Iterator[pa.RecordBatch], turn=turn, sent=sent) -> Iterator[pa.RecordBatch]:
-            params, kind = sent.value
+            params, kind, chain = sent.value
             total = 0
-            for ids, lengths in _openings(batches, vocab):
-                params = train(params, kind[ids], lengths, turn)
+            for ids in _texts_ids(batches, vocab):
+                words = Words(kind[ids], chain)
+                ends = np.flatnonzero(ids[words.at[:-1]] == END_ID)
+                params = train(params, words, np.arange(len(words.head)), np.diff(ends, prepend=-1), turn)
                 total += len(ids)
             flat = np.append(np.concatenate([params[n].ravel() for n in names]).astype(np.float64) * total, total) if total else np.zeros(0)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat)], names=["at", "v"])
 
-        some = docs.where(F.col("learn") & (F.pmod(F.xxhash64("doc_id"), F.lit(part)) == turn % part)).select("openings" if "openings" in docs.columns else "text")
+        some = docs.where(F.col("learn") & (F.pmod(F.xxhash64("doc_id"), F.lit(part)) == turn % part)).select("ids" if "ids" in docs.columns else "text")
         rows = some.mapInArrow(run, "at long, v double").groupBy("at").agg(F.sum("v").alias("v")).collect()  # one row for each parameter
         sent.unpersist()
         if rows:
@@ -357,11 +541,10 @@ def fit(docs: DataFrame, class_of: np.ndarray, share: np.ndarray, vocab: dict[st
     return p, seen
 
 
-def token_logs(p: dict, kind: np.ndarray, mass: np.ndarray, unseen: float, heads: np.ndarray, c: np.ndarray, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray:
-    """Natural log-probability of each token, texts laid end to end; ``tokens`` number the words that ``heads`` and ``c`` describe."""
-    classes = kind[heads]
-    inside = np.where(c > 0, math.log1p(-unseen) + np.log(c + 1.0) - np.log(np.maximum(1, mass[classes])), math.log(unseen))
-    out = score_tokens(p, classes[tokens], lengths)
+def token_logs(p: dict, words: Words, unseen: float, c: np.ndarray, mass: np.ndarray, tokens: np.ndarray, lengths: np.ndarray, vectors: np.ndarray | None = None) -> np.ndarray:
+    """Natural log-probability of each token, texts laid end to end; ``tokens`` number the words, ``mass`` is that of a word's path."""
+    inside = np.where(c > 0, math.log1p(-unseen) + np.log(c + 1.0) - np.log(np.maximum(1, mass)), math.log(unseen))
+    out = score_tokens(p, words, tokens, lengths, vectors=vectors)
     return np.where(c[tokens] > 0, out, 0.0) + inside[tokens]
 
 
@@ -371,29 +554,34 @@ def score_texts(docs: DataFrame, vocab: dict[str, str], rounds: int = 3, share:
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("learn", learns())
     run, schema = _listed(block_docs, block_bytes, vocab)
     listed = stash(rows.select("doc_id", "learn", "text").mapInArrow(run, schema), "blocks", "zstd")
-    words = listed.where("number is not null").select("block", "number", "word", "c", "head")
-    texts = listed.where("number is null").select("block", "doc_id", "learn", "tokens", "heads")
-    totals = stash(words.groupBy("word").agg(F.sum("c").alias("c"), F.count("*").alias("spread"), F.first("head").alias("head")), "totals")
+    words = listed.where("number is not null").select("block", "number", "word", "c")
+    texts = listed.where("number is null").select("block", "doc_id", "learn", "tokens", "spelled")
+    totals = words.groupBy("word").agg(F.sum("c").alias("c"), F.count("*").alias("spread"))
+    totals = stash(totals.mapInArrow(_spelled(vocab), "word string, c long, spread long, ids binary"), "totals", "zstd")
     ends = F.when(F.col("word") == "", F.col("spread"))
     n, v, once, blocks = totals.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0), F.count_if(F.col("c") == 1), F.coalesce(F.max(ends), F.lit(0))).first()
-    counts, known = np.zeros(END_ID + 1, np.int64), np.zeros(END_ID + 1, np.int64)
-    for r in totals.where("c > 0").groupBy("head").agg(F.sum("c").alias("n"), F.count("*").alias("v")).collect():  # one row for each id of the vocabulary at most
-        counts[r.head], known[r.head] = r.n, r.v
+    known, counts = totals.where("c > 0"), np.zeros(END_ID + 1, np.int64)
+    for r in known.select("c", "ids").mapInArrow(_count_ids, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():  # one row for each id of the vocabulary at most
+        counts[r.id] = r.n
     encoder = subwords(**vocab)
-    opens = np.array([i < END_ID and encoder.fast.decode_single_token_bytes(i)[:1] == b" " for i in range(END_ID + 1)])
-    class_of, _, shares = classes_of(counts, opens)
-    mass = np.bincount(class_of, counts + known, minlength=CLASSES)  # of c + 1 over the known words of each class
+    kind, shares = kinds_of(counts, np.array([i < END_ID and encoder.fast.decode_single_token_bytes(i)[:1] == b" " for i in range(END_ID + 1)]))
+    chain = learned_chain(known, kind)
+    paths = known.mapInArrow(_paths(kind), "word string, c long, spread long, path long")
+    masses = stash(paths.groupBy("path").agg(F.sum(F.col("c") + 1).alias("mass"), F.count("*").alias("words")), "masses")
+    known = stash(join_hot(paths, masses.select("path", "mass"), "path", masses.where("words >= 20000").select("path")), "known", "zstd")
     unseen = (once + 1) / (n + once + 2)
-    params, _ = fit(listed.where("tokens is not null"), class_of, shares, vocab, rounds, share)
-    sent = spark.sparkContext.broadcast((params, class_of, mass))  # bounded by the vocabulary
+    params, _ = fit(listed.where("tokens is not null"), kind, chain, shares, vocab, rounds, share)
+    sent = spark.sparkContext.broadcast((params, kind, chain))  # bounded by the vocabulary and the chain's fixed tables
     rest = math.log10(n + v + 1)
 
     def score(group: pa.Table, known: pa.Table) -> pa.Table:
-        p, kind, weights = sent.value
-        heads = np.frombuffer(next(x for x in group["heads"].to_pylist() if x is not None), np.uint16)
+        p, kind, chain = sent.value
+        spelled = kind[np.frombuffer(next(x for x in group["spelled"].to_pylist() if x is not None), np.uint16)]
         group = group.filter(pc.is_valid(group["tokens"]))
-        c = np.zeros(len(heads), np.int64)
-        c[known["number"].to_numpy()] = known["total"].to_numpy()
+        c, mass = np.zeros((2, int((spelled < CLASSES).sum())), np.int64)
+        c[known["number"].to_numpy()], mass[known["number"].to_numpy()] = known["total"].to_numpy(), known["mass"].to_numpy()
+        listed = Words(spelled, chain, c > 0)
+        vectors = listed.vectors(p, np.arange(len(listed.at)))
         rate = np.log10(c + 1.0) - rest
         out: dict[str, list] = {k: [] for k in ("n_tokens", "n_known", "base_score", "score")}
         held = [d is not None and not x for d, x in zip(group["doc_id"].to_pylist(), group["learn"].to_pylist(), strict=True)]
@@ -402,7 +590,7 @@ def score_texts(docs: DataFrame, vocab: dict[str, str], rounds: int = 3, share:
             sizes = np.array([len(i) for i in index])
             flat = np.concatenate(index)
             cut = np.cumsum(sizes) - sizes
-            logs = token_logs(p, kind, weights, unseen, heads, c, flat, sizes)
+            logs = token_logs(p, listed, unseen, c, mass, flat, sizes, vectors)
             out["score"] += (np.add.reduceat(logs, cut) / math.log(10)).tolist()
             out["base_score"] += np.add.reduceat(rate[flat], cut).tolist()
             out["n_tokens"] += sizes.tolist()
@@ -415,7 +603,7 @@ def score_texts(docs: DataFrame, vocab: dict[str, str], rounds: int = 3, share:
         })
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    known = with_totals(words, totals, blocks).withColumnRenamed("block", "of")
+    known = with_totals(words, known, blocks).withColumnRenamed("block", "of")
     return texts.groupBy("block").cogroup(known.groupBy("of")).applyInArrow(score, schema)
 
 
