@@ -104,7 +104,7 @@ def test_gradients_and_learning():
     g = m.gradients(p, words, x, y, live)
 
     def loss(q):
-        h = m.forward(q, words.vectors(q, x.ravel()).reshape(2, 12, m.DIM))[-1]
+        h = m.forward(q, words.vectors(q)[x])[-1]
         return -m.log_shares(q, h[live > 0], words, y[live > 0]).mean()
 
     assert set(g) == set(p)
@@ -196,7 +196,7 @@ def test_probabilities_of_all_events_sum_to_one():
     for cut in (0, 1, 12):
         after = [m.token_logs(p, words, 0.03, c, mass, np.append(context[:cut], w), np.array([cut + 1]))[-1] for w in range(302)]
         x = np.append(len(words.at) - 1, context[:cut])
-        r = m.forward(p, words.vectors(p, x)[None])[-1][0, -1]
+        r = m.forward(p, words.vectors(p)[x][None])[-1][0, -1]
         z = np.exp(r @ p["out"] + p["bias"])
         lost = z[shares == 0].sum() / z.sum()  # of classes that hold no training word
         assert abs(np.exp(after).sum() - 1 + 0.97 * lost) < 1e-4 and lost < 0.01

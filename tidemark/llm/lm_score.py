@@ -16,8 +16,8 @@ probability goes to spellings that no word has. Beyond that the probabilities of
 ``WINDOW`` tokens overlap, each token is scored once, with at least WINDOW - STRIDE tokens of context where the text has
 them; batches are masked causally.
 
-Documents are read in blocks of bounded bytes. A block is written down as token numbers beside its list of distinct words,
-their training counts and subword ids. Spark adds the counts over all blocks and hands every block the totals of just its
+Documents are read in blocks of bounded bytes. A block is written down as the subword ids of its texts beside its list of distinct
+words and their training counts; a word's number in its block is the rank of a 64-bit hash of its ids. Spark adds the counts over all blocks and hands every block the totals of just its
 own words, so no table of all words is ever in one place; words that very many blocks list take a broadcast of
 checked size instead of the shuffle.
 
@@ -99,6 +99,22 @@ def steps(kinds: np.ndarray) -> tuple[np.ndarray, ...]:
     return at, size, state, part, (so_far >> np.uint64(44)).astype(np.int64), so_far[at + size - 1].view(np.int64)
 
 
+def spellings(ids: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """A hash of the ids of each word; words stand end to end, each from ``at`` on."""
+    place = np.arange(len(ids)) - np.repeat(at, size)
+    return _mixed(np.add.reduceat(_mixed((place * (END_ID + 1) + ids + 1).astype(np.uint64)), at))
+
+
+def numbered(ids: np.ndarray, kind: np.ndarray, most: int = 1_000_000) -> tuple[np.ndarray, np.ndarray]:
+    """The words of texts laid end to end, by rank of their hash: each token's number, and the ids of all words end to end."""
+    at = np.flatnonzero(kind[ids] < CLASSES)
+    size = np.diff(at, append=len(ids))
+    cuts = np.unique(np.append(np.searchsorted(at, np.arange(0, len(ids), most)), len(at)))
+    hashes = [spellings(ids[at[lo] : at[hi - 1] + size[hi - 1]], at[lo:hi] - at[lo], size[lo:hi]) for lo, hi in zip(cuts[:-1], cuts[1:], strict=True)]
+    _, first, tokens = np.unique(np.concatenate(hashes), return_index=True, return_inverse=True)
+    return tokens, ids[runs(at[first], size[first])]
+
+
 class Words:
     """Words as the model reads them: their ids' kinds, and those steps of their spelling at which more than one part may follow.
 
@@ -117,10 +133,15 @@ class Words:
         self.steps = np.add.reduceat(free.astype(np.int32), at)
         self.first = np.cumsum(self.steps) - self.steps
 
-    def vectors(self, p: dict, words: np.ndarray) -> np.ndarray:
-        size = self.size[words]
-        flat = p["embed"][self.kinds[runs(self.at[words], size)]]
-        return np.add.reduceat(flat, np.cumsum(size) - size) * (size[:, None] ** -0.5).astype(flat.dtype)
+    def bags(self, words: np.ndarray) -> np.ndarray:
+        """A row for each word: how often it has each kind, over the root of its number of ids."""
+        size, n = self.size[words], CLASSES + 1 + PARTS
+        at = np.repeat(np.arange(0, len(words) * n, n), size) + self.kinds[runs(self.at[words], size)]
+        return np.bincount(at, np.repeat(size**-0.5, size), len(words) * n).astype(np.float32).reshape(len(words), n)
+
+    def vectors(self, p: dict, most: int = 4096) -> np.ndarray:
+        """What the model reads for each word."""
+        return np.concatenate([self.bags(np.arange(lo, min(lo + most, len(self.at)))) @ p["embed"] for lo in range(0, len(self.at), most)])
 
     def chosen(self, words: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """For each open step of the words, whose scores' exponentials are ``z``: its word's row, the parts' shares, the part."""
@@ -180,7 +201,8 @@ def log_shares(p: dict, h: np.ndarray, words: Words, y: np.ndarray) -> np.ndarra
 
 def gradients(p: dict, words: Words, x: np.ndarray, y: np.ndarray, live: np.ndarray) -> dict[str, np.ndarray]:
     """Of the mean loss over the live tokens ``y``, each after the word ``x``."""
-    h, q, k, v, a, m, r = forward(p, words.vectors(p, x.ravel()).reshape(*x.shape, DIM))
+    bags = words.bags(x.ravel())
+    h, q, k, v, a, m, r = forward(p, (bags @ p["embed"]).reshape(*x.shape, DIM))
     flat = lambda t: t.reshape(-1, t.shape[-1])
     r, weight = flat(r), (live / live.sum()).ravel()
     z, total = _exp_scores(p, r)
@@ -190,12 +212,11 @@ def gradients(p: dict, words: Words, x: np.ndarray, y: np.ndarray, live: np.ndar
     row, later, part = words.chosen(y.ravel(), _exp_next(p, r))
     later[np.arange(len(later)), part] -= 1
     later *= weight[row][:, None]
-    dz = np.zeros((len(r), PARTS), r.dtype)
+    g["next"] = r[row].T @ later
+    dr = z @ p["out"].T
     if len(row):
         begins = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
-        dz[row[begins]] = np.add.reduceat(later, begins)
-    g["next"] = r.T @ dz
-    dr = z @ p["out"].T + dz @ p["next"].T
+        dr[row[begins]] += np.add.reduceat(later @ p["next"].T, begins)
     g["o"] = flat(m).T @ dr
     dm = (dr @ p["o"].T).reshape(m.shape)
     ds = dm @ v.transpose(0, 2, 1)
@@ -208,14 +229,7 @@ def gradients(p: dict, words: Words, x: np.ndarray, y: np.ndarray, live: np.ndar
     g["q"], g["k"], g["v"] = np.split(flat(h).T @ d, 3, 1)
     g["place"] = np.zeros_like(p["place"])
     g["place"][: x.shape[1]] = dh.sum(0)
-    g["embed"] = np.zeros_like(p["embed"])
-    size = words.size[x.ravel()]
-    each = np.repeat(flat(dh) * (size[:, None] ** -0.5).astype(dh.dtype), size, 0)
-    kinds = words.kinds[runs(words.at[x.ravel()], size)]
-    order = np.argsort(kinds.astype(np.int16), kind="stable")
-    sorted_kinds = kinds[order]
-    begins = np.flatnonzero(np.append(True, sorted_kinds[1:] != sorted_kinds[:-1]))
-    g["embed"][sorted_kinds[begins]] = np.add.reduceat(each[order], begins)
+    g["embed"] = bags.T @ flat(dh)
     return g
 
 
@@ -244,7 +258,7 @@ def _before(words: Words, tokens: np.ndarray, lengths: np.ndarray) -> np.ndarray
 def score_tokens(p: dict, words: Words, tokens: np.ndarray, lengths: np.ndarray, batch: int = 96, vectors: np.ndarray | None = None) -> np.ndarray:
     """Natural log-probability of the classes of each token's ids, texts laid end to end; ``tokens`` number the words."""
     out, before = np.zeros(len(tokens)), _before(words, tokens, lengths)
-    vectors = words.vectors(p, np.arange(len(words.at))) if vectors is None else vectors
+    vectors = words.vectors(p) if vectors is None else vectors
     start, size, opens = windows(lengths)
     for some, skip in ((opens, 0), (~opens, WINDOW - STRIDE)):
         order = np.flatnonzero(some)
@@ -297,11 +311,11 @@ def from_planes(x: bytes, kind: type) -> np.ndarray:
 
 
 def _listed(block_docs: int, block_bytes: int, vocab: dict[str, str]):
-    """mapInArrow over (doc_id, learn, text): for each block a row per document (its tokens as numbers of words, and all
-    their ids), a row per distinct word, and a row of the words' ids."""
+    """mapInArrow over (doc_id, learn, text): for each block a row per document (the ids of its tokens) and a row per
+    distinct word."""
     types = (
-        ("block", pa.int64(), "long"), ("doc_id", pa.int64(), "long"), ("learn", pa.bool_(), "boolean"), ("tokens", pa.binary(), "binary"),
-        ("ids", pa.binary(), "binary"), ("spelled", pa.binary(), "binary"), ("number", pa.int32(), "int"), ("word", pa.string(), "string"),
+        ("block", pa.int64(), "long"), ("doc_id", pa.int64(), "long"), ("learn", pa.bool_(), "boolean"), ("ids", pa.binary(), "binary"),
+        ("number", pa.int32(), "int"), ("word", pa.string(), "string"),
         ("c", pa.int64(), "long"),
     )
     kinds = {name: kind for name, kind, _ in types}
@@ -322,15 +336,16 @@ def _listed(block_docs: int, block_bytes: int, vocab: dict[str, str]):
             words = [w.decode("utf-8", "surrogatepass") for w in at]
             ids, bounds = _ids(words, encoder)
             ids, size = ids.astype(np.uint16), np.diff(bounds)
-            yield rows(1, block=[block], spelled=[ids.tobytes()])
+            number = np.empty(len(words), np.int32)
+            number[np.argsort(spellings(ids, bounds[:-1], size), kind="stable")] = np.arange(len(words))
             for lo in range(0, len(docs), 1000):
                 some = tokens[lo : lo + 1000]
                 yield rows(len(some), block=[block] * len(some), doc_id=docs[lo : lo + 1000], learn=learn[lo : lo + 1000],
-                           tokens=[planes(t) for t in some], ids=[planes(ids[runs(bounds[t], size[t])]) for t in some])
+                           ids=[planes(ids[runs(bounds[t], size[t])]) for t in some])
             for lo in range(0, len(words), 50_000):
                 some = slice(lo, lo + 50_000)
                 n = len(words[some])
-                yield rows(n, block=np.full(n, block), number=np.arange(lo, lo + n, dtype=np.int32), word=words[some], c=c[some])
+                yield rows(n, block=np.full(n, block), number=number[some], word=words[some], c=c[some])
             at, docs, learn, tokens, size, block = Numbers(), [], [], [], 0, block + 1
 
         for b in batches:
@@ -555,7 +570,7 @@ def score_texts(docs: DataFrame, vocab: dict[str, str], rounds: int = 3, share:
     run, schema = _listed(block_docs, block_bytes, vocab)
     listed = stash(rows.select("doc_id", "learn", "text").mapInArrow(run, schema), "blocks", "zstd")
     words = listed.where("number is not null").select("block", "number", "word", "c")
-    texts = listed.where("number is null").select("block", "doc_id", "learn", "tokens", "spelled")
+    texts = listed.where("number is null").select("block", "doc_id", "learn", "ids")
     totals = words.groupBy("word").agg(F.sum("c").alias("c"), F.count("*").alias("spread"))
     totals = stash(totals.mapInArrow(_spelled(vocab), "word string, c long, spread long, ids binary"), "totals", "zstd")
     ends = F.when(F.col("word") == "", F.col("spread"))
@@ -570,25 +585,26 @@ def score_texts(docs: DataFrame, vocab: dict[str, str], rounds: int = 3, share:
     masses = stash(paths.groupBy("path").agg(F.sum(F.col("c") + 1).alias("mass"), F.count("*").alias("words")), "masses")
     known = stash(join_hot(paths, masses.select("path", "mass"), "path", masses.where("words >= 20000").select("path")), "known", "zstd")
     unseen = (once + 1) / (n + once + 2)
-    params, _ = fit(listed.where("tokens is not null"), kind, chain, shares, vocab, rounds, share)
+    params, _ = fit(listed.where("ids is not null"), kind, chain, shares, vocab, rounds, share)
     sent = spark.sparkContext.broadcast((params, kind, chain))  # bounded by the vocabulary and the chain's fixed tables
     rest = math.log10(n + v + 1)
 
     def score(group: pa.Table, known: pa.Table) -> pa.Table:
         p, kind, chain = sent.value
-        spelled = kind[np.frombuffer(next(x for x in group["spelled"].to_pylist() if x is not None), np.uint16)]
-        group = group.filter(pc.is_valid(group["tokens"]))
+        held = [from_planes(x, np.uint16) for x in group["ids"].to_pylist()]
+        lengths = np.array([np.count_nonzero(kind[x] < CLASSES) for x in held])
+        tokens, spelled = numbered(np.concatenate(held), kind)
+        spelled = kind[spelled]
         c, mass = np.zeros((2, int((spelled < CLASSES).sum())), np.int64)
         c[known["number"].to_numpy()], mass[known["number"].to_numpy()] = known["total"].to_numpy(), known["mass"].to_numpy()
         listed = Words(spelled, chain, c > 0)
-        vectors = listed.vectors(p, np.arange(len(listed.at)))
+        vectors = listed.vectors(p)
         rate = np.log10(c + 1.0) - rest
         out: dict[str, list] = {k: [] for k in ("n_tokens", "n_known", "base_score", "score")}
         held = [d is not None and not x for d, x in zip(group["doc_id"].to_pylist(), group["learn"].to_pylist(), strict=True)]
         for lo in range(0, len(held), 500):
-            index = [from_planes(t, np.int32) for t in group["tokens"][lo : lo + 500].to_pylist()]
-            sizes = np.array([len(i) for i in index])
-            flat = np.concatenate(index)
+            sizes = lengths[lo : lo + 500]
+            flat, tokens = np.split(tokens, [sizes.sum()])
             cut = np.cumsum(sizes) - sizes
             logs = token_logs(p, listed, unseen, c, mass, flat, sizes, vectors)
             out["score"] += (np.add.reduceat(logs, cut) / math.log(10)).tolist()
