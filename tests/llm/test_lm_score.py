@@ -207,3 +207,11 @@ def test_held_out_texts_score_above_the_base(spark):
     out = m.score_texts(docs, vocabulary())
     got = {r.held_out: r for r in out.groupBy("held_out").agg(F.sum("score").alias("score"), F.sum("base_score").alias("base")).collect()}
     assert all(got[side].score > got[side].base for side in (True, False))
+
+
+def test_columns_with_clashing_names_change_nothing(docs_of):
+    docs = docs_of([(i, f"one two w{i % 7} three") for i in range(40)])
+    more = docs.select("*", *(F.lit(9).alias(k) for k in ("block", "of", "learn", "ids", "number", "word", "c", "mass", "path", "score", "held_out")))
+    plain, clashing = ({r.doc_id: r for r in m.score_texts(d, vocabulary(), rounds=1, share=1).collect()} for d in (docs, more))
+    assert plain.keys() == clashing.keys() and list(plain[0].asDict()) == list(clashing[0].asDict())
+    assert all(math.isclose(plain[d].score, clashing[d].score, rel_tol=1e-6) and plain[d][:6] == clashing[d][:6] for d in plain)
