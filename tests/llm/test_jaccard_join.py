@@ -1,4 +1,7 @@
+import os
 import random
+import subprocess
+import sys
 from collections import defaultdict
 
 import numpy as np
@@ -101,3 +104,32 @@ def test_components_of_long_chains(spark):
     got = components(spark.createDataFrame(edges, "a long, b long")).collect()
     want = {i: 0 for i in range(61)} | {100 + i: 100 for i in range(50)}
     assert {r.id: r.component for r in got} == want and len(got) == len(want)
+
+_KEPT = """
+import re
+import numpy as np
+import pyarrow as pa
+from tidemark.llm import jaccard_join as m
+
+def held():
+    return int(re.search(r"Pss_Anon:\\s+(\\d+)", open("/proc/self/smaps_rollup").read())[1]) / 1024
+
+def batches(n):
+    rng = np.random.default_rng(0)
+    for lo in range(n):
+        yield pa.record_batch({"doc_id": list(range(9000)), "text": [" ".join(rng.integers(0, 5000, 450).astype(str)) for _ in range(9000)]})
+
+run = m._per_text(5, m._index(80, 100), [("key", pa.int64()), ("id", pa.int64()), ("left", pa.int32())])
+for _ in run(batches(0)):
+    pass
+before = held()
+rows = sum(b.num_rows for b in run(batches(2)))
+print(rows, held() - before)
+"""
+
+
+def test_a_worker_returns_the_memory_of_its_texts():
+    """Two batches of 19 MB of text: an idle worker would go on holding what its last task took."""
+    done = subprocess.run([sys.executable, "-c", _KEPT], capture_output=True, text=True, check=True, cwd=os.path.dirname(m.__file__) + "/../..")
+    rows, kept = done.stdout.split()
+    assert int(rows) > 1_000_000 and float(kept) < 40, kept

@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
+from collections.abc import Callable, Iterator
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -11,7 +13,7 @@ from pyspark.sql import functions as F
 #: White space of the word and line rules, as a set of characters and as a pattern.
 BLANKS = " \t\n\x0b\x0c\r"
 #: Settings of a ``stash`` write: its shuffle files go when it is done, and texts reach Python in batches of bounded bytes.
-_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": "8m"}
+_WRITING = {"spark.sql.classic.shuffleDependency.fileCleanup.enabled": "true", "spark.sql.execution.arrow.maxBytesPerBatch": "2m"}
 WORD = r"[^\x20\x09-\x0D]+"
 
 
@@ -54,6 +56,25 @@ def drop_stash(df: DataFrame) -> None:
         path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def trimmed(run: Callable[[Iterator], Iterator]) -> Callable[[Iterator], Iterator]:
+    """A function for mapInArrow that returns what it freed to the system when its input ends.
+
+    Spark keeps as many Python workers as ever ran at once in an executor and uses them in turn; each would go on
+    holding the most that any of its tasks took.
+    """
+
+    def out(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        yield from run(batches)
+        pa.default_memory_pool().release_unused()
+        trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+        if trim is not None:
+            trim(0)
+
+    return out
+
+
 def join_hot(rows: DataFrame, side: DataFrame, on, hot: DataFrame, weight: str | None = None, how: str = "inner", most: int = 32 << 20) -> DataFrame:
     """``rows`` joined with ``side`` on key columns of which ``hot`` lists those with very many rows.
 

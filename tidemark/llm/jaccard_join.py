@@ -32,7 +32,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import components, drop_stash, join_hot, stash, table
+from .common import components, drop_stash, join_hot, stash, table, trimmed
 
 _U = np.uint64
 
@@ -66,7 +66,7 @@ class Powers:
 _POWERS = Powers()
 
 
-def word_hashes(raw: bytes, piece: int = 1 << 18) -> tuple[np.ndarray, np.ndarray]:
+def word_hashes(raw: bytes, piece: int = 1 << 16) -> tuple[np.ndarray, np.ndarray]:
     """64-bit hashes of the words of a lower-cased text, and where each starts; long texts are read piece by piece."""
     out, first, at = [np.zeros(0, _U)], [np.zeros(0, np.int64)], 0
     while at < len(raw):
@@ -103,7 +103,7 @@ def shingles(h: np.ndarray, words: int) -> np.ndarray:
     return distinct(mix(out + _U(k)))
 
 
-def shingle_sets(texts: list[str | None], words: int, most: int = 1 << 18) -> Iterator[np.ndarray]:
+def shingle_sets(texts: list[str | None], words: int, most: int = 1 << 16) -> Iterator[np.ndarray]:
     """The shingle set of each text; short texts are hashed together."""
     lo = 0
     while lo < len(texts):
@@ -218,7 +218,7 @@ def _per_text(words: int, make, types: list[tuple[str, pa.DataType]], marks=None
                 sets = list(shingle_sets(texts[lo : lo + 500], words))
                 yield pa.RecordBatch.from_arrays(make(docs[lo : lo + 500], sets), schema=schema)
 
-    return run
+    return trimmed(run)
 
 
 def _signatures(docs, sets):
@@ -261,7 +261,7 @@ def likely(pairs: DataFrame, sketches: DataFrame, num: int, den: int) -> DataFra
             yield pa.RecordBatch.from_arrays([b["a"].filter(keep), b["b"].filter(keep)], names=["a", "b"])
 
     # A document with several texts has several sketches; the pair stays if any two of them are near.
-    return _both(pairs, one, two, "bitsa").mapInArrow(run, "a long, b long").distinct()
+    return _both(pairs, one, two, "bitsa").mapInArrow(trimmed(run), "a long, b long").distinct()
 
 
 def _both(pairs: DataFrame, one: DataFrame, two: DataFrame, weight: str) -> DataFrame:
@@ -293,7 +293,7 @@ def verify(pairs: DataFrame, rows: DataFrame, words: int, num: int, den: int) ->
             keep = pa.array(good, pa.bool_())
             yield pa.RecordBatch.from_arrays([b["a"].filter(keep), b["b"].filter(keep)], names=["a", "b"])
 
-    return _both(pairs, one, two, "ua").select("a", "b", "ua", "ub").mapInArrow(run, "a long, b long")
+    return _both(pairs, one, two, "ua").select("a", "b", "ua", "ub").mapInArrow(trimmed(run), "a long, b long")
 
 
 def _candidates(ids, comp, n, side, raw, small, same: bool, num: int, den: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -366,7 +366,7 @@ def jaccard_classes(docs: DataFrame, words: int = 5, num: int = 80, den: int = 1
     reps = members.select(F.col("rep").alias("doc_id")).distinct()
     others = marks_of(members.select("doc_id").distinct().join(reps, "doc_id", "left_anti"))
     texts = rows.where("doc_id is not null").select("doc_id", "text", _bit())
-    unsure = texts.mapInArrow(_held(others), "doc_id long, text string").join(reps.hint("merge"), "doc_id", "left_semi")
+    unsure = texts.mapInArrow(trimmed(_held(others)), "doc_id long, text string").join(reps.hint("merge"), "doc_id", "left_semi")
     types, ddl = [("key", pa.int64()), ("id", pa.int64()), ("left", pa.int32())], "key long, id long, left int"
     index = texts.mapInArrow(_per_text(words, _index(num, den), types, others, False), ddl).unionByName(unsure.mapInArrow(_per_text(words, _index(num, den), types), ddl))
     index = index.repartition("key")  # one exchange serves both the buckets' sizes and the join with them

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import BLANKS, stash, table
+from .common import BLANKS, stash, table, trimmed
 
 _LINES = "h1 long, h2 long, doc long, th long, pos int"
 _FOUND = "kind int, h1 long, h2 long, doc long, th long, pos long"
@@ -153,10 +153,10 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Dat
     zlib-compressed, eight lines to a byte; lines beyond its end stay.
     """
     lines = docs.select(F.col("doc_id").cast("long").alias("doc"), F.xxhash64("text").alias("th"), "text")
-    lines = lines.where("doc is not null").mapInArrow(_hash_lines(min_chars), _LINES)
+    lines = lines.where("doc is not null").mapInArrow(trimmed(_hash_lines(min_chars)), _LINES)
     order = ["h1", "h2", F.col("doc").desc()]
     ranged = lines.repartitionByRange(*order).sortWithinPartitions(*order, "th", "pos")
-    found = stash(ranged.mapInArrow(_stream(min_docs), _FOUND), "lines")
+    found = stash(ranged.mapInArrow(trimmed(_stream(min_docs)), _FOUND), "lines")
     # At most two summaries for each partition, and one row for each key of these.
     edges = found.where(f"kind = {SUMMARY}").groupBy("h1", "h2").agg(F.sum("pos").alias("n"), F.max("doc").alias("top"))
     late = (
@@ -166,7 +166,7 @@ def keep_bitmaps(docs: DataFrame, min_chars: int = 40, min_docs: int = 5) -> Dat
     )
     gone = found.where(f"kind = {DROP}").select("doc", "th", "pos").unionByName(late.select("doc", "th", "pos"))
     gone = gone.groupBy("doc", "th").agg(F.collect_set(F.col("pos").cast("int")).alias("gone"))
-    return gone.mapInArrow(_bitmaps, "doc long, th long, bitmap binary")
+    return gone.mapInArrow(trimmed(_bitmaps), "doc long, th long, bitmap binary")
 
 
 def _apply(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -204,7 +204,7 @@ def apply_keep_bitmaps(docs: DataFrame, bitmaps: DataFrame) -> DataFrame:
         T.StructField("n_lines", T.LongType()), T.StructField("n_dropped", T.LongType()),
     ])
     rows = rows.join(bitmaps, ["doc", "th"], "left").select("row", "text", "bitmap")
-    return rows.mapInArrow(_apply, schema)
+    return rows.mapInArrow(trimmed(_apply), schema)
 
 
 def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from .common import stash, subwords, table
+from .common import stash, subwords, table, trimmed
 
 WINDOW, END = 2048, 1
 
@@ -76,7 +76,7 @@ def token_pieces(
             yield pa.RecordBatch.from_arrays(columns, schema=schema)
 
     ddl = "doc_id long, start long, length long, ids_crc32 long, doc_tokens long" + ", ids array<int>" * keep_ids
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, ddl)
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(trimmed(run), ddl)
 
 
 def differencing(sizes: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:

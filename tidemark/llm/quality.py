@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import stash, table
+from .common import stash, table, trimmed
 
 _UPPER, _LOWER, _DIGIT = b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz", b"0123456789"
 _STOPS, _COMMAS, _SIGNS = b".!?", b",;:", b"#$%&*+<=>@^_~|\\/{}[]"
@@ -77,7 +77,7 @@ def _vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def vectors(docs: DataFrame) -> DataFrame:
     """(doc_id, text_hash, x) for each row of a documents table; text_hash is ``xxhash64(text)``."""
     rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.xxhash64("text").alias("text_hash"), "text")
-    return rows.mapInArrow(_vectors, "doc_id long, text_hash long, x array<double>")
+    return rows.mapInArrow(trimmed(_vectors), "doc_id long, text_hash long, x array<double>")
 
 
 @dataclass(frozen=True)
@@ -127,7 +127,7 @@ def _moments(means: np.ndarray | None):
 def _summed(rows: DataFrame, means: np.ndarray | None) -> np.ndarray:
     d = len(NAMES)
     out = np.zeros((2, 1 + d if means is None else d * d))
-    sums = rows.mapInArrow(_moments(means), "c long, at long, v double").groupBy("c", "at").agg(F.sum("v").alias("v"))
+    sums = rows.mapInArrow(trimmed(_moments(means)), "c long, at long, v double").groupBy("c", "at").agg(F.sum("v").alias("v"))
     for c, at, v in sums.collect():  # two rows for each of a fixed number of moments
         out[c, at] = v
     return out
@@ -171,7 +171,7 @@ def score_quality(docs: DataFrame, labels: DataFrame, accept: float = 0.7) -> Da
             )
 
     rows = x.select("doc_id", F.coalesce(held_out(), F.lit(False)).alias("held_out"), "text_hash", "x")
-    return rows.mapInArrow(run, "doc_id long, held_out boolean, score double, predicted int, text_hash long")
+    return rows.mapInArrow(trimmed(run), "doc_id long, held_out boolean, score double, predicted int, text_hash long")
 
 
 def op9_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
