@@ -4,6 +4,8 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import functions as F
 
 from tidemark.llm import lm_score as m
@@ -215,3 +217,20 @@ def test_columns_with_clashing_names_change_nothing(docs_of):
     plain, clashing = ({r.doc_id: r for r in m.score_texts(d, vocabulary(), rounds=1, share=1).collect()} for d in (docs, more))
     assert plain.keys() == clashing.keys() and list(plain[0].asDict()) == list(clashing[0].asDict())
     assert all(math.isclose(plain[d].score, clashing[d].score, rel_tol=1e-6) and plain[d][:6] == clashing[d][:6] for d in plain)
+
+
+def test_totals_of_a_block_travel_packed():
+    """Few rows whatever the number of words, in a few bytes a word; numbers, totals and masses come back."""
+    rng = np.random.default_rng(3)
+    block, number = rng.integers(0, 3, 40_000) << 32, rng.permutation(40_000).astype(np.int32)
+    total, mass = rng.integers(1, 200, 40_000), rng.integers(1, 1 << 40, 40_000)
+    whole = pa.record_batch({"block": block, "number": number, "total": total, "mass": mass})
+    rows = list(m._packed(15_000)(whole.slice(lo, 7_000) for lo in range(0, 40_000, 7_000)))
+    assert [b.num_rows for b in rows] == [3, 3]
+    rows = pa.Table.from_batches(rows)
+    for k in np.unique(block):
+        got = dict(zip(*(x.tolist() for x in m._unpacked(rows.filter(pc.equal(rows["block"], k)))[:2]), strict=True))
+        assert got == dict(zip(number[block == k].tolist(), total[block == k].tolist(), strict=True))
+        n, _, back = m._unpacked(rows.filter(pc.equal(rows["block"], k)))
+        assert (back[np.argsort(n)] == mass[block == k][np.argsort(number[block == k])]).all()
+    assert all(len(x) == 0 for x in m._unpacked(rows.slice(0, 0)))

@@ -43,7 +43,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import join_hot, stash, subwords, table, words_of
+from .common import drop_stash, join_hot, stash, subwords, table, words_of
 from .packing import vocabulary
 
 CLASSES, SINGLE, DIM, WINDOW, STRIDE = 128, 112, 16, 48, 36
@@ -377,6 +377,47 @@ def with_totals(words: DataFrame, totals: DataFrame, blocks: int, most: int = 20
     return words.join(few, "word").select(*columns).unionByName(words.join(few, "word", "left_anti").join(rest, "word").select(*columns))
 
 
+_PACKED = "block long, number binary, total binary, mass binary"
+
+
+def _packed(most: int = 1 << 19):
+    """mapInArrow over (block, number, total, mass): of every ``most`` rows one row for each block, with its words by rising number
+    as planes of the numbers' steps, the totals and the masses."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+
+        def done() -> pa.RecordBatch:
+            block, number, total, mass = (np.concatenate(x) for x in zip(*held, strict=True))
+            order = np.lexsort((number, block))
+            block, number, total, mass = block[order], number[order].astype(np.int32), total[order], mass[order]
+            at = np.flatnonzero(np.append(True, block[1:] != block[:-1]))
+            step = np.diff(number, prepend=np.int32(0))
+            step[at] = number[at]
+            cut = list(zip(at.tolist(), np.append(at[1:], len(block)).tolist(), strict=True))
+            return pa.RecordBatch.from_arrays([pa.array(block[at]), *(pa.array([planes(x[lo:hi]) for lo, hi in cut], pa.binary()) for x in (step, total, mass))],
+                                              names=["block", "number", "total", "mass"])
+
+        for b in batches:
+            if b.num_rows:
+                held.append(tuple(b[k].to_numpy() for k in ("block", "number", "total", "mass")))
+                size += b.num_rows
+            if size >= most:
+                yield done()
+                held, size = [], 0
+        if held:
+            yield done()
+
+    return run
+
+
+def _unpacked(rows: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Numbers, totals and masses of the words in packed rows."""
+    numbers = [np.cumsum(from_planes(x, np.int32)) for x in rows["number"].to_pylist()]
+    each = [numbers, *([from_planes(x, np.int64) for x in rows[k].to_pylist()] for k in ("total", "mass"))]
+    return tuple(np.concatenate([np.zeros(0, np.int64), *x]) for x in each)
+
+
 def classes_of(counts: np.ndarray, opens: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """The class of each id, the natural log of each id's share of its class, and the classes' shares of all."""
     out = np.empty(len(counts), np.int64)
@@ -596,7 +637,8 @@ def score_texts(docs: DataFrame, vocab: dict[str, str], rounds: int = 3, share:
         tokens, spelled = numbered(np.concatenate(held), kind)
         spelled = kind[spelled]
         c, mass = np.zeros((2, int((spelled < CLASSES).sum())), np.int64)
-        c[known["number"].to_numpy()], mass[known["number"].to_numpy()] = known["total"].to_numpy(), known["mass"].to_numpy()
+        number, *found = _unpacked(known)
+        c[number], mass[number] = found
         listed = Words(spelled, chain, c > 0)
         vectors = listed.vectors(p)
         rate = np.log10(c + 1.0) - rest
@@ -619,8 +661,11 @@ def score_texts(docs: DataFrame, vocab: dict[str, str], rounds: int = 3, share:
         })
 
     schema = "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    known = with_totals(words, known, blocks).withColumnRenamed("block", "of")
-    return texts.groupBy("block").cogroup(known.groupBy("of")).applyInArrow(score, schema)
+    # Written down before the texts move, so that the words' shuffle is gone by then.
+    packed = stash(with_totals(words, known, blocks).mapInArrow(_packed(), _PACKED), "packed", "zstd").withColumnRenamed("block", "of")
+    for used in (totals, masses, known):
+        drop_stash(used)
+    return texts.groupBy("block").cogroup(packed.groupBy("of")).applyInArrow(score, schema)
 
 
 def op8_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
