@@ -234,3 +234,44 @@ def test_totals_of_a_block_travel_packed():
         n, _, back = m._unpacked(rows.filter(pc.equal(rows["block"], k)))
         assert (back[np.argsort(n)] == mass[block == k][np.argsort(number[block == k])]).all()
     assert all(len(x) == 0 for x in m._unpacked(rows.slice(0, 0)))
+
+
+def test_blocks_split_words_by_the_rule_and_teach_what_texts_teach(monkeypatch):
+    """A block is one row that spells each word once; tokens are those of the word rule, and training reads the same from blocks and texts."""
+    rng = np.random.default_rng(2)
+    letters = np.array(list("aAbZé日 \t\n\x0b\x0c\r\x1c\x85\xa0\x00Éß.  "))
+    texts = ["".join(rng.choice(letters, n)) for n in rng.integers(0, 40, 600)] + [None, "", " ", " a", "a ", "W " * 500]
+    tokens, lengths, words = m.tokens_of(pa.chunked_array([texts[:50], texts[50:]]))
+    words = words.to_pylist()
+    got = [[words[i].encode() for i in x] for x in np.split(tokens, np.cumsum(lengths)[:-1])]
+    assert got == [[*words_of(t), b""] for t in texts]
+
+    told, part = vocabulary(), np.arange(len(texts)) % 3
+    learn = np.arange(len(texts)) % 7 != 2
+    rows = pa.record_batch({"doc_id": pa.array(range(len(texts))), "learn": pa.array(learn), "part": pa.array(part), "text": pa.array(texts)})
+    monkeypatch.setattr(m, "TaskContext", type("Task", (), {"get": staticmethod(lambda: type("T", (), {"partitionId": staticmethod(lambda: 1)}))}))
+    listed = list(m._listed(150, 1 << 20, told)[0](rows.slice(lo, 100) for lo in range(0, len(texts), 100)))
+    blocks = [b for b in listed if b["number"].null_count]
+    assert [b.num_rows for b in blocks] == [1] * 5
+    distinct = sum(len({w for t in texts[lo : lo + 150] for w in [*words_of(t), b""]}) for lo in range(0, len(texts), 150))
+    assert sum(b.num_rows for b in listed) - 5 == distinct
+    kind, _ = m.kinds_of(np.ones(m.END_ID + 1, np.int64), spaced())
+
+    def laid(taught):
+        words = np.split(taught.kinds, np.flatnonzero(taught.kinds < m.CLASSES)[1:])
+        return [words[i].tolist() for i in taught.tokens], taught.lengths.tolist(), taught.size
+
+    mine = rows.filter(pa.array(learn & (part == 1)))
+    for most in (1 << 20, 700, 1):
+        want = [laid(x) for x in m._of_texts([mine], kind, told, most)]
+        assert [laid(x) for x in m._of_blocks(blocks, kind, 1, most)] == want and len(want) >= (1 if most > 700 else 3)
+
+
+def test_layers_hold_every_number_of_every_run():
+    rng = np.random.default_rng(4)
+    size = np.sort(np.append(rng.integers(0, 6, 200), [40, 300]))[::-1]
+    first = np.cumsum(size) - size
+    for few in (0, 16, 500):
+        got = sorted((r, x) for n, rows, at, _ in m.layers(first, size, few) for r, x in zip(np.arange(len(size))[rows].tolist(), at.tolist(), strict=True))
+        assert got == [(r, f + j) for r, (f, n) in enumerate(zip(first.tolist(), size.tolist(), strict=True)) for j in range(n)]
+    assert not list(m.layers(first[:0], size[:0])) and not list(m.layers(first[:2], np.zeros(2, int)))

@@ -16,10 +16,10 @@ probability goes to spellings that no word has. Beyond that the probabilities of
 ``WINDOW`` tokens overlap, each token is scored once, with at least WINDOW - STRIDE tokens of context where the text has
 them; batches are masked causally.
 
-Documents are read in blocks of bounded bytes. A block is written down as the subword ids of its texts beside its list of distinct
-words and their training counts; a word's number in its block is the rank of a 64-bit hash of its ids. Spark adds the counts over all blocks and hands every block the totals of just its
-own words, so no table of all words is ever in one place; words that very many blocks list take a broadcast of
-checked size instead of the shuffle.
+Documents are read in blocks of bounded bytes. A block is written down as one row, the tokens of its texts as numbers of its
+distinct words and the ids of these, beside a row for each word with its training count. Spark adds the counts over all blocks
+and hands every block the totals of just its own words, so no table of all words is ever in one place; words that very many
+blocks list take a broadcast of checked size instead of the shuffle.
 
 Training averages parameters: in each round every task trains on its share of a fresh 1/``share`` of the training
 documents, and Spark averages the results by tokens seen. There are as many rounds as parts at least, so every training
@@ -105,7 +105,7 @@ def spellings(ids: np.ndarray, at: np.ndarray, size: np.ndarray) -> np.ndarray:
     return _mixed(np.add.reduceat(_mixed((place * (END_ID + 1) + ids + 1).astype(np.uint64)), at))
 
 
-def numbered(ids: np.ndarray, kind: np.ndarray, most: int = 1_000_000) -> tuple[np.ndarray, np.ndarray]:
+def numbered(ids: np.ndarray, kind: np.ndarray, most: int = 1 << 16) -> tuple[np.ndarray, np.ndarray]:
     """The words of texts laid end to end, by rank of their hash: each token's number, and the ids of all words end to end."""
     at = np.flatnonzero(kind[ids] < CLASSES)
     size = np.diff(at, append=len(ids))
@@ -115,6 +115,28 @@ def numbered(ids: np.ndarray, kind: np.ndarray, most: int = 1_000_000) -> tuple[
     return tokens, ids[runs(at[first], size[first])]
 
 
+def layers(first: np.ndarray, size: np.ndarray, few: int = 16) -> Iterator[tuple]:
+    """Runs of numbers from ``first`` on, by falling ``size``, across: for j = 0, 1, ... how many runs have a j-th number, the rows of
+    these and the numbers. Once no more than ``few`` runs go on, all their rest comes at once, with where each run's begins."""
+    left = len(size) - np.cumsum(np.bincount(size, minlength=1))
+    for j, n in enumerate(left.tolist()):
+        if n <= few:
+            if n:
+                rest = size[:n].astype(np.int64) - j
+                yield n, np.repeat(np.arange(n), rest), runs(first[:n] + j, rest), np.cumsum(rest) - rest
+            return
+        yield n, slice(n), first[:n] + j, None
+
+
+def _add(sums: np.ndarray, n: int, values: np.ndarray, begins: np.ndarray | None) -> None:
+    sums[:n] += values if begins is None else np.add.reduceat(values, begins)
+
+
+def _small(x: np.ndarray) -> np.ndarray:
+    """As 16 bits where they fit: these are sorted by radix."""
+    return x.astype(np.int16 if len(x) and x.max() < 1 << 15 else np.int64)
+
+
 class Words:
     """Words as the model reads them: their ids' kinds, and those steps of their spelling at which more than one part may follow.
 
@@ -123,34 +145,53 @@ class Words:
 
     def __init__(self, kinds: np.ndarray, chain: Chain, scored: np.ndarray | None = None):
         at, size, state, part, slot, _ = steps(kinds)
-        self.kinds, self.at, self.size = np.append(kinds, CLASSES), np.append(at, len(kinds)), np.append(size, 1)
-        self.head, self.share = kinds[at], chain.share
+        self.kinds, self.at, self.size = np.append(kinds, CLASSES), np.append(at, len(kinds)), _small(np.append(size, 1))
+        self.head, self.root = kinds[at], (self.size.astype(np.float64) ** -0.5).astype(np.float32)
         may = chain.some[state] & chain.bits[slot]
         free = (may & (may - np.uint32(1))) != 0
         if scored is not None:
             free &= np.repeat(scored, size)
-        self.state, self.part, self.may = state[free].astype(np.int32), part[free].astype(np.int8), may[free]
+        # The shares at each kind of open step, and of each step the row there, the part that follows and the log of its share.
+        each, self.row = np.unique(state[free] << 32 | may[free].astype(np.int64), return_inverse=True)
+        bits = np.unpackbits((each & 0xFFFFFFFF).astype("<u4").view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
+        self.share, self.part = chain.share[each >> 32] * bits, part[free]
+        with np.errstate(divide="ignore"):
+            self.log_share = np.log(self.share[self.row, self.part])
         self.steps = np.add.reduceat(free.astype(np.int32), at)
         self.first = np.cumsum(self.steps) - self.steps
-
-    def bags(self, words: np.ndarray) -> np.ndarray:
-        """A row for each word: how often it has each kind, over the root of its number of ids."""
-        size, n = self.size[words], CLASSES + 1 + PARTS
-        at = np.repeat(np.arange(0, len(words) * n, n), size) + self.kinds[runs(self.at[words], size)]
-        return np.bincount(at, np.repeat(size**-0.5, size), len(words) * n).astype(np.float32).reshape(len(words), n)
+        self.steps = _small(self.steps)
+
+    def layers(self, words: np.ndarray) -> tuple[np.ndarray, list[tuple]]:
+        """The words' order by falling number of ids, and in it their ids' kinds, in layers."""
+        size = self.size[words]
+        order = np.argsort(-size, kind="stable")
+        return order, [(n, rows, self.kinds[at], begins) for n, rows, at, begins in layers(self.at[words[order]], size[order])]
+
+    def read(self, words: np.ndarray, embed: np.ndarray, laid: tuple | None = None) -> np.ndarray:
+        """The sum of the vectors of all ids of each word, over the root of their number."""
+        order, each = laid or self.layers(words)
+        sums, out = np.zeros((len(words), DIM), embed.dtype), np.empty((len(words), DIM), embed.dtype)
+        for n, _, kinds, begins in each:
+            _add(sums, n, np.take(embed, kinds, axis=0), begins)
+        sums *= self.root[words[order]][:, None]
+        out[order] = sums
+        return out
+
+    def read_back(self, words: np.ndarray, d: np.ndarray, laid: tuple) -> np.ndarray:
+        """The gradient of the vectors of ids, from that of what is read."""
+        order, each = laid
+        out, d = np.zeros((CLASSES + 1 + PARTS, DIM), d.dtype), np.take(d * self.root[words][:, None], order, axis=0)
+        kinds = np.concatenate([k for _, _, k, _ in each]).astype(np.uint8)
+        rows = np.concatenate([np.arange(n) if begins is None else rows for n, rows, _, begins in each])
+        by = np.argsort(kinds, kind="stable")
+        kinds = kinds[by]
+        begins = np.flatnonzero(np.append(True, kinds[1:] != kinds[:-1]))
+        out[kinds[begins]] = np.add.reduceat(np.take(d, rows[by], axis=0), begins)
+        return out
 
     def vectors(self, p: dict, most: int = 4096) -> np.ndarray:
         """What the model reads for each word."""
-        return np.concatenate([self.bags(np.arange(lo, min(lo + most, len(self.at)))) @ p["embed"] for lo in range(0, len(self.at), most)])
-
-    def chosen(self, words: np.ndarray, z: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """For each open step of the words, whose scores' exponentials are ``z``: its word's row, the parts' shares, the part."""
-        size = self.steps[words]
-        at, row = runs(self.first[words], size), np.repeat(np.arange(len(words)), size)
-        a = z[row] * self.share[self.state[at]]
-        a *= np.unpackbits(self.may[at].view(np.uint8).reshape(-1, 4), axis=1, bitorder="little")
-        a /= (a @ np.ones((PARTS, 1), a.dtype))
-        return row, a, self.part[at]
+        return np.concatenate([self.read(np.arange(lo, min(lo + most, len(self.at))), p["embed"]) for lo in range(0, len(self.at), most)])
 
 
 # --- the model -------------------------------------------------------------------------------------------------------
@@ -166,70 +207,117 @@ def first_parameters(share: np.ndarray, seed: int = 5) -> dict[str, np.ndarray]:
     }
 
 
-def forward(p: dict, h: np.ndarray) -> tuple:
-    """The layer's input, queries, keys, values, attention, mixed values and output, for the tokens' vectors of equal windows."""
-    h = h + p["place"][: h.shape[1]]
-    q, k, v = np.split((h.reshape(-1, DIM) @ np.concatenate((p["q"], p["k"], p["v"]), 1)).reshape(*h.shape[:2], 3 * DIM), 3, -1)
-    a = (q * np.float32(DIM**-0.5)) @ k.transpose(0, 2, 1)
+def forward(p: dict, h: np.ndarray, skip: int = 0) -> tuple:
+    """The layer's input, scaled queries, keys, values, attention before its division, the divisors' inverses, mixed values and output,
+    for the tokens' vectors of equal windows. The first ``skip`` tokens of a window are context alone."""
+    n, width = h.shape[:2]
+    h = h + p["place"][:width]
+    all_three = (h.reshape(-1, DIM) @ _three(p)).reshape(n, width, 3 * DIM)
+    q, k, v = all_three[:, skip:, :DIM], all_three[..., DIM : 2 * DIM], all_three[..., 2 * DIM :]
+    a = q @ k.transpose(0, 2, 1)
     np.clip(a, -60, 60, out=a)
     np.exp(a, out=a)
-    a *= _SEEN[: h.shape[1], : h.shape[1]]
-    a *= 1 / (a @ np.ones((h.shape[1], 1), a.dtype))
+    a *= _SEEN[skip:width, :width]
+    over = 1 / (a @ np.ones((width, 1), a.dtype))
     m = a @ v
-    return h, q, k, v, a, m, h + (m.reshape(-1, DIM) @ p["o"]).reshape(h.shape)
+    m *= over
+    return h, q, k, v, a, over, m, h[:, skip:] + (m.reshape(-1, DIM) @ p["o"]).reshape(m.shape)
+
+
+def _three(p: dict) -> np.ndarray:
+    return np.concatenate((p["q"] * p["q"].dtype.type(DIM**-0.5), p["k"], p["v"]), 1)
 
 
 def _exp_scores(p: dict, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Exponentials of the classes' scores, and their sums; scores beyond what a float holds are cut."""
-    z = np.append(h, np.ones((len(h), 1), h.dtype), 1) @ np.append(p["out"], p["bias"][None], 0)
+    z = _and_one(h) @ np.append(p["out"], p["bias"][None], 0)
     np.clip(z, -80, 80, out=z)
     np.exp(z, out=z)
     return z, z @ np.ones(z.shape[1], z.dtype)
 
 
-def _exp_next(p: dict, h: np.ndarray) -> np.ndarray:
-    return np.exp(np.clip(h @ p["next"], -40, 40))
+def _and_one(h: np.ndarray) -> np.ndarray:
+    out = np.empty((len(h), DIM + 1), h.dtype)
+    out[:, :DIM], out[:, DIM] = h, 1
+    return out
+
+
+def _next_scores(p: dict, h: np.ndarray) -> np.ndarray:
+    z = h @ p["next"]
+    return np.clip(z, -40, 40, out=z)
+
+
+def _by_steps(words: Words, y: np.ndarray) -> tuple[np.ndarray, np.ndarray, list[tuple]]:
+    """The order of the target words by falling number of open steps, in it the words, and the steps in layers."""
+    size = words.steps[y]
+    order = np.argsort(-size, kind="stable")
+    y = y[order]
+    return order, y, list(layers(words.first[y], size[order]))
 
 
 def log_shares(p: dict, h: np.ndarray, words: Words, y: np.ndarray) -> np.ndarray:
     """Natural log-probability of the classes of the target words' ids; ``h`` and ``y`` hold a row and a word for each token."""
+    order, y, each = _by_steps(words, y)
+    h = np.take(h, order, axis=0)
     z, total = _exp_scores(p, h)
-    row, a, part = words.chosen(y, _exp_next(p, h))
-    later = np.bincount(row, np.log(a[np.arange(len(a)), part]), minlength=len(y))
-    return np.log(z[np.arange(len(z)), words.head[y]] / total) + later
+    logs, out = np.log(np.take(z.ravel(), np.arange(0, z.size, CLASSES) + words.head[y]) / total).astype(np.float64), np.empty(len(y))
+    if each:
+        x = _next_scores(p, h[: each[0][0]])
+        z = np.exp(x)
+        for n, rows, at, begins in each:
+            all_parts = np.einsum("ij,ij->i", z[rows], np.take(words.share, words.row[at], axis=0))
+            chosen = np.take(x.ravel(), (np.arange(n) if begins is None else rows) * PARTS + words.part[at])
+            _add(logs, n, chosen - np.log(all_parts) + words.log_share[at], begins)
+    out[order] = logs
+    return out
 
 
 def gradients(p: dict, words: Words, x: np.ndarray, y: np.ndarray, live: np.ndarray) -> dict[str, np.ndarray]:
     """Of the mean loss over the live tokens ``y``, each after the word ``x``."""
-    bags = words.bags(x.ravel())
-    h, q, k, v, a, m, r = forward(p, (bags @ p["embed"]).reshape(*x.shape, DIM))
+    shape, x = x.shape, x.ravel()
+    laid = words.layers(x)
+    h, q, k, v, a, over, m, r = forward(p, words.read(x, p["embed"], laid).reshape(*shape, DIM))
     flat = lambda t: t.reshape(-1, t.shape[-1])
-    r, weight = flat(r), (live / live.sum()).ravel()
+    order, y, each = _by_steps(words, y.ravel())
+    r, weight = np.take(flat(r), order, axis=0), (live / live.sum()).ravel()[order]
     z, total = _exp_scores(p, r)
-    z *= (weight / total)[:, None]
-    z[np.arange(len(z)), words.head[y.ravel()]] -= weight
-    g = {"out": r.T @ z, "bias": z.sum(0)}
-    row, later, part = words.chosen(y.ravel(), _exp_next(p, r))
-    later[np.arange(len(later)), part] -= 1
-    later *= weight[row][:, None]
-    g["next"] = r[row].T @ later
-    dr = z @ p["out"].T
-    if len(row):
-        begins = np.flatnonzero(np.append(True, row[1:] != row[:-1]))
-        dr[row[begins]] += np.add.reduceat(later @ p["next"].T, begins)
+    z.ravel()[np.arange(0, z.size, CLASSES) + words.head[y]] -= total
+    part_of = (weight / total)[:, None]
+    g_out = z.T @ (_and_one(r) * part_of)
+    g = {"out": g_out[:, :DIM].T, "bias": g_out[:, DIM]}
+    d = (z @ p["out"].T) * part_of
+    g["next"] = np.zeros_like(p["next"])
+    if each:
+        some = each[0][0]
+        z = np.exp(_next_scores(p, r[:some]))
+        sums, chosen = np.zeros_like(z), np.zeros_like(z)
+        for n, rows, at, begins in each:
+            shares = np.take(words.share, words.row[at], axis=0)
+            _add(sums, n, shares * (1 / np.einsum("ij,ij->i", z[rows], shares))[:, None], begins)
+            if begins is None:
+                chosen.ravel()[np.arange(0, n * PARTS, PARTS) + words.part[at]] += 1
+            else:
+                np.add.at(chosen.ravel(), rows * PARTS + words.part[at], 1)
+        z *= sums
+        z -= chosen
+        z *= weight[:some, None]
+        g["next"] += r[:some].T @ z
+        d[:some] += z @ p["next"].T
+    dr = np.empty_like(d)
+    dr[order] = d
     g["o"] = flat(m).T @ dr
     dm = (dr @ p["o"].T).reshape(m.shape)
+    dm *= over
     ds = dm @ v.transpose(0, 2, 1)
-    dv = a.transpose(0, 2, 1) @ dm
-    ds -= (dm * m).sum(-1, keepdims=True)  # the mean of ds under the attention
+    ds -= np.einsum("nij,nij->ni", dm, m)[..., None]  # the mean of ds under the attention
     ds *= a
-    ds *= DIM**-0.5
-    d = flat(np.concatenate((ds @ k, ds.transpose(0, 2, 1) @ q, dv), -1))
-    dh = (dr + d @ np.concatenate((p["q"], p["k"], p["v"]), 1).T).reshape(h.shape)
-    g["q"], g["k"], g["v"] = np.split(flat(h).T @ d, 3, 1)
+    d = flat(np.concatenate((ds @ k, ds.transpose(0, 2, 1) @ q, a.transpose(0, 2, 1) @ dm), -1))
+    dh = dr + d @ _three(p).T
+    g_three = (d.T @ flat(h)).T
+    g["q"], g["k"], g["v"] = g_three[:, :DIM] * DIM**-0.5, g_three[:, DIM : 2 * DIM], g_three[:, 2 * DIM :]
     g["place"] = np.zeros_like(p["place"])
-    g["place"][: x.shape[1]] = dh.sum(0)
-    g["embed"] = bags.T @ flat(dh)
+    g["place"][: shape[1]] = dh.reshape(*shape, DIM).sum(0)
+    g["embed"] = words.read_back(x, dh, laid)
     return g
 
 
@@ -267,14 +355,16 @@ def score_tokens(p: dict, words: Words, tokens: np.ndarray, lengths: np.ndarray,
             w = order[lo : lo + batch]
             x, y, live, at = _batch(before, tokens, start[w], size[w])
             live = live[:, skip:]
-            out[at[:, skip:][live]] = log_shares(p, forward(p, vectors[x])[-1][:, skip:][live], words, y[:, skip:][live])
+            out[at[:, skip:][live]] = log_shares(p, forward(p, np.take(vectors, x, axis=0), skip)[-1][live], words, y[:, skip:][live])
     return out
 
 
 def train(p: dict, words: Words, tokens: np.ndarray, lengths: np.ndarray, seed: int, rate: float = 4e-3, batch: int = 64) -> dict:
     """One pass of Adam over some texts, each token in one window. Windows of like size share a batch; batches come in random order."""
-    p = {n: v.copy() for n, v in p.items()}
-    one, two = ({n: np.zeros_like(v) for n, v in p.items()} for _ in range(2))
+    names, cuts = list(p), np.cumsum([v.size for v in p.values()])[:-1]
+    whole = np.concatenate([v.ravel() for v in p.values()])
+    p = {n: v.reshape(p[n].shape) for n, v in zip(names, np.split(whole, cuts), strict=True)}  # views of the whole
+    one, two = np.zeros_like(whole), np.zeros_like(whole)
     before, (start, size, _) = _before(words, tokens, lengths), windows(lengths, WINDOW)
     rng = np.random.default_rng(seed)
     order = rng.permutation(len(start))
@@ -283,24 +373,17 @@ def train(p: dict, words: Words, tokens: np.ndarray, lengths: np.ndarray, seed:
         w = order[lo : lo + batch]
         x, y, live, _ = _batch(before, tokens, start[w], size[w])
         step = rate * math.sqrt(1 - 0.99**t) / (1 - 0.9**t) / (1 + t * batch / len(order))
-        for n, g in gradients(p, words, x, y, live.astype(np.float32)).items():
-            one[n] += 0.1 * (g - one[n])
-            two[n] += 0.01 * (g * g - two[n])
-            p[n] -= (step * one[n] / (np.sqrt(two[n]) + 1e-6)).astype(np.float32)
+        g = gradients(p, words, x, y, live.astype(np.float32))
+        g = np.concatenate([g[n].ravel() for n in names])
+        one += 0.1 * (g - one)
+        two += 0.01 * (g * g - two)
+        whole -= (step * one / (np.sqrt(two) + 1e-6)).astype(np.float32)
     return p
 
 
 # --- corpus counts, classes and training -----------------------------------------------------------------------------
 
 
-class Numbers(dict):
-    """Numbers its keys in the order in which they are first seen."""
-
-    def __missing__(self, word: bytes) -> int:
-        value = self[word] = len(self)
-        return value
-
-
 def planes(x: np.ndarray) -> bytes:
     """Numbers as bytes, all first bytes before all second ones; the higher bytes are mostly zero and compress well."""
     return x.view(np.uint8).reshape(len(x), -1).T.tobytes()
@@ -310,71 +393,81 @@ def from_planes(x: bytes, kind: type) -> np.ndarray:
     return np.frombuffer(x, np.uint8).reshape(np.dtype(kind).itemsize, -1).T.copy().view(kind).ravel()
 
 
+def tokens_of(texts: pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray, pa.Array]:
+    """The tokens of texts laid end to end, as numbers of distinct words; each text's number of tokens; and the words. The empty
+    word is the end."""
+    texts = pc.ascii_lower(pc.ascii_trim_whitespace(pc.fill_null(texts, "")))
+    lists = pc.ascii_split_whitespace(pc.if_else(pc.equal(texts, ""), "", pc.binary_join_element_wise(texts, "", " ")))  # a blank behind the last word splits off the end
+    words = pc.list_flatten(lists).combine_chunks().dictionary_encode()
+    words = words.combine_chunks() if isinstance(words, pa.ChunkedArray) else words
+    return words.indices.to_numpy(), pc.list_value_length(lists).to_numpy().astype(np.int64), words.dictionary
+
+
+_LISTED = (
+    ("block", pa.int64(), "long"), ("doc_id", pa.list_(pa.int64()), "array<long>"), ("learn", pa.list_(pa.bool_()), "array<boolean>"),
+    ("part", pa.list_(pa.int64()), "array<long>"), ("length", pa.list_(pa.int64()), "array<long>"), ("tokens", pa.binary(), "binary"), ("spelled", pa.binary(), "binary"),
+    ("number", pa.int32(), "int"), ("ids", pa.binary(), "binary"), ("c", pa.int64(), "long"),
+)
+
+
 def _listed(block_docs: int, block_bytes: int, vocab: dict[str, str]):
-    """mapInArrow over (doc_id, learn, text): for each block a row per document (the ids of its tokens) and a row per
-    distinct word."""
-    types = (
-        ("block", pa.int64(), "long"), ("doc_id", pa.int64(), "long"), ("learn", pa.bool_(), "boolean"), ("ids", pa.binary(), "binary"),
-        ("number", pa.int32(), "int"), ("word", pa.string(), "string"),
-        ("c", pa.int64(), "long"),
-    )
-    kinds = {name: kind for name, kind, _ in types}
+    """mapInArrow over (doc_id, learn, part, text): for each block a row of its documents (their tokens as numbers of words, and the ids of
+    the words end to end) and a row per distinct word."""
+    kinds = {name: kind for name, kind, _ in _LISTED}
     schema = pa.schema(kinds)
 
     def rows(n: int, **columns) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(columns[k], t) if k in columns else pa.nulls(n, t) for k, t in kinds.items()], schema=schema)
+        return pa.RecordBatch.from_arrays([columns[k] if k in columns else pa.nulls(n, t) for k, t in kinds.items()], schema=schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encoder, block = subwords(**vocab), TaskContext.get().partitionId() << 32
-        at, docs, learn, tokens, size = Numbers(), [], [], [], 0
+        held, docs, size = [], 0, 0
 
         def done() -> Iterator[pa.RecordBatch]:
-            nonlocal at, docs, learn, tokens, size, block
-            c = np.zeros(len(at), np.int64)
-            if any(learn):
-                c += np.bincount(np.concatenate([t for t, x in zip(tokens, learn, strict=True) if x]), minlength=len(at))
-            words = [w.decode("utf-8", "surrogatepass") for w in at]
-            ids, bounds = _ids(words, encoder)
-            ids, size = ids.astype(np.uint16), np.diff(bounds)
-            number = np.empty(len(words), np.int32)
-            number[np.argsort(spellings(ids, bounds[:-1], size), kind="stable")] = np.arange(len(words))
-            for lo in range(0, len(docs), 1000):
-                some = tokens[lo : lo + 1000]
-                yield rows(len(some), block=[block] * len(some), doc_id=docs[lo : lo + 1000], learn=learn[lo : lo + 1000],
-                           ids=[planes(ids[runs(bounds[t], size[t])]) for t in some])
+            nonlocal held, docs, size, block
+            texts = pa.Table.from_batches(held).combine_chunks()
+            tokens, lengths, words = tokens_of(texts["text"])
+            learned = np.repeat(texts["learn"].to_numpy(), lengths)
+            c = np.bincount(tokens[learned], minlength=len(words)).astype(np.int64)
+            ids, bounds = _ids(words.to_pylist(), encoder)
+            ids = ids.astype(np.uint16).tobytes()
+            one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
+            yield rows(1, block=pa.array([block]), **{k: one(texts[k].combine_chunks().cast(kinds[k].value_type)) for k in ("doc_id", "learn", "part")}, length=one(pa.array(lengths)),
+                       tokens=pa.array([planes(tokens.astype(np.int32))], pa.binary()), spelled=pa.array([ids], pa.binary()))
+            each = pa.Array.from_buffers(pa.binary(), len(words), [None, pa.py_buffer((2 * bounds).astype(np.int32).tobytes()), pa.py_buffer(ids)])
             for lo in range(0, len(words), 50_000):
                 some = slice(lo, lo + 50_000)
                 n = len(words[some])
-                yield rows(n, block=np.full(n, block), number=number[some], word=words[some], c=c[some])
-            at, docs, learn, tokens, size, block = Numbers(), [], [], [], 0, block + 1
+                yield rows(n, block=pa.array(np.full(n, block)), number=pa.array(np.arange(lo, lo + n, dtype=np.int32)), ids=each[some], c=pa.array(c[some]))
+            held, docs, size, block = [], 0, 0, block + 1
 
         for b in batches:
-            for doc, learns, text in zip(*(b[k].to_pylist() for k in ("doc_id", "learn", "text")), strict=True):
-                words = words_of(text)
-                words.append(b"")
-                tokens.append(np.fromiter(map(at.__getitem__, words), np.int32, len(words)))
-                docs.append(doc)
-                learn.append(learns)
-                size += len(text or "")
-                if len(docs) >= block_docs or size >= block_bytes:
+            lo = 0
+            for hi, n in enumerate(pc.fill_null(pc.binary_length(b["text"]), 0).to_pylist(), 1):
+                docs, size = docs + 1, size + n
+                if docs >= block_docs or size >= block_bytes:
+                    held.append(b.slice(lo, hi - lo))
                     yield from done()
-        if docs:
+                    lo = hi
+            if lo < b.num_rows:
+                held.append(b.slice(lo))
+        if held:
             yield from done()
 
-    return run, ", ".join(f"{name} {kind}" for name, _, kind in types)
+    return run, ", ".join(f"{name} {kind}" for name, _, kind in _LISTED)
 
 
 def with_totals(words: DataFrame, totals: DataFrame, blocks: int, most: int = 200_000) -> DataFrame:
-    """(block, number, total, mass) for the words of every block that ``totals`` (word, c, mass, spread) has. Words that many blocks list would be hot keys of the
-    shuffle; they are broadcast if no more than ``most`` of them are found."""
-    hot = totals.where(F.col("spread") >= max(256, blocks // 16)).select("word", F.col("c").alias("total"), "mass")
+    """(block, number, total, mass) for the words of every block that ``totals`` (ids, c, mass, spread) has. Words that many blocks list
+    would be hot keys of the shuffle; they are broadcast if no more than ``most`` of them are found."""
+    hot = totals.where(F.col("spread") >= max(256, blocks // 16)).select("ids", F.col("c").alias("total"), "mass")
     some = hot.limit(most + 1).count()
     columns = ["block", "number", "total", "mass"]
-    rest = totals.select("word", F.col("c").alias("total"), "mass")
+    rest = totals.select("ids", F.col("c").alias("total"), "mass").hint("shuffle_hash")
     if not 0 < some <= most:
-        return words.join(rest, "word").select(*columns)
+        return words.join(rest, "ids").select(*columns)
     few = F.broadcast(hot)
-    return words.join(few, "word").select(*columns).unionByName(words.join(few, "word", "left_anti").join(rest, "word").select(*columns))
+    return words.join(few, "ids").select(*columns).unionByName(words.join(few, "ids", "left_anti").join(rest, "ids").select(*columns))
 
 
 _PACKED = "block long, number binary, total binary, mass binary"
@@ -451,25 +544,8 @@ def kinds_of(counts: np.ndarray, spaced: np.ndarray) -> tuple[np.ndarray, np.nda
     return np.where(opens, classes, CLASSES + 1 + part), shares
 
 
-def _spelled(vocab: dict[str, str]):
-    """mapInArrow over (word, c, spread): the words' ids, for those that training texts hold."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            c = b["c"].to_numpy()
-            words = b.filter(pa.array(c > 0))["word"].to_pylist()
-            ids, bounds = _ids(words, subwords(**vocab))
-            ids = ids.astype(np.uint16)
-            of = iter([ids[lo:hi].tobytes() for lo, hi in zip(bounds[:-1].tolist(), bounds[1:].tolist(), strict=True)])
-            yield pa.RecordBatch.from_arrays([*(b[k] for k in ("word", "c", "spread")), pa.array([next(of) if x else None for x in c > 0], pa.binary())],
-                                             names=["word", "c", "spread", "ids"])
-
-    return run
-
-
 def _laid_ids(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
-    each = b["ids"].to_pylist()
-    return np.frombuffer(b"".join(each), np.uint16) if each else np.zeros(0, np.uint16), np.array([len(x) // 2 for x in each], np.int64)
+    return np.frombuffer(b"".join(b["ids"].to_pylist()), np.uint16), pc.binary_length(b["ids"]).to_numpy().astype(np.int64) // 2
 
 
 def _count_ids(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -507,12 +583,12 @@ def _count_steps(kind: np.ndarray):
 
 
 def _paths(kind: np.ndarray):
-    """mapInArrow over (word, c, spread, ids): a hash of the kinds of each word's ids."""
+    """mapInArrow over (ids, c, spread): a hash of the kinds of each word's ids."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, _ = _laid_ids(b)
-            yield pa.RecordBatch.from_arrays([*(b[k] for k in ("word", "c", "spread")), pa.array(steps(kind[ids])[-1])], names=["word", "c", "spread", "path"])
+            yield pa.RecordBatch.from_arrays([*(b[k] for k in ("ids", "c", "spread")), pa.array(steps(kind[ids])[-1])], names=["ids", "c", "spread", "path"])
 
     return run
 
@@ -545,28 +621,105 @@ def _ids(words: list[str], encoder) -> tuple[np.ndarray, np.ndarray]:
     return out, bounds
 
 
-def _texts_ids(batches: Iterator[pa.RecordBatch], vocab: dict[str, str], most: int = 1_000_000) -> Iterator[np.ndarray]:
-    """Ids of the tokens of documents laid end to end, some ``most`` at a time; each document ends with ``END_ID``."""
+class Taught(NamedTuple):
+    """Texts to train on: the kinds of their words end to end, their tokens as numbers of words, their lengths, the ids of all tokens."""
+
+    kinds: np.ndarray
+    tokens: np.ndarray
+    lengths: np.ndarray
+    size: int
+
+
+def _of_texts(batches: Iterator[pa.RecordBatch], kind: np.ndarray, vocab: dict[str, str], most: int) -> Iterator[Taught]:
+    """Documents laid end to end, some ``most`` ids at a time; words of equal kinds are one to the model."""
     held, size = [], 0
+
+    def done() -> Taught:
+        ids = np.concatenate(held)
+        kinds = kind[ids]
+        ends = np.flatnonzero(ids[kinds < CLASSES] == END_ID)
+        tokens, spelled = numbered(kinds, np.arange(CLASSES + 1 + PARTS))
+        return Taught(spelled, tokens, np.diff(ends, prepend=-1), len(ids))
+
     for b in batches:
-        known = "ids" in b.schema.names
-        for x in b["ids" if known else "text"].to_pylist():
-            held.append(from_planes(x, np.uint16) if known else _ids([w.decode("utf-8", "surrogatepass") for w in [*words_of(x), b""]], subwords(**vocab))[0])
+        for x in b["text"].to_pylist():
+            held.append(_ids([w.decode("utf-8", "surrogatepass") for w in [*words_of(x), b""]], subwords(**vocab))[0])
             size += len(held[-1])
             if size >= most:
-                yield np.concatenate(held)
+                yield done()
                 held, size = [], 0
     if held:
-        yield np.concatenate(held)
+        yield done()
+
+
+def _of_blocks(batches: Iterator[pa.RecordBatch], kind: np.ndarray, turn: int, most: int) -> Iterator[Taught]:
+    """The same from blocks that hold the words' ids: their training documents of part ``turn``."""
+    held: list[Taught] = []
+
+    def done() -> Taught:
+        before = np.cumsum([0] + [np.count_nonzero(x.kinds < CLASSES) for x in held])
+        tokens = [x.tokens + n for x, n in zip(held, before.tolist(), strict=False)]
+        return Taught(np.concatenate([x.kinds for x in held]), np.concatenate(tokens), np.concatenate([x.lengths for x in held]), sum(x.size for x in held))
+
+    for b in batches:
+        for row in range(b.num_rows):
+            block = Block.read(b, row, kind)
+            keep = block.learn & (block.part == turn)
+            lengths = block.lengths[keep]
+            if not len(lengths):
+                continue
+            tokens = block.tokens[runs((np.cumsum(block.lengths) - block.lengths)[keep], lengths)]
+            cut = np.append(0, np.cumsum(lengths))
+            size = np.append(0, np.cumsum(np.add.reduceat(block.size[tokens], cut[:-1])))
+            lo = 0
+            while lo < len(lengths):
+                hi = min(len(lengths), int(np.searchsorted(size, size[lo] + most - sum(x.size for x in held))))
+                some = tokens[cut[lo] : cut[hi]]
+                used = np.zeros(len(block.at), bool)
+                used[some] = True
+                words = np.flatnonzero(used)
+                kinds = block.kinds[runs(block.at[words], block.size[words])]
+                held.append(Taught(kinds, (np.cumsum(used) - 1)[some], lengths[lo:hi], int(size[hi] - size[lo])))
+                if sum(x.size for x in held) >= most:
+                    yield done()
+                    held.clear()
+                lo = hi
+    if held:
+        yield done()
+
+
+class Block(NamedTuple):
+    """A block's documents as ``_listed`` writes them: the kinds of its words end to end, where each word begins and its number of ids."""
+
+    doc_id: pa.Array
+    learn: np.ndarray
+    part: np.ndarray
+    lengths: np.ndarray
+    tokens: np.ndarray
+    kinds: np.ndarray
+    at: np.ndarray
+    size: np.ndarray
+
+    @staticmethod
+    def read(b: pa.RecordBatch, row: int, kind: np.ndarray) -> Block:
+        of = lambda k: b[k][row].values
+        kinds = kind[np.frombuffer(b["spelled"][row].as_py(), np.uint16)]
+        at = np.flatnonzero(kinds < CLASSES)
+        return Block(of("doc_id"), of("learn").to_numpy(zero_copy_only=False), of("part").to_numpy(), of("length").to_numpy(), from_planes(b["tokens"][row].as_py(), np.int32), kinds, at,
+                     np.diff(at, append=len(kinds)))
+
+
+def parted(part: int):
+    return F.pmod(F.xxhash64("doc_id"), F.lit(part))
 
 
-def fit(docs: DataFrame, kind: np.ndarray, chain: Chain, share: np.ndarray, vocab: dict[str, str], rounds: int, part: int) -> tuple[dict[str, np.ndarray], int]:
+def fit(docs: DataFrame, kind: np.ndarray, chain: Chain, share: np.ndarray, vocab: dict[str, str], rounds: int, part: int, most: int = 1_000_000) -> tuple[dict[str, np.ndarray], int]:
     """Parameters after ``rounds`` rounds, each over one of ``part`` disjoint parts of the training documents, and the ids seen.
 
-    The documents come with their text, or with the ids of their tokens (``ids``) where these are known.
+    The documents come as rows (doc_id, learn, text), or in blocks of ``_listed`` that hold the same parts.
     Fewer rounds than parts would leave documents out, so there are ``part`` at least.
     """
-    spark, p, seen = docs.sparkSession, first_parameters(share), 0
+    spark, p, seen, blocks = docs.sparkSession, first_parameters(share), 0, "spelled" in docs.columns
     names = list(p)
     for turn in range(max(rounds, part)):
         sent = spark.sparkContext.broadcast((p, kind, chain))  # some 10,000 parameters, a kind for each id, and the chain's fixed tables
@@ -574,15 +727,13 @@ def fit(docs: DataFrame, kind: np.ndarray, chain: Chain, share: np.ndarray, voca
         def run(batches: Iterator[pa.RecordBatch], turn=turn, sent=sent) -> Iterator[pa.RecordBatch]:
             params, kind, chain = sent.value
             total = 0
-            for ids in _texts_ids(batches, vocab):
-                words = Words(kind[ids], chain)
-                ends = np.flatnonzero(ids[words.at[:-1]] == END_ID)
-                params = train(params, words, np.arange(len(words.head)), np.diff(ends, prepend=-1), turn)
-                total += len(ids)
+            for some in _of_blocks(batches, kind, turn % part, most) if blocks else _of_texts(batches, kind, vocab, most):
+                params = train(params, Words(some.kinds, chain), some.tokens, some.lengths, turn)
+                total += some.size
             flat = np.append(np.concatenate([params[n].ravel() for n in names]).astype(np.float64) * total, total) if total else np.zeros(0)
             yield pa.RecordBatch.from_arrays([pa.array(np.arange(len(flat))), pa.array(flat)], names=["at", "v"])
 
-        some = docs.where(F.col("learn") & (F.pmod(F.xxhash64("doc_id"), F.lit(part)) == turn % part)).select("ids" if "ids" in docs.columns else "text")
+        some = docs if blocks else docs.where(F.col("learn") & (parted(part) == turn % part)).select("text")
         rows = some.mapInArrow(run, "at long, v double").groupBy("at").agg(F.sum("v").alias("v")).collect()  # one row for each parameter
         sent.unpersist()
         if rows:
@@ -607,14 +758,13 @@ def token_logs(p: dict, words: Words, unseen: float, c: np.ndarray, mass: np.nda
 def score_texts(docs: DataFrame, vocab: dict[str, str], rounds: int = 3, share: int = 3, block_docs: int = 20_000, block_bytes: int = 12 << 20) -> DataFrame:
     """(doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score) for each row of a documents table."""
     spark = docs.sparkSession
-    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("learn", learns())
+    rows = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").withColumn("learn", learns()).withColumn("part", parted(share))
     run, schema = _listed(block_docs, block_bytes, vocab)
-    listed = stash(rows.select("doc_id", "learn", "text").mapInArrow(run, schema), "blocks", "zstd")
-    words = listed.where("number is not null").select("block", "number", "word", "c")
-    texts = listed.where("number is null").select("block", "doc_id", "learn", "ids")
-    totals = words.groupBy("word").agg(F.sum("c").alias("c"), F.count("*").alias("spread"))
-    totals = stash(totals.mapInArrow(_spelled(vocab), "word string, c long, spread long, ids binary"), "totals", "zstd")
-    ends = F.when(F.col("word") == "", F.col("spread"))
+    listed = stash(rows.select("doc_id", "learn", "part", "text").mapInArrow(run, schema), "blocks", "zstd")
+    words = listed.where("number is not null").select("block", "number", "ids", "c")  # a word's ids stand for it: they spell its bytes
+    texts = listed.where("number is null").select("block", "doc_id", "learn", "part", "length", "tokens", "spelled")
+    totals = stash(words.groupBy("ids").agg(F.sum("c").alias("c"), F.count("*").alias("spread")), "totals", "zstd")
+    ends = F.when(F.col("ids") == F.lit(np.uint16(END_ID).tobytes()), F.col("spread"))
     n, v, once, blocks = totals.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count_if(F.col("c") > 0), F.count_if(F.col("c") == 1), F.coalesce(F.max(ends), F.lit(0))).first()
     known, counts = totals.where("c > 0"), np.zeros(END_ID + 1, np.int64)
     for r in known.select("c", "ids").mapInArrow(_count_ids, "id long, n long").groupBy("id").agg(F.sum("n").alias("n")).collect():  # one row for each id of the vocabulary at most
@@ -622,28 +772,26 @@ def score_texts(docs: DataFrame, vocab: dict[str, str], rounds: int = 3, share:
     encoder = subwords(**vocab)
     kind, shares = kinds_of(counts, np.array([i < END_ID and encoder.fast.decode_single_token_bytes(i)[:1] == b" " for i in range(END_ID + 1)]))
     chain = learned_chain(known, kind)
-    paths = known.mapInArrow(_paths(kind), "word string, c long, spread long, path long")
+    paths = known.mapInArrow(_paths(kind), "ids binary, c long, spread long, path long")
     masses = stash(paths.groupBy("path").agg(F.sum(F.col("c") + 1).alias("mass"), F.count("*").alias("words")), "masses")
     known = stash(join_hot(paths, masses.select("path", "mass"), "path", masses.where("words >= 20000").select("path")), "known", "zstd")
     unseen = (once + 1) / (n + once + 2)
-    params, _ = fit(listed.where("ids is not null"), kind, chain, shares, vocab, rounds, share)
+    params, _ = fit(texts, kind, chain, shares, vocab, rounds, share)
     sent = spark.sparkContext.broadcast((params, kind, chain))  # bounded by the vocabulary and the chain's fixed tables
     rest = math.log10(n + v + 1)
 
     def score(group: pa.Table, known: pa.Table) -> pa.Table:
         p, kind, chain = sent.value
-        held = [from_planes(x, np.uint16) for x in group["ids"].to_pylist()]
-        lengths = np.array([np.count_nonzero(kind[x] < CLASSES) for x in held])
-        tokens, spelled = numbered(np.concatenate(held), kind)
-        spelled = kind[spelled]
-        c, mass = np.zeros((2, int((spelled < CLASSES).sum())), np.int64)
+        block = Block.read(group.combine_chunks().to_batches()[0], 0, kind)  # a block is one row
+        lengths, tokens = block.lengths, block.tokens
+        c, mass = np.zeros((2, len(block.at)), np.int64)
         number, *found = _unpacked(known)
         c[number], mass[number] = found
-        listed = Words(spelled, chain, c > 0)
+        listed = Words(block.kinds, chain, c > 0)
         vectors = listed.vectors(p)
         rate = np.log10(c + 1.0) - rest
         out: dict[str, list] = {k: [] for k in ("n_tokens", "n_known", "base_score", "score")}
-        held = [d is not None and not x for d, x in zip(group["doc_id"].to_pylist(), group["learn"].to_pylist(), strict=True)]
+        held = ~block.learn & pc.is_valid(block.doc_id).to_numpy(zero_copy_only=False)
         for lo in range(0, len(held), 500):
             sizes = lengths[lo : lo + 500]
             flat, tokens = np.split(tokens, [sizes.sum()])
@@ -656,7 +804,7 @@ def score_texts(docs: DataFrame, vocab: dict[str, str], rounds: int = 3, share:
         real = lambda k: pa.array(out[k], pa.float64())
         whole = lambda k: pa.array(out[k], pa.int64())
         return pa.table({
-            "doc_id": group["doc_id"], "held_out": pa.array(held, pa.bool_()), "n_tokens": whole("n_tokens"), "n_known": whole("n_known"),
+            "doc_id": block.doc_id, "held_out": pa.array(held, pa.bool_()), "n_tokens": whole("n_tokens"), "n_known": whole("n_known"),
             "train_tokens": pa.array([n] * len(held), pa.int64()), "base_score": real("base_score"), "score": real("score"),
         })
 
