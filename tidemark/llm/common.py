@@ -189,16 +189,20 @@ class Subwords:
             plain = False
         return self.fast.encode_ordinary(text) if plain else self.slow.encode(text, add_special_tokens=False).ids
 
-    def encode_words(self, words: list[str]):
-        """Ids of words without blanks, each as it stands after a space: all ids, and where each word's end."""
+    def encode_words(self, words):
+        """Ids of words without blanks (a list or an Arrow array), each as it stands after a space: all ids, and where each word's end."""
         import numpy as np
+        import pyarrow as pa
+        import pyarrow.compute as pc
 
-        if not words:
+        if not len(words):
             return np.zeros(0, np.int64), np.zeros(0, np.int64)
-        ids = np.array(self.fast.encode_ordinary(" " + "\n\n ".join(words)), dtype=np.int64)
+        arrow = isinstance(words, pa.Array)
+        text = pc.binary_join(pa.ListArray.from_arrays(pa.array([0, len(words)], pa.int32()), words), "\n\n ")[0].as_py() if arrow else "\n\n ".join(words)
+        ids = np.array(self.fast.encode_ordinary(" " + text), dtype=np.int64)
         gap = ids == self.blank_line
         if int(gap.sum()) != len(words) - 1:  # blanks of other alphabets: one word at a time
-            each = [self.fast.encode_ordinary(" " + w) for w in words]
+            each = [self.fast.encode_ordinary(" " + w) for w in (words.to_pylist() if arrow else words)]
             return np.array([i for e in each for i in e], dtype=np.int64), np.cumsum([len(e) for e in each])
         ends = np.append(np.flatnonzero(gap), len(ids)) - np.arange(len(words))
         return ids[~gap], ends

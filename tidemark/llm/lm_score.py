@@ -231,11 +231,17 @@ def _three(p: dict) -> np.ndarray:
 def _exp_scores(p: dict, h: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Exponentials of the classes' scores, and their sums; scores beyond what a float holds are cut."""
     z = _and_one(h) @ np.append(p["out"], p["bias"][None], 0)
-    np.clip(z, -80, 80, out=z)
+    if not _reach(h, p["out"]) + np.abs(p["bias"]).max() < 80:
+        np.clip(z, -80, 80, out=z)
     np.exp(z, out=z)
     return z, z @ np.ones(z.shape[1], z.dtype)
 
 
+def _reach(h: np.ndarray, w: np.ndarray) -> float:
+    """No number of ``h @ w`` is farther from 0."""
+    return math.sqrt(np.einsum("ij,ij->i", h, h).max(initial=0) * (w * w).sum(0).max())
+
+
 def _and_one(h: np.ndarray) -> np.ndarray:
     out = np.empty((len(h), DIM + 1), h.dtype)
     out[:, :DIM], out[:, DIM] = h, 1
@@ -429,7 +435,7 @@ def _listed(block_docs: int, block_bytes: int, vocab: dict[str, str]):
             tokens, lengths, words = tokens_of(texts["text"])
             learned = np.repeat(texts["learn"].to_numpy(), lengths)
             c = np.bincount(tokens[learned], minlength=len(words)).astype(np.int64)
-            ids, bounds = _ids(words.to_pylist(), encoder)
+            ids, bounds = _ids(words, encoder)
             ids = ids.astype(np.uint16).tobytes()
             one = lambda x: pa.ListArray.from_arrays(pa.array([0, len(x)], pa.int32()), x)
             yield rows(1, block=pa.array([block]), **{k: one(texts[k].combine_chunks().cast(kinds[k].value_type)) for k in ("doc_id", "learn", "part")}, length=one(pa.array(lengths)),
@@ -604,21 +610,17 @@ def learned_chain(known: DataFrame, kind: np.ndarray) -> Chain:
     return chain_of(counts.reshape(-1, PARTS), bits)
 
 
-def _ids(words: list[str], encoder) -> tuple[np.ndarray, np.ndarray]:
+def _ids(words: list[str] | pa.Array, encoder) -> tuple[np.ndarray, np.ndarray]:
     """Ids of distinct words: all of them, and the bounds of each word's; the empty word is the end."""
-    real = [w for w in words if w]
-    ids, ends = encoder.encode_words(real)
-    size = iter(np.diff(ends, prepend=0).tolist())
-    each = [next(size) if w else 1 for w in words]
-    bounds = np.concatenate(([0], np.cumsum(each))).astype(np.int64)
-    out = np.full(bounds[-1], END_ID, np.int64)
-    if "" in words:
-        keep = np.ones(len(out), bool)
-        keep[bounds[words.index("")]] = False
-        out[keep] = ids
-    else:
-        out[:] = ids
-    return out, bounds
+    words = words if isinstance(words, pa.Array) else pa.array(words, pa.string())
+    real = pc.not_equal(words, "")
+    ids, ends = encoder.encode_words(words.filter(real))
+    real = real.to_numpy(zero_copy_only=False)
+    each = np.ones(len(words), np.int64)
+    each[real] = np.diff(ends, prepend=0)
+    out = np.full(each.sum(), END_ID, np.int64)
+    out[np.repeat(real, each)] = ids
+    return out, np.append(0, np.cumsum(each))
 
 
 class Taught(NamedTuple):
@@ -748,9 +750,14 @@ def fit(docs: DataFrame, kind: np.ndarray, chain: Chain, share: np.ndarray, voca
     return p, seen
 
 
-def token_logs(p: dict, words: Words, unseen: float, c: np.ndarray, mass: np.ndarray, tokens: np.ndarray, lengths: np.ndarray, vectors: np.ndarray | None = None) -> np.ndarray:
+def log_inside(unseen: float, c: np.ndarray, mass: np.ndarray) -> np.ndarray:
+    """Of each word, the natural log of its share of its path's mass and of being seen; that of being unseen where it is."""
+    return np.where(c > 0, math.log1p(-unseen) + np.log(c + 1.0) - np.log(np.maximum(1, mass)), math.log(unseen))
+
+
+def token_logs(p: dict, words: Words, unseen: float, c: np.ndarray, mass: np.ndarray, tokens: np.ndarray, lengths: np.ndarray, vectors: np.ndarray | None = None, inside: np.ndarray | None = None) -> np.ndarray:
     """Natural log-probability of each token, texts laid end to end; ``tokens`` number the words, ``mass`` is that of a word's path."""
-    inside = np.where(c > 0, math.log1p(-unseen) + np.log(c + 1.0) - np.log(np.maximum(1, mass)), math.log(unseen))
+    inside = log_inside(unseen, c, mass) if inside is None else inside
     out = score_tokens(p, words, tokens, lengths, vectors=vectors)
     return np.where(c[tokens] > 0, out, 0.0) + inside[tokens]
 
@@ -788,7 +795,7 @@ def score_texts(docs: DataFrame, vocab: dict[str, str], rounds: int = 3, share:
         number, *found = _unpacked(known)
         c[number], mass[number] = found
         listed = Words(block.kinds, chain, c > 0)
-        vectors = listed.vectors(p)
+        vectors, inside = listed.vectors(p), log_inside(unseen, c, mass)
         rate = np.log10(c + 1.0) - rest
         out: dict[str, list] = {k: [] for k in ("n_tokens", "n_known", "base_score", "score")}
         held = ~block.learn & pc.is_valid(block.doc_id).to_numpy(zero_copy_only=False)
@@ -796,7 +803,7 @@ def score_texts(docs: DataFrame, vocab: dict[str, str], rounds: int = 3, share:
             sizes = lengths[lo : lo + 500]
             flat, tokens = np.split(tokens, [sizes.sum()])
             cut = np.cumsum(sizes) - sizes
-            logs = token_logs(p, listed, unseen, c, mass, flat, sizes, vectors)
+            logs = token_logs(p, listed, unseen, c, mass, flat, sizes, vectors, inside)
             out["score"] += (np.add.reduceat(logs, cut) / math.log(10)).tolist()
             out["base_score"] += np.add.reduceat(rate[flat], cut).tolist()
             out["n_tokens"] += sizes.tolist()
